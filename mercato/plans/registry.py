@@ -75,3 +75,60 @@ def q_duplicate_review_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("temporal_violations")
 def q_temporal_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.temporal_violations(_model(spark, sf_dir).star)
+
+
+# ---------------------------------------------------------------- data quality
+from ..operators import quality  # noqa: E402
+
+_INPUT_FAMILIES = {
+    "dq_row_counts": quality.dq_row_counts,
+    "dq_pk_duplicates": quality.dq_pk_duplicates,
+    "dq_orphan_fk": quality.dq_orphan_fk,
+    "dq_domain": quality.dq_domain,
+    "dq_temporal": quality.dq_temporal,
+    "dq_null_policy": quality.dq_null_policy,
+    "dq_review_duplicates": quality.dq_review_duplicates,
+    "dq_malformed_cast": quality.dq_malformed_cast,
+}
+for _name, _fn in _INPUT_FAMILIES.items():
+    register(_name)((lambda f: lambda spark, sf_dir: f(_model(spark, sf_dir).stg))(_fn))
+
+
+@register("dq_row_reconciliation")
+def q_dq_row_reconciliation(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return quality.dq_row_reconciliation(m.star, m.stg)
+
+
+@register("dq_output_orphan_fk")
+def q_dq_output_orphan_fk(spark, sf_dir):
+    return quality.dq_output_orphan_fk(_model(spark, sf_dir).star)
+
+
+@register("dq_revenue_tieout")
+def q_dq_revenue_tieout(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return quality.dq_revenue_tieout(m.star, m.stg)
+
+
+@register("dq_items_vs_payments")
+def q_dq_items_vs_payments(spark, sf_dir):
+    return quality.dq_items_vs_payments(_model(spark, sf_dir).star)
+
+
+def _reports(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return (quality.dq_report(quality.input_checks(m.stg), "input"),
+            quality.dq_report(quality.output_checks(m.star, m.stg), "output"))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    a, b = _reports(spark, sf_dir)
+    return a.unionByName(b)
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    a, b = _reports(spark, sf_dir)
+    return quality.dq_summary(a, "input").unionByName(quality.dq_summary(b, "output"))
