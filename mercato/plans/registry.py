@@ -132,3 +132,33 @@ def q_dq_report(spark, sf_dir):
 def q_dq_gate(spark, sf_dir):
     a, b = _reports(spark, sf_dir)
     return quality.dq_summary(a, "input").unionByName(quality.dq_summary(b, "output"))
+
+
+# ---------------------------------------------------------------- views, pivots, KPIs, EDA
+from ..operators import eda, marts  # noqa: E402
+
+for _name, _fn in marts.VIEWS.items():
+    register(_name)(_analysis(_fn))
+
+
+def _sales(spark, sf_dir):
+    return marts.vw_sales(_model(spark, sf_dir).star)
+
+
+register("pivot_category_month")(lambda spark, d: marts.pivot_category_month(_sales(spark, d)))
+register("pivot_state")(lambda spark, d: marts.pivot_state(_sales(spark, d)))
+register("kpi_revenue")(lambda spark, d: marts.kpi_revenue(_sales(spark, d)))
+register("kpi_operations")(
+    lambda spark, d: marts.kpi_operations(marts.vw_orders(_model(spark, d).star)))
+register("kpi_repeat_pct")(
+    lambda spark, d: marts.kpi_repeat_pct(marts.vw_customers(_model(spark, d).star)))
+register("kpi_revenue_mom_calendar")(
+    lambda spark, d: marts.kpi_revenue_mom_calendar(_sales(spark, d)))
+register("kpi_cohort_m1_m3")(
+    lambda spark, d: marts.kpi_cohort_m1_m3(analysis.cohort_retention(_model(spark, d).star)))
+register("kpi_revenue_by_slicer")(lambda spark, d: marts.kpi_revenue_by_slicer(_sales(spark, d)))
+
+for _name in ("daily_order_volume", "daily_order_head_tail", "gap_days", "nulls_by_status",
+              "category_item_counts", "state_person_counts", "delivery_days_summary",
+              "delivery_days_histogram"):
+    register(_name)(_analysis(getattr(eda, _name)))
