@@ -69,3 +69,29 @@ def qcut_from_rank(rank: Column, n: Column, k: int) -> Column:
     step = F.floor(((rank - F.lit(1)) * F.lit(k) + n - F.lit(2)) / (n - F.lit(1)))
     return (F.when(n <= F.lit(1), F.lit(1))
             .otherwise(F.greatest(F.lit(1), step)).cast("int"))
+
+
+def global_cumsum(df: DataFrame, order_by: list[Column], weight: Column, out_col: str = "cumsum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Running (inclusive) sum of ``weight`` in ``order_by`` order across the whole frame.
+
+    Same scheme as ``global_rank``: range partitions on a unique sort key, a reliable
+    checkpoint, one total per partition, and a window confined to each partition (whose
+    size the range partitioning bounds).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = df.columns
+    frozen = (df.withColumn("_w", weight)
+              .repartitionByRange(n_parts, *order_by)
+              .sortWithinPartitions(*order_by)
+              .checkpoint(eager=True))
+    pos = frozen.select(*cols, "_w", F.spark_partition_id().alias("_pid"))
+    totals = pos.groupBy("_pid").agg(F.sum("_w").alias("_tot"))
+    running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = totals.select("_pid", (F.sum("_tot").over(running) - F.col("_tot")).alias("_off"))
+    local = F.sum("_w").over(Window.partitionBy("_pid").orderBy(*order_by)
+                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (pos.join(F.broadcast(offsets), "_pid")
+            .select(*cols, (F.col("_off") + local).alias(out_col)))

@@ -551,3 +551,73 @@ SELECT bin,
        CAST(lo AS DOUBLE) + (CAST(hi - lo AS DOUBLE) / CAST(40 AS DOUBLE)) * CAST(bin + 1 AS DOUBLE) AS bin_end,
        COUNT(*) AS orders
 FROM b_ GROUP BY bin, lo, hi""")
+
+
+# ---------------------------------------------------------------- segments
+_q("cohort_pct_matrix", _COHORT, "SELECT cohort, SUM(active_customers) FILTER (WHERE month_offset = 0) AS cohort_size, "
+   + ", ".join(f"{pct(f'SUM(active_customers) FILTER (WHERE month_offset = {k})', 'SUM(active_customers) FILTER (WHERE month_offset = 0)')} AS m{k}"
+               for k in range(12))
+   + " FROM cohort_long_ GROUP BY cohort")
+
+_q("rfm_person_base", _RFM, """
+SELECT customer_unique_id, last_order, frequency, CAST(monetary AS DOUBLE) AS monetary FROM rfm_""")
+
+_SEG = _RFM + """,
+ranked_ AS (
+    SELECT *, row_number() OVER (ORDER BY last_order, customer_unique_id) AS rk,
+           count(*) OVER () AS n
+    FROM rfm_),
+scored_ AS (
+    SELECT customer_unique_id, last_order, frequency, monetary,
+           CAST(CASE WHEN n <= 1 THEN 1 ELSE greatest(1, floor(((rk - 1) * 5 + n - 2) / (n - 1))) END AS BIGINT) AS r_score,
+           CAST(CASE WHEN frequency = 1 THEN 1 WHEN frequency = 2 THEN 2 ELSE 3 END AS BIGINT) AS f_bucket
+    FROM ranked_),
+seg_ AS (
+    SELECT *, CASE WHEN f_bucket >= 2 AND r_score >= 4 THEN 'Champions (repeat, recent)'
+                   WHEN f_bucket >= 2 AND r_score <= 3 THEN 'At-Risk Repeat (repeat, not recent)'
+                   WHEN f_bucket = 1 AND r_score >= 4 THEN 'Recent One-Time (acquisition pool)'
+                   ELSE 'Lapsed One-Time' END AS segment
+    FROM scored_)
+"""
+_q("rfm_segments", _SEG, """
+SELECT customer_unique_id, last_order, frequency, CAST(monetary AS DOUBLE) AS monetary, r_score, f_bucket, segment
+FROM seg_""")
+_q("segment_summary", _SEG + """,
+agg_ AS (SELECT segment, count(*) AS customers, SUM(monetary) AS revenue FROM seg_ GROUP BY segment),
+w_ AS (SELECT *, SUM(revenue) OVER () AS tr, SUM(customers) OVER () AS tc FROM agg_)
+""", f"""
+SELECT segment, customers, CAST(revenue AS DOUBLE) AS revenue,
+       {pct(cents('revenue'), cents('tr'))} AS revenue_share_pct,
+       {pct('customers', 'tc')} AS customer_share_pct
+FROM w_""")
+
+# ---------------------------------------------------------------- statistics
+_REV = f"""
+j_ AS (SELECT o.is_late, r.review_score FROM fact_orders o JOIN order_reviews r USING (order_id)
+       WHERE {D} AND o.is_late IS NOT NULL)
+"""
+_q("late_review_describe", _REV, f"SELECT is_late, {_describe_sql('review_score')} FROM j_ GROUP BY is_late")
+_q("review_effect_size", _REV, f"""
+SELECT is_late, COUNT(*) AS n, {hud('SUM(review_score)', 'COUNT(review_score)', 3)} AS mean,
+       round(quantile_cont(review_score, 0.5), 3) AS median,
+       {pct('COUNT(*) FILTER (WHERE review_score <= 2)', 'COUNT(*)')} AS pct_1_2_star
+FROM j_ GROUP BY is_late""")
+_q("mann_whitney_u", _REV + """,
+c_ AS (SELECT review_score AS v, count(*) FILTER (WHERE is_late) AS n1,
+              count(*) FILTER (WHERE NOT is_late) AS n2, count(*) AS t
+       FROM j_ WHERE review_score IS NOT NULL GROUP BY 1),
+r_ AS (SELECT *, SUM(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t AS before FROM c_),
+p_ AS (SELECT COALESCE(SUM(n1), 0) AS n1, COALESCE(SUM(n2), 0) AS n2,
+              COALESCE(SUM(CAST(n1 AS HUGEINT) * (2 * before + t + 1)), 0) AS r1x2,
+              COALESCE(SUM(CAST(t AS HUGEINT) * t * t - t), 0) AS ties
+       FROM r_),
+s_ AS (SELECT n1, n2, CAST(r1x2 - CAST(n1 AS HUGEINT) * (n1 + 1) AS DOUBLE) / CAST(2 AS DOUBLE) AS u1,
+              CAST(n1 AS DOUBLE) AS d1, CAST(n2 AS DOUBLE) AS d2, CAST(ties AS DOUBLE) AS dt
+       FROM p_),
+v_ AS (SELECT *, d1 * d2 / CAST(12 AS DOUBLE) * (((d1 + d2) + CAST(1 AS DOUBLE)) - dt / ((d1 + d2) * ((d1 + d2) - CAST(1 AS DOUBLE)))) AS var
+       FROM s_)
+""", """
+SELECT n1 AS n_late, n2 AS n_on_time, u1 AS u_statistic,
+       round(CASE WHEN d1 > 0 AND d2 > 0 AND var > 0
+                  THEN (u1 - d1 * d2 / CAST(2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / sqrt(var) END, 9) AS z
+FROM v_""")

@@ -162,3 +162,12 @@ for _name in ("daily_order_volume", "daily_order_head_tail", "gap_days", "nulls_
               "category_item_counts", "state_person_counts", "delivery_days_summary",
               "delivery_days_histogram"):
     register(_name)(_analysis(getattr(eda, _name)))
+
+
+# ---------------------------------------------------------------- segments and statistics
+from ..operators import segments, stats  # noqa: E402
+
+for _name in ("cohort_pct_matrix", "rfm_person_base", "rfm_segments", "segment_summary"):
+    register(_name)(_analysis(getattr(segments, _name)))
+for _name in ("late_review_describe", "mann_whitney_u", "mann_whitney_pvalue", "review_effect_size"):
+    register(_name)(_analysis(getattr(stats, _name)))
