@@ -621,3 +621,63 @@ SELECT n1 AS n_late, n2 AS n_on_time, u1 AS u_statistic,
        round(CASE WHEN d1 > 0 AND d2 > 0 AND var > 0
                   THEN (u1 - d1 * d2 / CAST(2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / sqrt(var) END, 9) AS z
 FROM v_""")
+
+
+# ---------------------------------------------------------------- forecasting
+_SERIES = """
+sb_ AS (SELECT CAST(min(order_purchase_timestamp) AS DATE) AS s, CAST(max(order_purchase_timestamp) AS DATE) AS e
+        FROM fact_orders),
+sc_ AS (SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS orders FROM fact_orders GROUP BY 1),
+sd_ AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM sb_),
+series_ AS (
+    SELECT 'all' AS series_id, sd_.day, CAST(date_diff('day', sb_.s, sd_.day) AS BIGINT) AS day_index,
+           CAST(COALESCE(sc_.orders, 0) AS BIGINT) AS orders
+    FROM sd_ CROSS JOIN sb_ LEFT JOIN sc_ ON sc_.day = sd_.day),
+len_ AS (SELECT series_id, count(*) AS len, min(day) AS first_day FROM series_ GROUP BY 1),
+folds_ AS (
+    SELECT series_id, CAST(f AS BIGINT) AS fold, len - (6 - f + 1) * 28 AS test_start_idx, first_day
+    FROM len_ CROSS JOIN range(1, 7) t(f)
+    WHERE len - (6 - f + 1) * 28 >= 7),
+td_ AS (SELECT series_id, fold, test_start_idx,
+               unnest(generate_series(test_start_idx, test_start_idx + 27)) AS day_index FROM folds_),
+sn_ AS (
+    SELECT td_.series_id, td_.fold, a.day, td_.day_index, a.orders AS actual, CAST(p.orders AS DOUBLE) AS forecast
+    FROM td_ JOIN series_ a ON a.series_id = td_.series_id AND a.day_index = td_.day_index
+    JOIN series_ p ON p.series_id = td_.series_id
+                  AND p.day_index = td_.test_start_idx - 7 + (td_.day_index - td_.test_start_idx) % 7),
+end_ AS (SELECT series_id, max(day_index) AS last_idx, max(day) AS last_day FROM series_ GROUP BY 1),
+fut_ AS (
+    SELECT e.series_id, st.step, e.last_day + CAST(st.step + 1 AS INTEGER) AS date, CAST(p.orders AS DOUBLE) AS f
+    FROM end_ e CROSS JOIN range(0, 28) st(step)
+    JOIN series_ p ON p.series_id = e.series_id AND p.day_index = e.last_idx - 7 + 1 + st.step % 7),
+q_ AS (SELECT series_id, quantile_cont(actual - forecast, 0.025) AS lq,
+              quantile_cont(actual - forecast, 0.975) AS uq FROM sn_ GROUP BY 1),
+snf_ AS (SELECT series_id, date, f AS forecast, round(greatest(f + lq, 0.0), 6) AS lower, round(f + uq, 6) AS upper
+         FROM fut_ JOIN q_ USING (series_id))
+"""
+_q("daily_series", _SERIES, "SELECT series_id, day, day_index, orders FROM series_")
+_q("walk_forward_folds", _SERIES, """
+SELECT series_id, fold, test_start_idx, first_day + CAST(test_start_idx AS INTEGER) AS test_start,
+       first_day + CAST(test_start_idx + 27 AS INTEGER) AS test_end
+FROM folds_""")
+_q("event_lift", _SERIES + """,
+w_ AS (SELECT series_id, day, orders,
+              avg(orders) OVER (PARTITION BY series_id ORDER BY day_index
+                                RANGE BETWEEN 14 PRECEDING AND 1 PRECEDING) AS base
+       FROM series_),
+ff_ AS (SELECT series_id, min(first_day + CAST(test_start_idx AS INTEGER)) AS first_test FROM folds_ GROUP BY 1)
+""", """
+SELECT w_.series_id, day, orders, round(base, 9) AS baseline_avg,
+       round(CAST(orders AS DOUBLE) / NULLIF(base, 0), 9) AS lift,
+       CAST(date_diff('day', day, first_test) AS BIGINT) AS days_before_first_fold
+FROM w_ LEFT JOIN ff_ USING (series_id)""")
+_q("seasonal_naive_backtest", _SERIES, """
+SELECT series_id, fold, min(day) AS test_start, max(day) AS test_end,
+       sum(abs(actual - forecast)) / NULLIF(sum(abs(actual)), 0) AS wape,
+       avg(forecast - actual) AS bias, 'seasonal_naive' AS model
+FROM sn_ GROUP BY series_id, fold""")
+_q("forecast_seasonal_naive", _SERIES, "SELECT series_id, date, forecast, lower, upper FROM snf_")
+_q("forecast_total_seasonal_naive", _SERIES, """
+SELECT series_id, sum(forecast) AS forecast_total, sum(lower) AS sum_of_daily_lower,
+       sum(upper) AS sum_of_daily_upper
+FROM snf_ GROUP BY series_id""")

@@ -171,3 +171,64 @@ for _name in ("cohort_pct_matrix", "rfm_person_base", "rfm_segments", "segment_s
     register(_name)(_analysis(getattr(segments, _name)))
 for _name in ("late_review_describe", "mann_whitney_u", "mann_whitney_pvalue", "review_effect_size"):
     register(_name)(_analysis(getattr(stats, _name)))
+
+
+# ---------------------------------------------------------------- forecasting
+from ..operators import forecast  # noqa: E402
+
+
+def _series(spark, sf_dir):
+    return forecast.daily_series(_model(spark, sf_dir).star)
+
+
+@register("daily_series")
+def q_daily_series(spark, sf_dir):
+    return _series(spark, sf_dir)
+
+
+@register("walk_forward_folds")
+def q_walk_forward_folds(spark, sf_dir):
+    return forecast.walk_forward_folds(_series(spark, sf_dir))
+
+
+@register("event_lift")
+def q_event_lift(spark, sf_dir):
+    s = _series(spark, sf_dir)
+    return forecast.event_lift(s, folds=forecast.walk_forward_folds(s))
+
+
+@register("seasonal_naive_backtest")
+def q_seasonal_naive_backtest(spark, sf_dir):
+    s = _series(spark, sf_dir)
+    return forecast.fold_metrics(
+        forecast.seasonal_naive_predictions(s, forecast.walk_forward_folds(s)), forecast.SN)
+
+
+@register("forecast_seasonal_naive")
+def q_forecast_seasonal_naive(spark, sf_dir):
+    return forecast.seasonal_naive_forecast(_series(spark, sf_dir))
+
+
+@register("forecast_total_seasonal_naive")
+def q_forecast_total_seasonal_naive(spark, sf_dir):
+    return forecast.forecast_total(forecast.seasonal_naive_forecast(_series(spark, sf_dir)))
+
+
+def _backtest(spark, sf_dir):
+    return forecast.Backtest(_series(spark, sf_dir))
+
+
+register("holt_winters_backtest")(
+    lambda spark, d: forecast.fold_metrics(_backtest(spark, d).hw_preds, forecast.HW))
+register("backtest_table")(lambda spark, d: _backtest(spark, d).table())
+register("model_selection")(lambda spark, d: _backtest(spark, d).selection())
+register("forecast_28d")(lambda spark, d: _backtest(spark, d).forecast())
+register("forecast_total")(lambda spark, d: forecast.forecast_total(_backtest(spark, d).forecast()))
+register("monitor_thresholds")(lambda spark, d: _backtest(spark, d).thresholds())
+
+
+@register("recent_actuals_plus_forecast")
+def q_recent_actuals_plus_forecast(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    bt = forecast.Backtest(forecast.daily_series(m.star))
+    return marts.recent_actuals_plus_forecast(marts.vw_daily_orders(m.star), bt.forecast())
