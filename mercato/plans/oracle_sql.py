@@ -681,3 +681,16 @@ _q("forecast_total_seasonal_naive", _SERIES, """
 SELECT series_id, sum(forecast) AS forecast_total, sum(lower) AS sum_of_daily_lower,
        sum(upper) AS sum_of_daily_upper
 FROM snf_ GROUP BY series_id""")
+
+
+# ---------------------------------------------------------------- sources and run-all
+_q("stage_all", "", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM stg_{t}" for t in _STG))
+
+_RUN_ALL = ["monthly_revenue_mom", "aov_trend", "category_pareto", "revenue_by_state", "payment_mix",
+            "seller_concentration", "order_status_funnel", "delivery_days_distribution",
+            "late_pct_by_month", "late_pct_by_state", "late_vs_review", "cohort_retention",
+            "repeat_purchase_rate", "rfm_scores", "rfm_segment_share", "items_vs_payments",
+            "duplicate_review_orders", "temporal_violations"]
+ORACLE["run_all_queries"] = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS query, count(*) AS \"rows\" FROM ({ORACLE[n]})" for n in _RUN_ALL)

@@ -232,3 +232,36 @@ def q_recent_actuals_plus_forecast(spark, sf_dir):
     m = _model(spark, sf_dir)
     bt = forecast.Backtest(forecast.daily_series(m.star))
     return marts.recent_actuals_plus_forecast(marts.vw_daily_orders(m.star), bt.forecast())
+
+
+# ---------------------------------------------------------------- sources and run-all
+import uuid  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import csv as csv_source  # noqa: E402
+from ..sources import testdata  # noqa: E402
+
+
+@register("stage_all")
+def q_stage_all(spark, sf_dir):
+    """The staging tables written as CSV to the shared scratch folder, staged
+    back as text and counted."""
+    raw = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    csv_source.write_staging_csv(testdata.staging_tables(spark, sf_dir), raw)
+    _, counts = csv_source.stage_all(spark, raw)
+    return counts
+
+
+@register("run_all_queries")
+def q_run_all_queries(spark, sf_dir):
+    """Every business query evaluated; (query, rows) per result."""
+    m = _model(spark, sf_dir)
+    results = {name: fn(m.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
+    results["duplicate_review_orders"] = analysis.duplicate_review_orders(m.stg["order_reviews"])
+    results["temporal_violations"] = analysis.temporal_violations(m.star)
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("query"), "rows")
+             for name, df in results.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

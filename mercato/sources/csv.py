@@ -81,3 +81,14 @@ def staged_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_staging_csv(frames: dict[str, DataFrame], raw_dir: str,
+                      file_map: dict[str, str] | None = None) -> None:
+    """Write staged frames as header CSV folders that ``stage_csv`` reads back verbatim
+    (quotes doubled, embedded newlines quoted)."""
+    file_map = file_map or default_file_map()
+    for table, df in frames.items():
+        (df.write.mode("overwrite").option("header", "true").option("quote", '"')
+         .option("escape", '"').option("quoteAll", "false")
+         .csv(f"{raw_dir.rstrip('/')}/{file_map[table]}.csv"))
