@@ -53,3 +53,26 @@ def segment_label(f_bucket: Column, r_score: Column) -> Column:
             .when((f_bucket >= 2) & (r_score <= 3), AT_RISK_REPEAT)
             .when((f_bucket == 1) & (r_score >= 4), RECENT_ONE_TIME)
             .otherwise(LAPSED_ONE_TIME))
+
+
+def cents(col: str | Column) -> Column:
+    """A DECIMAL(18,2) money value as exact BIGINT cents.
+
+    Sums of DECIMAL(18,2) widen past 18 digits and fall back to arbitrary-precision
+    arithmetic; cents keep every aggregate on primitive longs.  The conversion goes
+    through a double and is exact while |value| < 2^53 / 100 (about 9e13 per value);
+    sums stay exact up to 9.2e16 currency units.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c.cast("double") * F.lit(100.0)).cast("long")
+
+
+def line_revenue_cents() -> Column:
+    """price + freight of an item line in cents."""
+    return cents("price") + cents("freight_value")
+
+
+def from_cents(col: str | Column) -> Column:
+    """Cents back to an exact DECIMAL(38,2) (applied to aggregated rows only)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return (c.cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")

@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (CANCELED, frequency_bucket, is_delivered, line_revenue,
-                                 month_start, months_between_starts)
-from ..functions.numeric import half_up_div, pct, unscaled
+from ..functions.columns import (CANCELED, cents, frequency_bucket, from_cents, is_delivered,
+                                 line_revenue_cents, month_start, months_between_starts)
+from ..functions.numeric import half_up_div, pct
 from ..functions.ranking import global_rank, ntile_from_rank
 from .star import Star
 
@@ -27,9 +27,9 @@ def _all() -> Window:
 
 
 def order_revenue(star: Star) -> DataFrame:
-    """(order_id, order_revenue): item revenue per order, all orders with items."""
+    """(order_id, order_revenue): item revenue per order in cents, all orders with items."""
     return (star.fact_order_items.groupBy("order_id")
-            .agg(F.sum(line_revenue()).alias("order_revenue")))
+            .agg(F.sum(line_revenue_cents()).alias("order_revenue")))
 
 
 def delivered_orders(star: Star, *cols: str) -> DataFrame:
@@ -46,10 +46,10 @@ def monthly_revenue_mom(star: Star) -> DataFrame:
     monthly = (delivered_order_revenue(star, "order_purchase_timestamp")
                .groupBy(month_start("order_purchase_timestamp").alias("month"))
                .agg(F.sum("order_revenue").alias("revenue")))
-    prev = F.lag("revenue").over(Window.orderBy("month"))
-    return monthly.select(
-        "month", "revenue",
-        half_up_div(unscaled(F.col("revenue") - prev) * F.lit(100), unscaled(prev), 1)
+    lagged = monthly.withColumn("_prev", F.lag("revenue").over(Window.orderBy("month")))
+    return lagged.select(
+        "month", from_cents("revenue").alias("revenue"),
+        half_up_div((F.col("revenue") - F.col("_prev")) * F.lit(100), F.col("_prev"), 1)
         .alias("mom_growth_pct"),
     )
 
@@ -62,7 +62,7 @@ def aov_trend(star: Star) -> DataFrame:
         F.count_distinct("order_id").alias("orders"),
         F.sum("order_revenue").alias("revenue"))
     return monthly.select("month", "orders",
-                          half_up_div(unscaled("revenue"), F.col("orders") * F.lit(100), 2)
+                          half_up_div(F.col("revenue"), F.col("orders") * F.lit(100), 2)
                           .alias("aov"))
 
 
@@ -70,7 +70,7 @@ def category_pareto(star: Star) -> DataFrame:
     """Revenue by category with share and cumulative share.  The cumulative sum uses
     a RANGE frame, so categories with equal revenue share one cumulative value."""
     lines = star.fact_order_items.join(delivered_orders(star), "order_id")
-    per_product = lines.groupBy("product_id").agg(F.sum(line_revenue()).alias("revenue"))
+    per_product = lines.groupBy("product_id").agg(F.sum(line_revenue_cents()).alias("revenue"))
     cat = (per_product.join(star.dim_products.select("product_id", "product_category_name_english"),
                             "product_id")
            .groupBy(F.coalesce("product_category_name_english", F.lit("unknown")).alias("category"))
@@ -79,9 +79,9 @@ def category_pareto(star: Star) -> DataFrame:
                                                              Window.currentRow)
     total = F.sum("revenue").over(_all())
     return cat.select(
-        "category", "revenue",
-        pct(unscaled("revenue"), unscaled(total)).alias("revenue_share_pct"),
-        pct(unscaled(F.sum("revenue").over(running)), unscaled(total)).alias("cumulative_share_pct"),
+        "category", from_cents("revenue").alias("revenue"),
+        pct(F.col("revenue"), total).alias("revenue_share_pct"),
+        pct(F.sum("revenue").over(running), total).alias("cumulative_share_pct"),
     )
 
 
@@ -92,9 +92,8 @@ def revenue_by_state(star: Star) -> DataFrame:
           .groupBy(F.col("customer_state").alias("state"))
           .agg(F.count_distinct("order_id").alias("orders"),
                F.sum("order_revenue").alias("revenue")))
-    return st.select("state", "orders", "revenue",
-                     pct(unscaled("revenue"), unscaled(F.sum("revenue").over(_all())))
-                     .alias("revenue_share_pct"))
+    return st.select("state", "orders", from_cents("revenue").alias("revenue"),
+                     pct(F.col("revenue"), F.sum("revenue").over(_all())).alias("revenue_share_pct"))
 
 
 def payment_mix(star: Star) -> DataFrame:
@@ -104,17 +103,17 @@ def payment_mix(star: Star) -> DataFrame:
         F.count(F.lit(1)).alias("payment_records"),
         F.sum("payment_installments").alias("_inst"),
         F.count("payment_installments").alias("_inst_n"),
-        F.sum("payment_value").alias("total_payment_value"))
+        F.sum(cents("payment_value")).alias("total_payment_value"))
     return mix.select(
         "payment_type", "payment_records",
         pct(F.col("payment_records"), F.sum("payment_records").over(_all())).alias("share_pct"),
         half_up_div(F.col("_inst"), F.col("_inst_n"), 2).alias("avg_installments"),
-        "total_payment_value")
+        from_cents("total_payment_value").alias("total_payment_value"))
 
 
 def seller_revenue(star: Star) -> DataFrame:
     lines = star.fact_order_items.join(delivered_orders(star), "order_id")
-    return lines.groupBy("seller_id").agg(F.sum(line_revenue()).alias("revenue"))
+    return lines.groupBy("seller_id").agg(F.sum(line_revenue_cents()).alias("revenue"))
 
 
 def seller_concentration(star: Star, top: int = 10) -> DataFrame:
@@ -130,8 +129,8 @@ def seller_concentration(star: Star, top: int = 10) -> DataFrame:
     ranked = top_rows.select("seller_id", "revenue", F.row_number().over(order).alias("revenue_rank"))
     running = Window.orderBy("revenue_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ranked.crossJoin(F.broadcast(total)).select(
-        "seller_id", "revenue", "revenue_rank",
-        pct(unscaled(F.sum("revenue").over(running)), unscaled("_total")).alias("cumulative_share_pct"))
+        "seller_id", from_cents("revenue").alias("revenue"), "revenue_rank",
+        pct(F.sum("revenue").over(running), F.col("_total")).alias("cumulative_share_pct"))
 
 
 def order_status_funnel(star: Star) -> DataFrame:
@@ -226,7 +225,7 @@ def rfm_base(star: Star) -> DataFrame:
     return joined.groupBy("customer_unique_id").agg(
         F.to_date(F.max("order_purchase_timestamp")).alias("last_order"),
         F.count_distinct("order_id").alias("frequency"),
-        F.sum("order_revenue").alias("monetary"))
+        from_cents(F.sum("order_revenue")).alias("monetary"))
 
 
 def recency_scored(base: DataFrame, tiles: int = 5) -> DataFrame:
@@ -257,9 +256,10 @@ def rfm_segment_share(star: Star, tiles: int = 5, base: DataFrame | None = None)
     scored = recency_scored(base, tiles).withColumn("f_bucket", frequency_bucket(F.col("frequency")))
     seg = scored.groupBy("r_score", "f_bucket").agg(
         F.count(F.lit(1)).alias("customers"),
-        F.sum("monetary").alias("segment_revenue"))
-    return seg.select("r_score", "f_bucket", "customers", "segment_revenue",
-                      pct(unscaled("segment_revenue"), unscaled(F.sum("segment_revenue").over(_all())))
+        F.sum(cents("monetary")).alias("segment_revenue"))
+    return seg.select("r_score", "f_bucket", "customers",
+                      from_cents("segment_revenue").alias("segment_revenue"),
+                      pct(F.col("segment_revenue"), F.sum("segment_revenue").over(_all()))
                       .alias("revenue_share_pct"))
 
 
@@ -269,12 +269,14 @@ def items_vs_payments(star: Star, tolerance: float = 0.01) -> DataFrame:
     Both sides are summed per order before the joins (no items x payments fan-out); the
     three inputs then meet on the same key, so they share one partitioning.
     """
-    items = star.fact_order_items.groupBy("order_id").agg(F.sum(line_revenue()).alias("item_total"))
-    pays = star.order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("payment_total"))
+    items = star.fact_order_items.groupBy("order_id").agg(F.sum(line_revenue_cents()).alias("_items"))
+    pays = star.order_payments.groupBy("order_id").agg(F.sum(cents("payment_value")).alias("_pays"))
     j = star.fact_orders.select("order_id").join(items, "order_id").join(pays, "order_id")
-    diff = F.col("payment_total") - F.col("item_total")
-    return (j.filter(F.abs(diff) > F.lit(tolerance))
-            .select("order_id", "item_total", "payment_total", diff.alias("diff")))
+    diff = F.col("_pays") - F.col("_items")
+    tol_cents = int(round(tolerance * 100))
+    return (j.filter(F.abs(diff) > F.lit(tol_cents))
+            .select("order_id", from_cents("_items").alias("item_total"),
+                    from_cents("_pays").alias("payment_total"), from_cents(diff).alias("diff")))
 
 
 def duplicate_review_orders(stg_reviews: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import is_delivered, line_revenue, month_label, month_start
-from ..functions.numeric import half_up_div, pct, unscaled
+from ..functions.columns import (cents, from_cents, is_delivered, line_revenue,
+                                 line_revenue_cents, month_label, month_start)
+from ..functions.numeric import half_up_div, pct
 from .star import Star
 
 
@@ -45,14 +46,14 @@ def vw_customers(star: Star) -> DataFrame:
     """Person grain - delivered orders, lifetime revenue, first/last order, repeat
     flag.  Orders without items drop out (inner join to items)."""
     per_order = (star.fact_order_items.groupBy("order_id")
-                 .agg(F.sum(line_revenue()).alias("order_revenue")))
+                 .agg(F.sum(line_revenue_cents()).alias("order_revenue")))
     o = star.fact_orders.filter(is_delivered()).select("order_id", "customer_id",
                                                        "order_purchase_timestamp")
     j = (o.join(per_order, "order_id")
          .join(star.dim_customers.select("customer_id", "customer_unique_id"), "customer_id"))
     agg = j.groupBy("customer_unique_id").agg(
         F.count_distinct("order_id").alias("delivered_orders"),
-        F.sum("order_revenue").alias("lifetime_revenue"),
+        from_cents(F.sum("order_revenue")).alias("lifetime_revenue"),
         F.min("order_purchase_timestamp").alias("first_order"),
         F.max("order_purchase_timestamp").alias("last_order"))
     return agg.withColumn("is_repeat", F.col("delivered_orders") >= 2)
@@ -87,7 +88,8 @@ def sales_extract(sales: DataFrame) -> DataFrame:
         "order_id",
         F.coalesce("product_category_name_english", F.lit("unknown")).alias("category"),
         F.col("customer_state").alias("state"), "order_date",
-        month_label("order_date").alias("month"), "line_revenue")
+        month_label("order_date").alias("month"), "line_revenue",
+        cents("line_revenue").alias("line_cents"))
 
 
 def pivot_category_month(sales: DataFrame, months: list[str] | None = None,
@@ -99,7 +101,7 @@ def pivot_category_month(sales: DataFrame, months: list[str] | None = None,
     """
     ext = sales_extract(sales)
     cube = (ext.cube("category", "month")
-            .agg(F.sum("line_revenue").alias("revenue"),
+            .agg(from_cents(F.sum("line_cents")).alias("revenue"),
                  F.grouping("category").alias("_gc"), F.grouping("month").alias("_gm"))
             .select(F.when(F.col("_gc") == 1, F.lit(total_label))
                     .otherwise(F.col("category")).alias("category"),
@@ -117,7 +119,7 @@ def pivot_state(sales: DataFrame) -> DataFrame:
     """Revenue and distinct orders per state."""
     ext = sales_extract(sales)
     return ext.groupBy("state").agg(F.count_distinct("order_id").alias("orders"),
-                                    F.round(F.sum("line_revenue"), 2).alias("revenue"))
+                                    from_cents(F.sum("line_cents")).alias("revenue"))
 
 
 # ---------------------------------------------------------------- KPI measures
@@ -125,11 +127,10 @@ def pivot_state(sales: DataFrame) -> DataFrame:
 
 def kpi_revenue(sales: DataFrame) -> DataFrame:
     """K1-K3: total revenue, distinct orders, average order value (NULL if no orders)."""
-    agg = sales.agg(F.sum("line_revenue").alias("total_revenue"),
+    agg = sales.agg(F.sum(cents("line_revenue")).alias("_cents"),
                     F.count_distinct("order_id").alias("total_orders"))
-    return agg.select("total_revenue", "total_orders",
-                      half_up_div(unscaled("total_revenue"), F.col("total_orders") * F.lit(100), 2)
-                      .alias("aov"))
+    return agg.select(from_cents("_cents").alias("total_revenue"), "total_orders",
+                      half_up_div(F.col("_cents"), F.col("total_orders") * F.lit(100), 2).alias("aov"))
 
 
 def kpi_operations(orders_view: DataFrame) -> DataFrame:
@@ -158,12 +159,12 @@ def kpi_revenue_mom_calendar(sales: DataFrame) -> DataFrame:
     """K9: revenue growth against the calendar-previous month; NULL when that month has
     no revenue (unlike A01, which compares with the previous month present)."""
     m = sales.groupBy(month_start("order_date").alias("month")).agg(
-        F.sum("line_revenue").alias("revenue"))
+        F.sum(cents("line_revenue")).alias("revenue"))
     prev = m.select(F.add_months("month", 1).alias("month"), F.col("revenue").alias("_prev"))
     j = m.join(prev, "month", "left")
-    return j.select("month", "revenue",
-                    half_up_div(unscaled(F.col("revenue") - F.col("_prev")) * F.lit(100),
-                                unscaled("_prev"), 1).alias("mom_growth_pct"))
+    return j.select("month", from_cents("revenue").alias("revenue"),
+                    half_up_div((F.col("revenue") - F.col("_prev")) * F.lit(100),
+                                F.col("_prev"), 1).alias("mom_growth_pct"))
 
 
 def kpi_cohort_m1_m3(cohorts: DataFrame, offsets: tuple[int, ...] = (1, 3)) -> DataFrame:
@@ -198,11 +199,10 @@ def kpi_revenue_by_slicer(sales: DataFrame) -> DataFrame:
     what each single-value slicer selection shows."""
     ext = sales_extract(sales)
     agg = ext.groupBy("state", "category").agg(
-        F.sum("line_revenue").alias("total_revenue"),
+        F.sum("line_cents").alias("_cents"),
         F.count_distinct("order_id").alias("total_orders"))
-    return agg.select("state", "category", "total_revenue", "total_orders",
-                      half_up_div(unscaled("total_revenue"), F.col("total_orders") * F.lit(100), 2)
-                      .alias("aov"))
+    return agg.select("state", "category", from_cents("_cents").alias("total_revenue"), "total_orders",
+                      half_up_div(F.col("_cents"), F.col("total_orders") * F.lit(100), 2).alias("aov"))
 
 
 def recent_actuals_plus_forecast(daily: DataFrame, forecast: DataFrame, days: int = 90) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import half_up_div, unscaled
+from ..functions.numeric import half_up_div
 from ..sources.schemas import COORD, MONEY, SIZE, TS
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -143,9 +143,11 @@ def order_reviews_latest(stg_reviews: DataFrame) -> DataFrame:
 
 
 def _mean_rounded(col: str, scale: int) -> Column:
-    """Exact mean of a DECIMAL(18,8) column, rounded half away from zero."""
+    """Exact mean of a DECIMAL(18,8) column, rounded half away from zero.  Values are
+    summed as integral units of 1e-8 on primitive longs (exact for |value| < 9e7)."""
     c = F.col(col).cast(COORD)
-    return half_up_div(F.sum(unscaled(c, 8)), F.count(c) * F.lit(10 ** 8), scale)
+    units = F.round(c.cast("double") * F.lit(1e8)).cast("long")
+    return half_up_div(F.sum(units), F.count(c) * F.lit(10 ** 8), scale)
 
 
 def geolocation_dedup(stg_geo: DataFrame, coord_scale: int = 6) -> DataFrame:

@@ -58,15 +58,19 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _read(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast(MONEY)
+    # freight = price x tax rounded half away from zero to the cent, in integer cents
+    price_cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    tax_pct = F.round(F.col("l_tax") * 100).cast("long")
+    product = price_cents * tax_pct
+    freight_cents = F.signum(product).cast("long") * F.floor((F.abs(product) + 50) / 100)
     return lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
-        price.alias("price"),
-        F.round(price * F.col("l_tax").cast(MONEY), 2).cast(MONEY).alias("freight_value"),
+        F.col("l_extendedprice").cast(MONEY).alias("price"),
+        (freight_cents / F.lit(100.0)).cast(MONEY).alias("freight_value"),
     )
 
 
