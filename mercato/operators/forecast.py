@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import holt_winters
+from ..session import ensure_checkpoint_dir
 from .eda import purchase_date_bounds
 from .star import Star
 
@@ -159,7 +160,10 @@ class Backtest:
         self.series, self.horizon = series, horizon
         self.folds = walk_forward_folds(series, n_folds, horizon)
         self.sn_preds = seasonal_naive_predictions(series, self.folds, horizon)
-        self.hw_all = holt_winters_predictions(series, self.folds, horizon)
+        # the fits feed both the backtest and the final forecast: save them once to the
+        # reliable checkpoint folder instead of refitting in every consumer
+        ensure_checkpoint_dir(series.sparkSession)
+        self.hw_all = holt_winters_predictions(series, self.folds, horizon).checkpoint(eager=True)
         self.hw_preds = holt_winters_backtest_predictions(series, self.folds, self.hw_all)
 
     def metrics(self) -> DataFrame:
