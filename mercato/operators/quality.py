@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import CANCELED, line_revenue
@@ -95,16 +95,98 @@ def _ts(col: str) -> Column:
 # ---------------------------------------------------------------- input layer
 
 
-def dq_row_counts(stg: dict[str, DataFrame]) -> DataFrame:
-    """Each staging table holds at least one row."""
+def _domain_exprs(table: str) -> dict[str, Column]:
+    out = {}
+    if table == "order_reviews":
+        out["dom_score"] = F.count_if(~F.col("review_score").try_cast("int").between(1, 5))
+    if table == "order_items":
+        out["dom_price"] = F.count_if(F.col("price").try_cast(MONEY) < 0)
+        out["dom_freight"] = F.count_if(F.col("freight_value").try_cast(MONEY) < 0)
+    if table == "order_payments":
+        out["dom_value"] = F.count_if(F.col("payment_value").try_cast(MONEY) < 0)
+    return out
+
+
+def _temporal_exprs(table: str) -> dict[str, Column]:
+    if table != "orders":
+        return {}
+    return {
+        "tmp_a": F.count_if(_ts("order_delivered_carrier_date") < _ts("order_approved_at")),
+        "tmp_b": F.count_if(_ts("order_delivered_customer_date") < _ts("order_delivered_carrier_date")),
+        "tmp_c": F.count_if((F.col("order_status") == CANCELED)
+                            & F.col("order_delivered_customer_date").isNotNull()),
+    }
+
+
+def table_profiles(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One single-row aggregate per staging table holding every scalar check of that
+    table (row count, domain, temporal, null and cast counts)."""
+    profiles = {}
+    for t in STAGING_TABLES:
+        exprs = {"n": F.count(F.lit(1))}
+        exprs.update(_domain_exprs(t))
+        exprs.update(_temporal_exprs(t))
+        for table, c, _ in NULL_POLICY:
+            if table == t:
+                exprs[f"null_{c}"] = F.count_if(F.col(c).isNull())
+        for table, c, typ in CAST_PLAN:
+            if table == t:
+                exprs[f"cast_{c}"] = F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(typ).isNull())
+        profiles[t] = stg[t].agg(*[e.alias(k) for k, e in exprs.items()])
+    return profiles
+
+
+def _scalar_specs(table: str) -> list[tuple[str, str, str, Column, str]]:
+    """Every scalar check of a table as a (check, table, detail, count, severity) spec
+    over the columns of its profile."""
+    specs = [("row_count", table, f"stg.{table} is empty", F.when(F.col("n") > 0, 0).otherwise(1), BLOCKING)]
+    domain = {"dom_score": "order_reviews: review_score NOT BETWEEN 1 AND 5",
+              "dom_price": "order_items: price < 0", "dom_freight": "order_items: freight_value < 0",
+              "dom_value": "order_payments: payment_value < 0"}
+    for col in _domain_exprs(table):
+        specs.append(("domain", table, domain[col], F.col(col), BLOCKING))
+    temporal = {"tmp_a": "order_delivered_carrier_date < order_approved_at",
+                "tmp_b": "order_delivered_customer_date < order_delivered_carrier_date",
+                "tmp_c": "canceled order with a non-null delivered_customer_date"}
+    for col in _temporal_exprs(table):
+        specs.append(("temporal_sanity", table, temporal[col], F.col(col), LOGGED))
+    for t, c, bp in NULL_POLICY:
+        if t == table:
+            nulls = F.col(f"null_{c}")
+            breached = nulls * F.lit(10000) > F.col("n") * F.lit(bp)
+            specs.append(("null_policy", table, f"{c}: null rate above {bp / 100:.2f}%",
+                          F.when(breached, nulls).otherwise(0), LOGGED))
+    for t, c, typ in CAST_PLAN:
+        if t == table:
+            specs.append(("malformed_cast", table, f"{c} values not castable to {typ}",
+                          F.col(f"cast_{c}"), BLOCKING))
+    return specs
+
+
+def scalar_checks(stg: dict[str, DataFrame]) -> DataFrame:
+    """All scalar check rows: each table is scanned once and all its rows come out of a
+    single projection of its profile (so column pruning cannot split the aggregate)."""
+    profiles = table_profiles(stg)
+    return _union([_rows(profiles[t], _scalar_specs(t)) for t in STAGING_TABLES])
+
+
+def _family(stg: dict[str, DataFrame], check: str) -> DataFrame:
+    """One check family alone: only the tables it covers, and column pruning keeps only
+    the aggregates it reads."""
+    profiles = table_profiles(stg)
     frames = []
     for t in STAGING_TABLES:
-        agg = stg[t].agg(F.count(F.lit(1)).alias("n"))
-        frames.append(_rows(agg, [("row_count", t, f"stg.{t} is empty",
-                                   F.when(F.col("n") > 0, 0).otherwise(1), BLOCKING)]))
+        specs = [sp for sp in _scalar_specs(t) if sp[0] == check]
+        if specs:
+            frames.append(_rows(profiles[t], specs))
     return _union(frames)
 
 
+def dq_row_counts(stg: dict[str, DataFrame]) -> DataFrame:
+    """Each staging table holds at least one row."""
+    return _family(stg, "row_count")
+
+
 def _duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     """Number of key groups occurring more than once (combined map-side)."""
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
@@ -150,56 +232,18 @@ def dq_orphan_fk(stg: dict[str, DataFrame]) -> DataFrame:
 
 def dq_domain(stg: dict[str, DataFrame]) -> DataFrame:
     """Score outside 1..5, negative money; NULLs do not count."""
-    rev = stg["order_reviews"].agg(
-        F.count_if(~F.col("review_score").try_cast("int").between(1, 5)).alias("score"))
-    items = stg["order_items"].agg(
-        F.count_if(F.col("price").try_cast(MONEY) < 0).alias("price"),
-        F.count_if(F.col("freight_value").try_cast(MONEY) < 0).alias("freight"))
-    pays = stg["order_payments"].agg(
-        F.count_if(F.col("payment_value").try_cast(MONEY) < 0).alias("value"))
-    return _union([
-        _rows(rev, [("domain", "order_reviews", "order_reviews: review_score NOT BETWEEN 1 AND 5",
-                     F.col("score"), BLOCKING)]),
-        _rows(items, [("domain", "order_items", "order_items: price < 0", F.col("price"), BLOCKING),
-                      ("domain", "order_items", "order_items: freight_value < 0", F.col("freight"),
-                       BLOCKING)]),
-        _rows(pays, [("domain", "order_payments", "order_payments: payment_value < 0",
-                      F.col("value"), BLOCKING)]),
-    ])
+    return _family(stg, "domain")
 
 
 def dq_temporal(stg: dict[str, DataFrame]) -> DataFrame:
     """The three impossible orderings, logged."""
-    agg = stg["orders"].agg(
-        F.count_if(_ts("order_delivered_carrier_date") < _ts("order_approved_at")).alias("a"),
-        F.count_if(_ts("order_delivered_customer_date") < _ts("order_delivered_carrier_date")).alias("b"),
-        F.count_if((F.col("order_status") == CANCELED)
-                   & F.col("order_delivered_customer_date").isNotNull()).alias("c"))
-    return _rows(agg, [
-        ("temporal_sanity", "orders", "order_delivered_carrier_date < order_approved_at",
-         F.col("a"), LOGGED),
-        ("temporal_sanity", "orders", "order_delivered_customer_date < order_delivered_carrier_date",
-         F.col("b"), LOGGED),
-        ("temporal_sanity", "orders", "canceled order with a non-null delivered_customer_date",
-         F.col("c"), LOGGED),
-    ])
+    return _family(stg, "temporal_sanity")
 
 
 def dq_null_policy(stg: dict[str, DataFrame]) -> DataFrame:
     """Null count of each policed column when its rate is strictly above the
     threshold (compared exactly in integers; an empty table has rate 0)."""
-    frames = []
-    for table in dict.fromkeys(t for t, _, _ in NULL_POLICY):
-        policy = [(c, bp) for t, c, bp in NULL_POLICY if t == table]
-        agg = stg[table].agg(F.count(F.lit(1)).alias("total"),
-                             *[F.count_if(F.col(c).isNull()).alias(c) for c, _ in policy])
-        specs = []
-        for c, bp in policy:
-            breached = F.col(c) * F.lit(10000) > F.col("total") * F.lit(bp)
-            specs.append(("null_policy", table, f"{c}: null rate above {bp / 100:.2f}%",
-                          F.when(breached, F.col(c)).otherwise(0), LOGGED))
-        frames.append(_rows(agg, specs))
-    return _union(frames)
+    return _family(stg, "null_policy")
 
 
 def dq_review_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
@@ -217,22 +261,13 @@ def dq_review_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
 
 def dq_malformed_cast(stg: dict[str, DataFrame]) -> DataFrame:
     """Values present in staging that the star's casts cannot read (blocking)."""
-    frames = []
-    for table in dict.fromkeys(t for t, _, _ in CAST_PLAN):
-        plan = [(c, typ) for t, c, typ in CAST_PLAN if t == table]
-        agg = stg[table].agg(*[
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(typ).isNull()).alias(c)
-            for c, typ in plan])
-        frames.append(_rows(agg, [("malformed_cast", table, f"{c} values not castable to {typ}",
-                                   F.col(c), BLOCKING) for c, typ in plan]))
-    return _union(frames)
+    return _family(stg, "malformed_cast")
 
 
 def input_checks(stg: dict[str, DataFrame]) -> DataFrame:
     """All input-layer checks."""
-    return _union([dq_row_counts(stg), dq_pk_duplicates(stg), dq_orphan_fk(stg), dq_domain(stg),
-                   dq_temporal(stg), dq_null_policy(stg), dq_review_duplicates(stg),
-                   dq_malformed_cast(stg)])
+    return _union([scalar_checks(stg), dq_pk_duplicates(stg), dq_orphan_fk(stg),
+                   dq_review_duplicates(stg)])
 
 
 # ---------------------------------------------------------------- output layer
@@ -297,11 +332,12 @@ def output_checks(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
 def dq_report(results: DataFrame, gate: str) -> DataFrame:
     """Non-zero check rows with the gate name and the gate's verdict.
 
-    The verdict is a one-row aggregate joined back (a handful of rows), not a window.
+    The verdict is a window over the report itself - one row per non-zero check, a
+    bounded handful - so the checks are evaluated once.
     """
     kept = results.filter(F.col("count") != 0)
-    verdict = kept.agg((F.count_if(F.col("severity") == BLOCKING) == 0).alias("passed"))
-    return kept.crossJoin(verdict).select(F.lit(gate).alias("gate"), *RESULT_COLUMNS, "passed")
+    blocking = F.count_if(F.col("severity") == BLOCKING).over(Window.partitionBy())
+    return kept.select(F.lit(gate).alias("gate"), *RESULT_COLUMNS, (blocking == 0).alias("passed"))
 
 
 def dq_summary(report: DataFrame, gate: str) -> DataFrame:
