@@ -1,0 +1,22 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup frame may have and still be broadcast on the strength of its own count.
+BROADCAST_ROW_LIMIT = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint for a lookup frame, given only after counting it (at most
+    ``max_rows + 1`` rows are read for the count).  Beyond the bound the frame is returned
+    unchanged and the planner (AQE, skew-join splitting) chooses the join.
+
+    Meant for lookups whose size statistics Spark cannot see (in-memory or derived
+    frames) and whose join key has few values, where a shuffle join would send each
+    key's rows to one task.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

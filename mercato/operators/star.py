@@ -6,11 +6,12 @@ or one keyed aggregate; nothing here needs a window or a sort.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import broadcast_if_small
 from ..functions.numeric import half_up_div
 from ..sources.schemas import COORD, MONEY, SIZE, TS
 
@@ -45,7 +46,9 @@ def dim_customers(stg_customers: DataFrame) -> DataFrame:
 
 def dim_products(stg_products: DataFrame, translation: DataFrame) -> DataFrame:
     """English category with fallback to the native name; a NULL category stays NULL."""
-    t = translation.select("product_category_name", "product_category_name_english")
+    # few categories: a shuffle join on the category would put each category's products
+    # in one task, so the (counted, bounded) translation table is broadcast instead
+    t = broadcast_if_small(translation.select("product_category_name", "product_category_name_english"))
     p = stg_products.join(t, "product_category_name", "left")
     return p.select(
         "product_id",
@@ -160,40 +163,53 @@ def geolocation_dedup(stg_geo: DataFrame, coord_scale: int = 6) -> DataFrame:
                  F.mode("geolocation_state", True).alias("state")))
 
 
-@dataclass
 class Star:
-    """The typed star schema; every member is a lazy DataFrame."""
+    """The typed star schema over a mapping of staging frames.
 
-    dim_customers: DataFrame
-    dim_products: DataFrame
-    dim_sellers: DataFrame
-    fact_orders: DataFrame
-    fact_order_items: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    geolocation: DataFrame
+    Tables are built on first access and then reused, so a query that reads two tables
+    never plans (or size-checks) the other six.
+    """
+
+    def __init__(self, stg: Mapping[str, DataFrame]):
+        self._stg = stg
+        self._built: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = _BUILDERS[name](self._stg)
+        return self._built[name]
+
+    dim_customers = property(lambda self: self._table("dim_customers"))
+    dim_products = property(lambda self: self._table("dim_products"))
+    dim_sellers = property(lambda self: self._table("dim_sellers"))
+    fact_orders = property(lambda self: self._table("fact_orders"))
+    fact_order_items = property(lambda self: self._table("fact_order_items"))
+    order_payments = property(lambda self: self._table("order_payments"))
+    order_reviews = property(lambda self: self._table("order_reviews"))
+    geolocation = property(lambda self: self._table("geolocation"))
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {name: self._table(name) for name in STAR_TABLES}
 
 
+_BUILDERS = {
+    "dim_customers": lambda stg: dim_customers(stg["customers"]),
+    "dim_products": lambda stg: dim_products(stg["products"], stg["product_category_translation"]),
+    "dim_sellers": lambda stg: dim_sellers(stg["sellers"]),
+    "fact_orders": lambda stg: fact_orders(stg["orders"]),
+    "fact_order_items": lambda stg: fact_order_items(stg["order_items"]),
+    "order_payments": lambda stg: order_payments(stg["order_payments"]),
+    "order_reviews": lambda stg: order_reviews_latest(stg["order_reviews"]),
+    "geolocation": lambda stg: geolocation_dedup(stg["geolocation"]),
+}
+
 # Build order of the transforms (T10), in dependency order.
-STAR_TABLES = ["dim_customers", "dim_products", "dim_sellers", "fact_orders",
-               "fact_order_items", "order_payments", "order_reviews", "geolocation"]
-
-
-def build_star(stg: dict[str, DataFrame]) -> Star:
-    """All transforms over a dict of staging frames."""
-    return Star(
-        dim_customers=dim_customers(stg["customers"]),
-        dim_products=dim_products(stg["products"], stg["product_category_translation"]),
-        dim_sellers=dim_sellers(stg["sellers"]),
-        fact_orders=fact_orders(stg["orders"]),
-        fact_order_items=fact_order_items(stg["order_items"]),
-        order_payments=order_payments(stg["order_payments"]),
-        order_reviews=order_reviews_latest(stg["order_reviews"]),
-        geolocation=geolocation_dedup(stg["geolocation"]),
-    )
+STAR_TABLES = list(_BUILDERS)
+
+
+def build_star(stg: Mapping[str, DataFrame]) -> Star:
+    """All transforms over a mapping of staging frames (each built when first used)."""
+    return Star(stg)
 
 
 def publish_star(star: Star, out_dir: str, partition_orders_by_month: bool = True) -> None:

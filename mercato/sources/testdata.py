@@ -8,6 +8,8 @@ written in SQL in ``mercato.plans.oracle`` for the DuckDB cross-check.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,17 @@ CATEGORY_TRANSLATION = [
 ]
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet test table; one DataFrame per session and path, so the file listing
+    and footer read happen once however many queries use the table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _zip(col: str):
@@ -159,16 +170,35 @@ def stg_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staging_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine staging tables, lazily derived from the test tables in ``sf_dir``."""
-    return {
-        "customers": stg_customers(spark, sf_dir),
-        "geolocation": stg_geolocation(spark, sf_dir),
-        "order_items": stg_order_items(spark, sf_dir),
-        "order_payments": stg_order_payments(spark, sf_dir),
-        "order_reviews": stg_order_reviews(spark, sf_dir),
-        "orders": stg_orders(spark, sf_dir),
-        "products": stg_products(spark, sf_dir),
-        "sellers": stg_sellers(spark, sf_dir),
-        "product_category_translation": stg_product_category_translation(spark),
-    }
+class LazyTables(Mapping):
+    """Read-only mapping of table name -> DataFrame, each built on first access."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def staging_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """The nine staging tables, derived from the test tables in ``sf_dir`` when first used."""
+    return LazyTables({
+        "customers": lambda: stg_customers(spark, sf_dir),
+        "geolocation": lambda: stg_geolocation(spark, sf_dir),
+        "order_items": lambda: stg_order_items(spark, sf_dir),
+        "order_payments": lambda: stg_order_payments(spark, sf_dir),
+        "order_reviews": lambda: stg_order_reviews(spark, sf_dir),
+        "orders": lambda: stg_orders(spark, sf_dir),
+        "products": lambda: stg_products(spark, sf_dir),
+        "sellers": lambda: stg_sellers(spark, sf_dir),
+        "product_category_translation": lambda: stg_product_category_translation(spark),
+    })
