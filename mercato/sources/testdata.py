@@ -28,17 +28,19 @@ CATEGORY_TRANSLATION = [
 ]
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet test table; one DataFrame per session and path, so the file listing
-    and footer read happen once however many queries use the table."""
+    and footer read happen once however many queries use the table.  The key holds the
+    application id, so a stopped and recreated session never gets a stale frame."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def _zip(col: str):
