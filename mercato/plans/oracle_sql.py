@@ -494,7 +494,7 @@ cohort_long_ AS (
     GROUP BY 1, 2)
 """
 _q("kpi_cohort_m1_m3", _COHORT, f"""
-SELECT cohort, SUM(active_customers) FILTER (WHERE month_offset = 0) AS cohort_size,
+SELECT cohort, CAST(SUM(active_customers) FILTER (WHERE month_offset = 0) AS BIGINT) AS cohort_size,
        {pct('COALESCE(SUM(active_customers) FILTER (WHERE month_offset = 1), 0)', 'SUM(active_customers) FILTER (WHERE month_offset = 0)')} AS m1_retention_pct,
        {pct('COALESCE(SUM(active_customers) FILTER (WHERE month_offset = 3), 0)', 'SUM(active_customers) FILTER (WHERE month_offset = 0)')} AS m3_retention_pct
 FROM cohort_long_ GROUP BY cohort""")
@@ -554,7 +554,7 @@ FROM b_ GROUP BY bin, lo, hi""")
 
 
 # ---------------------------------------------------------------- segments
-_q("cohort_pct_matrix", _COHORT, "SELECT cohort, SUM(active_customers) FILTER (WHERE month_offset = 0) AS cohort_size, "
+_q("cohort_pct_matrix", _COHORT, "SELECT cohort, CAST(SUM(active_customers) FILTER (WHERE month_offset = 0) AS BIGINT) AS cohort_size, "
    + ", ".join(f"{pct(f'SUM(active_customers) FILTER (WHERE month_offset = {k})', 'SUM(active_customers) FILTER (WHERE month_offset = 0)')} AS m{k}"
                for k in range(12))
    + " FROM cohort_long_ GROUP BY cohort")
@@ -617,7 +617,7 @@ s_ AS (SELECT n1, n2, CAST(r1x2 - CAST(n1 AS HUGEINT) * (n1 + 1) AS DOUBLE) / CA
 v_ AS (SELECT *, d1 * d2 / CAST(12 AS DOUBLE) * (((d1 + d2) + CAST(1 AS DOUBLE)) - dt / ((d1 + d2) * ((d1 + d2) - CAST(1 AS DOUBLE)))) AS var
        FROM s_)
 """, """
-SELECT n1 AS n_late, n2 AS n_on_time, u1 AS u_statistic,
+SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time, u1 AS u_statistic,
        round(CASE WHEN d1 > 0 AND d2 > 0 AND var > 0
                   THEN (u1 - d1 * d2 / CAST(2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / sqrt(var) END, 9) AS z
 FROM v_""")
