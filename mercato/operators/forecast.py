@@ -157,6 +157,10 @@ class Backtest:
     """All backtest frames for one series frame (lazy; HW fitted once per fold)."""
 
     def __init__(self, series: DataFrame, n_folds: int = N_FOLDS, horizon: int = HORIZON):
+        # the series (days x series keys, small) feeds about ten joins below: save it once
+        # to the reliable checkpoint folder rather than re-aggregating orders in each
+        ensure_checkpoint_dir(series.sparkSession)
+        series = series.checkpoint(eager=True)
         self.series, self.horizon = series, horizon
         self.folds = walk_forward_folds(series, n_folds, horizon)
         self.sn_preds = seasonal_naive_predictions(series, self.folds, horizon)
