@@ -14,9 +14,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     ``max_rows + 1`` rows are read for the count).  Beyond the bound the frame is returned
     unchanged and the planner (AQE, skew-join splitting) chooses the join.
 
-    Meant for lookups whose size statistics Spark cannot see (in-memory or derived
-    frames) and whose join key has few values, where a shuffle join would send each
-    key's rows to one task.
+    Meant for lookups whose join key has few values, where a shuffle join would send
+    each key's rows to one task.  When the optimizer's size estimate is already within
+    ``spark.sql.autoBroadcastJoinThreshold`` no count is run.
     """
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit_bytes = int(limit.rstrip("bB")) if limit and limit.rstrip("bB").lstrip("-").isdigit() else -1
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if limit_bytes > 0 and int(str(estimate)) <= limit_bytes:
+        return F.broadcast(df)  # the optimizer's own size estimate is within the limit
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

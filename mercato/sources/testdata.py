@@ -156,9 +156,9 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_product_category_translation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CATEGORY_TRANSLATION,
-        "product_category_name string, product_category_name_english string")
+    """The literal lookup as a local relation (so it carries size statistics)."""
+    rows = ", ".join(f"('{a}', '{b}')" for a, b in CATEGORY_TRANSLATION)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)")
 
 
 def stg_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
