@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import holt_winters
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from .eda import purchase_date_bounds
 from .star import Star
 
@@ -124,6 +124,7 @@ def holt_winters_predictions(series: DataFrame, folds: DataFrame, horizon: int =
                              include_final: bool = True) -> DataFrame:
     """N16d: Holt-Winters fitted on each fold's training days (fold 0 = the whole series,
     for the final forecast); returns (series_id, fold, step, forecast)."""
+    ship_package(series.sparkSession)  # the group function lives in this package
     f = folds.select("series_id", "fold", "test_start_idx")
     if include_final:
         final = series.groupBy("series_id").agg(F.count(F.lit(1)).alias("test_start_idx"))

@@ -69,3 +69,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables next to the checkpoint data (shared on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/mercato-scratch/{name}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``mercato`` importable in the Python workers (what ``--py-files`` does).
+
+    Pandas UDFs defined in this package are pickled by reference, so the workers must be
+    able to import it wherever the driver runs from.  The package is zipped once per
+    application and handed to ``addPyFile``, which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="mercato-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "mercato"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="mercato")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
