@@ -101,3 +101,18 @@ def test_sinks_write_bounded_samples(spark, tmp_path):
                                   "upper": "decimal(18,4)"}
     with pytest.raises(ValueError):
         sinks.ctas_overwrite(df)
+
+
+def test_publish_star_partitions_orders_by_month(spark, tmp_path):
+    from fixture_data import write_fixture
+    from mercato.operators.star import publish_star
+    from mercato.plans import model as model_mod
+
+    m = model_mod.from_csv(spark, str(write_fixture(tmp_path / "raw")))
+    out = str(tmp_path / "star")
+    publish_star(m.star, out)
+    orders = spark.read.parquet(f"{out}/fact_orders")
+    assert orders.count() == 100
+    june = orders.filter("purchase_month = '2017-06'")
+    assert "PartitionFilters: [isnotnull(purchase_month" in june._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(f"{out}/order_reviews").count() == 90
