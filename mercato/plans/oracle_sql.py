@@ -694,3 +694,13 @@ _RUN_ALL = ["monthly_revenue_mom", "aov_trend", "category_pareto", "revenue_by_s
             "duplicate_review_orders", "temporal_violations"]
 ORACLE["run_all_queries"] = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS query, count(*) AS \"rows\" FROM ({ORACLE[n]})" for n in _RUN_ALL)
+
+ORACLE["result_samples"] = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS query, CAST(least(count(*), 200) AS BIGINT) AS sample_rows FROM ({ORACLE[n]})"
+    for n in _RUN_ALL[:16])
+_q("pivot_extract", _VIEWS, """
+SELECT 'raw_extract' AS output, CAST(least(count(*), 5000) AS BIGINT) AS "rows" FROM ext_
+UNION ALL
+SELECT 'category_month_pivot', count(DISTINCT category) + 1 FROM ext_
+UNION ALL
+SELECT 'state_pivot', count(DISTINCT state) FROM ext_""")

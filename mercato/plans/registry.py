@@ -265,3 +265,43 @@ def q_run_all_queries(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- sinks, written and read back
+from ..sources import sinks  # noqa: E402
+
+
+@register("result_samples")
+def q_result_samples(spark, sf_dir):
+    """Every business query's first 200 rows written as CSV, read back, counted."""
+    m = _model(spark, sf_dir)
+    out = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
+    results = {name: fn(m.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
+    sinks.run_all_queries(results, out_dir=out, orders=analysis.RESULT_ORDER)
+    parts = [spark.read.option("header", "true").csv(f"{out}/{name}")
+             .agg(F.count(F.lit(1)).alias("sample_rows")).select(F.lit(name).alias("query"), "sample_rows")
+             for name in results]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+@register("pivot_extract")
+def q_pivot_extract(spark, sf_dir):
+    """Raw extract (capped at 5000 rows) and both pivots written, read back, counted."""
+    out = scratch_path(spark, f"pivots-{uuid.uuid4().hex}")
+    sinks.pivot_extract_sink(marts.vw_sales(_model(spark, sf_dir).star), out)
+    parts = [spark.read.option("header", "true").csv(f"{out}/{name}")
+             .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows")
+             for name in ("raw_extract", "category_month_pivot", "state_pivot")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("published_forecast")
+def q_published_forecast(spark, sf_dir):
+    """The winning forecast published as a typed table and CSV, read back."""
+    out = scratch_path(spark, f"forecast-{uuid.uuid4().hex}")
+    bt = forecast.Backtest(forecast.daily_series(_model(spark, sf_dir).star))
+    sinks.publish_forecast(bt.forecast(), f"{out}/table", f"{out}/csv")
+    return spark.read.parquet(f"{out}/table")
