@@ -194,8 +194,8 @@ def dq_row_counts(stg: dict[str, DataFrame]) -> DataFrame:
 
 def _duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     """Number of key groups occurring more than once (combined map-side)."""
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.count_if(F.col("_n") > 1).alias("n"))
+    g = df.groupBy(*cols).agg(F.expr("count(1) AS _n"))
+    return g.selectExpr("count_if(_n > 1) AS n")
 
 
 def dq_pk_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
@@ -215,10 +215,10 @@ def _orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: st
     Child keys are first reduced to (key, rows) with a map-side combine, so the anti
     join moves one row per distinct key, however many rows a key has.
     """
-    keys = child.groupBy(F.col(child_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    parents = parent.select(F.col(parent_col).alias("_k"))
-    missing = keys.join(parents, keys["_k"] == parents["_k"], "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+    keys = child.selectExpr(f"{child_col} AS _k").groupBy("_k").agg(F.expr("count(1) AS _n"))
+    parents = parent.selectExpr(f"{parent_col} AS _p")
+    missing = keys.join(parents, F.expr("_k = _p"), "left_anti")
+    return missing.selectExpr("coalesce(sum(_n), 0) AS n")
 
 
 def _fk_rows(tables: dict[str, DataFrame], relations, check: str = "referential_integrity"):
@@ -283,11 +283,9 @@ def dq_row_reconciliation(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
     tables = star.tables()
     frames = []
     for name, src, distinct_col in ROW_RECONCILIATION:
-        out_n = tables[name].agg(F.count(F.lit(1)).alias("a"))
-        if distinct_col is None:
-            in_n = stg[src].agg(F.count(F.lit(1)).alias("b"))
-        else:
-            in_n = stg[src].agg(F.count_distinct(distinct_col).alias("b"))
+        out_n = tables[name].selectExpr("count(1) AS a")
+        in_n = stg[src].selectExpr("count(1) AS b" if distinct_col is None
+                                   else f"count(DISTINCT {distinct_col}) AS b")
         both = out_n.crossJoin(in_n)  # two one-row frames
         frames.append(_rows(both, [("row_reconciliation", name,
                                     f"analytics.{name} row count differs from staging",
