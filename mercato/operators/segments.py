@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import frequency_bucket, segment_label
-from ..functions.numeric import pct, unscaled
+from ..functions.columns import cents, frequency_bucket, from_cents, segment_label
+from ..functions.numeric import pct
 from ..functions.ranking import global_rank, qcut_from_rank
 from .analysis import cohort_retention, rfm_base
 from .star import Star
@@ -47,9 +47,9 @@ def segment_summary(star: Star, segments: DataFrame | None = None) -> DataFrame:
     """Persons, revenue and both shares (2dp) per segment (four rows at most)."""
     seg = segments if segments is not None else rfm_segments(star)
     agg = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"),
-                                     F.sum("monetary").alias("revenue"))
-    everything = Window.partitionBy()
+                                     F.sum(cents("monetary")).alias("revenue"))
+    everything = Window.partitionBy()  # four rows at most
     return agg.select(
-        "segment", "customers", "revenue",
-        pct(unscaled("revenue"), unscaled(F.sum("revenue").over(everything))).alias("revenue_share_pct"),
+        "segment", "customers", from_cents("revenue").alias("revenue"),
+        pct(F.col("revenue"), F.sum("revenue").over(everything)).alias("revenue_share_pct"),
         pct(F.col("customers"), F.sum("customers").over(everything)).alias("customer_share_pct"))
