@@ -116,3 +116,17 @@ def test_publish_star_partitions_orders_by_month(spark, tmp_path):
     june = orders.filter("purchase_month = '2017-06'")
     assert "PartitionFilters: [isnotnull(purchase_month" in june._jdf.queryExecution().executedPlan().toString()
     assert spark.read.parquet(f"{out}/order_reviews").count() == 90
+
+
+def test_daily_series_per_key_adds_up_to_total(spark):
+    from mercato.operators import forecast as fc
+    from mercato.plans.model import from_testdata
+
+    m = from_testdata(spark, "/root/testdata/sf0.001")
+    total = {r.day: r.orders for r in fc.daily_series(m.star).collect()}
+    per_state = fc.daily_series(m.star, by="customer_state")
+    sums = {r.day: r.s for r in per_state.groupBy("day").agg({"orders": "sum"})
+            .withColumnRenamed("sum(orders)", "s").collect()}
+    assert sums == total
+    n_states = m.star.dim_customers.select("customer_state").distinct().count()
+    assert per_state.select("series_id").distinct().count() <= n_states
