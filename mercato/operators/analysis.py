@@ -78,7 +78,7 @@ def category_pareto(star: Star) -> DataFrame:
                             "product_id")
            .groupBy(F.coalesce("product_category_name_english", F.lit("unknown")).alias("category"))
            .agg(F.sum("revenue").alias("revenue")))
-    running = Window.orderBy(F.desc("revenue")).rangeBetween(Window.unboundedPreceding,
+    running = Window.orderBy(F.desc_nulls_first("revenue")).rangeBetween(Window.unboundedPreceding,
                                                              Window.currentRow)
     total = F.sum("revenue").over(_all())
     return cat.select(
@@ -128,8 +128,9 @@ def seller_concentration(star: Star, top: int = 10) -> DataFrame:
     """
     sellers = seller_revenue(star)
     total = sellers.agg(F.sum("revenue").alias("_total"))
-    top_rows = sellers.orderBy(F.desc("revenue"), F.asc("seller_id")).limit(top)
-    order = Window.orderBy(F.desc("revenue"), F.asc("seller_id"))
+    # descending sorts put NULL first and ascending ones last, as the SQL model does
+    top_rows = sellers.orderBy(F.desc_nulls_first("revenue"), F.asc_nulls_last("seller_id")).limit(top)
+    order = Window.orderBy(F.desc_nulls_first("revenue"), F.asc_nulls_last("seller_id"))
     ranked = top_rows.select("seller_id", "revenue", F.row_number().over(order).alias("revenue_rank"))
     running = Window.orderBy("revenue_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ranked.crossJoin(F.broadcast(total)).select(
@@ -236,8 +237,8 @@ def rfm_base(star: Star) -> DataFrame:
 
 def recency_scored(base: DataFrame, tiles: int = 5) -> DataFrame:
     """``base`` plus r_score: NTILE over the last order date, ties broken by person id."""
-    r = global_rank(base, [F.col("last_order").asc_nulls_first(),
-                           F.col("customer_unique_id").asc_nulls_first()],
+    r = global_rank(base, [F.col("last_order").asc_nulls_last(),
+                           F.col("customer_unique_id").asc_nulls_last()],
                     rank_col="_r_rank", total_col="_n")
     return (r.withColumn("r_score", ntile_from_rank(F.col("_r_rank"), F.col("_n"), tiles))
             .drop("_r_rank", "_n"))
@@ -248,8 +249,8 @@ def rfm_scores(star: Star, tiles: int = 5, base: DataFrame | None = None) -> Dat
     either sort key are broken by the person id."""
     base = base if base is not None else rfm_base(star)
     r = recency_scored(base, tiles)
-    m = global_rank(r, [F.col("monetary").asc_nulls_first(),
-                        F.col("customer_unique_id").asc_nulls_first()],
+    m = global_rank(r, [F.col("monetary").asc_nulls_last(),
+                        F.col("customer_unique_id").asc_nulls_last()],
                     rank_col="_m_rank", total_col="_n")
     return m.select("customer_unique_id", "r_score",
                     frequency_bucket(F.col("frequency")).alias("f_bucket"),

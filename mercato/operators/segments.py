@@ -33,8 +33,8 @@ def rfm_segments(star: Star, tiles: int = 5, base: DataFrame | None = None) -> D
     """Recency quantile bin of the first-occurrence rank (ties by person id),
     frequency bucket 1/2/3+ and the business segment label."""
     base = base if base is not None else rfm_base(star)
-    ranked = global_rank(base, [F.col("last_order").asc_nulls_first(),
-                                F.col("customer_unique_id").asc_nulls_first()],
+    ranked = global_rank(base, [F.col("last_order").asc_nulls_last(),
+                                F.col("customer_unique_id").asc_nulls_last()],
                          rank_col="_rank", total_col="_n")
     r = qcut_from_rank(F.col("_rank"), F.col("_n"), tiles)
     f = frequency_bucket(F.col("frequency"))
