@@ -20,8 +20,9 @@ def daily_order_volume(star: Star) -> DataFrame:
 def daily_order_head_tail(star: Star, head: int = 15, tail: int = 20) -> DataFrame:
     """The first ``head`` and last ``tail`` days with orders (two bounded top-k)."""
     daily = vw_daily_orders(star).filter(F.col("orders") > 0)
-    first = daily.orderBy(F.asc("order_date")).limit(head).withColumn("part", F.lit("head"))
-    last = daily.orderBy(F.desc("order_date")).limit(tail).withColumn("part", F.lit("tail"))
+    # ascending order puts an unknown day last, so the tail starts from it
+    first = daily.orderBy(F.asc_nulls_last("order_date")).limit(head).withColumn("part", F.lit("head"))
+    last = daily.orderBy(F.desc_nulls_first("order_date")).limit(tail).withColumn("part", F.lit("tail"))
     return first.unionByName(last)
 
 
@@ -66,14 +67,14 @@ def category_item_counts(star: Star, top: int = 15) -> DataFrame:
                             "product_id")
            .groupBy(F.coalesce("product_category_name_english", F.lit("unknown")).alias("category"))
            .agg(F.sum("n").alias("items")))
-    return cat.orderBy(F.desc("items"), F.asc("category")).limit(top)
+    return cat.orderBy(F.desc_nulls_first("items"), F.asc_nulls_last("category")).limit(top)
 
 
 def state_person_counts(star: Star, top: int = 10) -> DataFrame:
     """Top states by distinct persons."""
     st = star.dim_customers.groupBy("customer_state").agg(
         F.count_distinct("customer_unique_id").alias("customers"))
-    return st.orderBy(F.desc("customers"), F.asc("customer_state")).limit(top)
+    return st.orderBy(F.desc_nulls_first("customers"), F.asc_nulls_last("customer_state")).limit(top)
 
 
 def _describe(df: DataFrame, col: str, by: str | None = None, scale: int = 6) -> DataFrame:
