@@ -34,3 +34,17 @@ SELECT doc_id, size, source_size, target,
                                             < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
 """
+
+# Base 32 of the SHA-1: eight times five hex digits, each four letters.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_LETTERS = " || ".join(
+    f"substr('{_BASE32}', CAST((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {s}) & 31 AS BIGINT) + 1, 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+ORACLE["op7_warc_salvage"] = f"""
+WITH payloads AS (SELECT page_id, sha1(coalesce(html, '')) AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM payloads)
+SELECT page_id, payload_bytes, {_LETTERS} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM firsts
+"""

@@ -25,6 +25,13 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@register
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import rotcodes
+
+    return rotcodes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op5_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import shards
@@ -43,6 +50,16 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@register
+def op7_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import tables, warc
+
+    archives = tables.folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), archives)
+    records = warc.read_archives(spark, archives, payloads=False).where("gap IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
