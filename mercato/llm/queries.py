@@ -25,6 +25,23 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@register
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import linejoin
+
+    return linejoin.line_matches(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links", "removed")
+
+
+@register
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import tokencount
+
+    trees = tokencount.build_trees(table(spark, sf_dir, "documents"), mask=True)
+    return tokencount.apply_edits(trees, keep=False).select(
+        F.col("id").alias("doc_id"), "n_tokens", "n_edits", "n_tokens_after", "chars_encoded")
+
+
 @register
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import rotcodes
@@ -67,6 +84,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ordering, tables
+
+    path = tables.folder(spark, "training-order")
+    total = ordering.write_shards(table(spark, sf_dir, "documents"), path)
+    return ordering.read_shards(spark, path, total, tokens=False).select(
+        "slot", "doc_id", F.col("number").alias("sequence"), F.col("n").alias("n_tokens"), F.col("crc").alias("tokens_crc32"))
+
+
 @register
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import coordjoin

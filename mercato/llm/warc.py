@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
+from .tables import written
 
 VERSION = b"WARC/1.1"
 #: Payloads of at least so many bytes are revisited.
@@ -99,9 +100,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                         F.col(html_col).cast("string").alias("html"))
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     order = F.struct(F.col("page_id").isNull().alias("n"), F.coalesce("page_id", F.lit(0)).alias("i"), F.col("u"))
-    keyed = rows.select("*", F.unhex(F.sha1(payload)).alias("key"), F.octet_length(payload).alias("size"),
-                        F.monotonically_increasing_id().alias("u"))
-    known = keyed.select("page_id", "key", "size", "u").checkpoint()
+    keyed = written(rows.select("*", F.unhex(F.sha1(payload)).alias("key"), F.octet_length(payload).alias("size"),
+                                F.monotonically_increasing_id().alias("u")), "warc-pages")
+    known = keyed.select("page_id", "key", "size", "u")
     first = (known.where(F.col("size") >= min_bytes).groupBy("key").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("c"))
              .where("c > 1").select("key", F.col("f.u").alias("first"), F.when(~F.col("f.n"), F.col("f.i")).alias("refers_to")).checkpoint())
     again = (known.where(F.col("size") >= min_bytes).join(first, "key").where("u <> first").select("u", "refers_to").checkpoint())
