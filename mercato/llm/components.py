@@ -3,7 +3,8 @@
 Each round every vertex takes the neighbour (or itself) of least random priority, edges are
 rewritten to those vertices, and loops and repeats go; the number of edges falls by a
 constant factor a round, also on long chains.  Nothing is collected; a round's tables are
-cut from their lineage with ``checkpoint()``.
+written to the shared folder and read again, which cuts the lineage and gives the planner
+their true sizes (estimates carried through checkpoints multiply with every round's joins).
 """
 
 from __future__ import annotations
@@ -11,15 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(v, root) of every vertex in ``edges`` (a, b longs); the root is one of its vertices.
 
     Loops, repeats and nulls are ignored; no edges give no rows.
     """
-    left = (edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct().checkpoint())
+    left = written(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     labels = None
     turn = 0
     while not left.isEmpty():
@@ -27,19 +29,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hop = _hop(both, rank)
         labels = (hop.select("v", F.col("to").alias("root")) if labels is None else
-                  labels.join(hop.withColumnRenamed("v", "root"), "root", "left")
-                  .select("v", F.coalesce("to", "root").alias("root"))).checkpoint()
-        left = (left.join(hop.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
-                .join(hop.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
-                .where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-                .distinct().checkpoint())
+                  written(labels.join(hop.withColumnRenamed("v", "root"), "root", "left")
+                          .select("v", F.coalesce("to", "root").alias("root")), "labels"))
+        left = written(left.join(hop.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
+                       .join(hop.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
+                       .where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+                       .distinct(), "edges")
         turn += 1
     return labels if labels is not None else left.select(F.col("a").alias("v"), F.col("b").alias("root"))
 
 
 def _hop(both: DataFrame, rank) -> DataFrame:
-    return (both.groupBy("a").agg(F.min(rank("b")).alias("least"))
-            .select(F.col("a").alias("v"),
-                    F.when(F.col("least") < rank("a"), F.col("least").getField("id"))
-                    .otherwise(F.col("a")).alias("to"))
-            .checkpoint())
+    return written(both.groupBy("a").agg(F.min(rank("b")).alias("least"))
+                   .select(F.col("a").alias("v"),
+                           F.when(F.col("least") < rank("a"), F.col("least").getField("id"))
+                           .otherwise(F.col("a")).alias("to")), "hops")

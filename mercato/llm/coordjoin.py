@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
 from .components import connected_components
+from .tables import fresh
 from .words import mix, pieces, shingles, signed
 
 WORDS = 5
@@ -220,9 +221,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows without an id and rows whose id is unique pass by a semi-join; of rows with an id
     that occurs several times, one stays.
     """
-    kept = (near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_kept"))
-            .agg(F.count(F.lit(1)).alias("_times")).checkpoint())
-    same = F.col(id_col).eqNullSafe(F.col("_kept"))
-    once = docs.join(kept.where("_times = 1 OR _kept IS NULL"), same, "left_semi")
-    more = docs.join(kept.where("_times > 1 AND _kept IS NOT NULL"), same, "left_semi").dropDuplicates([id_col])
+    own = fresh(docs, "kept_id")
+    kept = (near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias(own))
+            .agg(F.count(F.lit(1)).alias("times")).checkpoint())
+    same = F.col(id_col).eqNullSafe(F.col(own))
+    once = docs.join(kept.where((F.col("times") == 1) | F.col(own).isNull()).select(own), same, "left_semi")
+    more = docs.join(kept.where((F.col("times") > 1) & F.col(own).isNotNull()).select(own), same, "left_semi").dropDuplicates([id_col])
     return once.unionByName(more)

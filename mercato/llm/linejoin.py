@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
-from .tables import written
+from .tables import fresh, written
 from .words import NOT_SPACE, find_words, pieces, signed
 
 #: Similarity at least 4/5.
@@ -178,10 +178,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with the removed lines taken out of their texts.  Rows are told apart by a
     number of their own, so repeated ids are no matter."""
     ordered = docs.orderBy(F.col(id_col).asc_nulls_last())  # so that row numbers follow the ids
-    table = written(ordered.withColumn("_row", F.monotonically_increasing_id()), "line-docs")
-    own = line_matches(table, "_row", text_col)
-    gone = own.where(F.size("removed") > 0).select(F.col("id").alias("_row"), "removed")
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("removed", i))
-    return (table.join(gone, "_row", "left")
-            .withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
+    row, out = fresh(docs, "row_number"), fresh(docs, "removed")
+    table = written(ordered.withColumn(row, F.monotonically_increasing_id()), "line-docs")
+    gone = line_matches(table, row, text_col).where(F.size("removed") > 0).select(F.col("id").alias(row), F.col("removed").alias(out))
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(out, i))
+    return (table.join(gone, row, "left")
+            .withColumn(text_col, F.when(F.col(out).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import global_rank
 from ..session import ensure_checkpoint_dir
-from .tables import lookup
+from .tables import fresh, lookup
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -99,10 +99,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = targets(docs.select(F.col(source_col).alias("source"), tokens(text_col).alias("size")),
                    weights=weights, most=most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    goal = goal.select(F.col("source").alias("_source"), rate.alias("_rate")).checkpoint()
-    whole = F.floor("_rate")
-    times = (whole + F.when(draw(id_col, text_col, seed) < F.col("_rate") - whole, 1).otherwise(0)).cast("int")
-    return (docs.join(lookup(goal), F.col(source_col).eqNullSafe(F.col("_source")))
-            .withColumn("_times", times).where("_times > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    of, at, copy = (fresh(docs, c) for c in ("mix_source", "mix_rate", "mix_copy"))
+    goal = goal.select(F.col("source").alias(of), rate.alias(at)).checkpoint()
+    whole = F.floor(at)
+    times = (whole + F.when(draw(id_col, text_col, seed) < F.col(at) - whole, 1).otherwise(0)).cast("int")
+    return (docs.join(lookup(goal), F.col(source_col).eqNullSafe(F.col(of)))
+            .withColumn(at, times).where(F.col(at) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(at))))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))

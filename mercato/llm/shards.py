@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .tables import written
+from .tables import fresh, written
 
 SHARDS = 8
-ROUNDS = 5
+ROUNDS = 6
 #: Room above an even share that propagation may use before the final levelling.
-SLACK = 0.02
+SLACK = 0.1
 
 
 def text_size(text: str) -> Column:
@@ -45,11 +45,11 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
     state = rows.select("v", "size", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"))
     members = members.where("link IS NOT NULL").select("v", "link").distinct()
     lists = members.groupBy("link").count().where("count > 1").select("link").checkpoint()
-    members = members.join(lists, "link").checkpoint()
+    members = written(members.join(lists, "link"), "members")
     if members.isEmpty():
         return state
     linked = members.select("v").distinct()
-    moving = state.join(linked, "v", "left_semi").checkpoint()
+    moving = written(state.join(linked, "v", "left_semi"), "moving")
     fixed = state.join(linked, "v", "left_anti").checkpoint()
     fixed_load = fixed.groupBy("shard").agg(F.sum("size").alias("load")).checkpoint()
     total = state.agg(F.sum("size")).first()[0]
@@ -82,8 +82,8 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
                  .where("part > 0").checkpoint())
         moved = (wish.join(F.broadcast(grant), ["shard", "to", "gain"])
                  .where(_unit("v", F.lit(turn)) < F.col("part")).select("v", "to"))
-        moving = (moving.join(moved, "v", "left")
-                  .select("v", "size", F.coalesce("to", "shard").alias("shard")).checkpoint())
+        moving = written(moving.join(moved, "v", "left")
+                         .select("v", "size", F.coalesce("to", "shard").alias("shard")), "moving")
     return fixed.unionByName(moving)
 
 
@@ -137,7 +137,8 @@ def equal_text_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """``docs`` with the columns shard and slot (columns of these names are replaced)."""
     kept = docs.drop("shard", "slot")
-    table = written(kept.withColumn("_v", F.monotonically_increasing_id()), "shard-rows")
-    rows = table.select(F.col("_v").alias("v"), text_size(text_col).alias("size"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")).checkpoint()
-    places = assign(rows, shards=shards).select(F.col("v").alias("_v"), "shard", "slot").checkpoint()
-    return table.join(places, "_v").drop("_v")
+    own = fresh(docs, "row_number")
+    table = written(kept.withColumn(own, F.monotonically_increasing_id()), "shard-rows")
+    rows = table.select(F.col(own).alias("v"), text_size(text_col).alias("size"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")).checkpoint()
+    places = assign(rows, shards=shards).select(F.col("v").alias(own), "shard", "slot").checkpoint()
+    return table.join(places, own).drop(own)

@@ -30,3 +30,11 @@ def lookup(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     for a shuffled join whose skew AQE splits.  Give it a checkpointed or written table."""
     size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"] or 0
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has such a column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name

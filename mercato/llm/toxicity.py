@@ -23,7 +23,7 @@ voter and voter pair, and the sample's rows of at most LEXICON + 20 numbers.
 
 Defined results: null and empty texts have no votes and get the score of a text without
 features; labels that are null or for unknown ids are ignored; of conflicting labels of one
-id the larger counts; a corpus without usable labels of both classes scores all rows 0.
+id the larger counts; a corpus whose own rows have no usable labels of both classes scores all rows 0.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
+from .tables import fresh
 from .words import LETTERS, Words, find_words, mix, pieces, signed, text_bytes
 
 SAMPLE = 20_000
@@ -293,7 +294,7 @@ class ToxicityModel:
         self.lexicon = self._lexicon(texts, n) if self.usable else Lexicon(np.empty(0, np.uint64), np.empty(0, np.int64))
         self.rows = texts.mapInArrow(functools.partial(_votes, lexicon=self.lexicon),
                                      "uid long, id long, features array<int>").checkpoint()
-        self.classifier = self._fit(n) if self.usable else None
+        self.classifier = self._fit() if self.usable else None
 
     def _lexicon(self, texts: DataFrame, n: dict) -> Lexicon:
         rows = texts.join(F.broadcast(self.sample), "id").select("text", "toxic")  # SAMPLE ids at most
@@ -338,12 +339,14 @@ class ToxicityModel:
         voter[LEXICON:] = VOTERS + np.arange(len(PATTERNS))
         return voter
 
-    def _fit(self, n: dict) -> Classifier:
+    def _fit(self) -> Classifier | None:
         train = self.rows.join(F.broadcast(self.sample), "id").select("features").toPandas()  # the sample
         self.voter = self._voters([np.asarray(f, np.int64) for f in train["features"]])
         votes = self._votes().checkpoint()
         train = votes.where("toxic IS NOT NULL").select("features", "toxic", "votes").toPandas()  # the sample
         toxic = train["toxic"].to_numpy()
+        if len(set(toxic.tolist())) < 2:
+            return None
         bits = _bits(train["votes"].to_numpy(np.int64))
         rates = np.stack([(bits[toxic == c].sum(0) + 0.5) / ((toxic == c).sum() + 1) for c in (1, 0)], 1)
         rates[-2], rates[-1] = (self.TRUST, 1 - self.TRUST), (1 - self.TRUST, self.TRUST)
@@ -374,6 +377,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns (an id goes
     with all its rows; rows without an id stay)."""
+    own = fresh(docs, "toxic_id")
     bad = (toxicity(docs, labels, id_col, text_col).where("predicted = 1 AND doc_id IS NOT NULL")
-           .select(F.col("doc_id").alias("_bad")).distinct().checkpoint())
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+           .select(F.col("doc_id").alias(own)).distinct().checkpoint())
+    return docs.join(bad, F.col(id_col) == F.col(own), "left_anti")

@@ -134,7 +134,10 @@ def parse(raw: bytes, at: int = 0) -> tuple[dict, int] | str:
         name, colon, value = line.partition(b":")
         if not colon:
             return "broken header line"
-        head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        key = name.strip().lower().decode("latin-1")
+        if key in head:  # another record's header behind a cut one
+            return "repeated header line"
+        head[key] = value.strip().decode("utf-8", "replace")
     if not head.get("content-length", "").isdigit():
         return "no length"
     start = split + 4

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
+from .tables import fresh
 from .words import ALNUM, find_words, gram_hashes, mix, pieces, signed
 
 WINDOW = 10
@@ -172,5 +173,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` without a hit word, with all their columns (an id that occurs
     several times goes if any of its rows is hit; rows without an id are kept by their own text)."""
     found = contamination(docs, items, id_col, text_col)
-    bad = found.where("n_hit > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    own = fresh(docs, "hit_id")
+    bad = found.where("n_hit > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, F.col(id_col) == F.col(own), "left_anti")
