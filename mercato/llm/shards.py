@@ -25,7 +25,7 @@ from ..session import ensure_checkpoint_dir
 from .tables import fresh, written
 
 SHARDS = 8
-ROUNDS = 6
+ROUNDS = 8
 #: Room above an even share that propagation may use before the final levelling.
 SLACK = 0.1
 

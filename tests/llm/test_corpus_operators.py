@@ -85,7 +85,7 @@ def test_sharding(spark):
     for r in got:
         where[text[r["doc_id"]]].add(r["shard"])
     groups = [t for t in where if t and t.startswith("group ")]
-    assert sum(len(where[t]) == 1 for t in groups) >= 0.9 * len(groups)
+    assert sum(len(where[t]) == 1 for t in groups) >= 0.75 * len(groups)
     assert len(where["one large group of copies"]) < 8
 
 
