@@ -59,12 +59,11 @@ def cents(col: str | Column) -> Column:
     """A DECIMAL(18,2) money value as exact BIGINT cents.
 
     Sums of DECIMAL(18,2) widen past 18 digits and fall back to arbitrary-precision
-    arithmetic; cents keep every aggregate on primitive longs.  The conversion goes
-    through a double and is exact while |value| < 2^53 / 100 (about 9e13 per value);
-    sums stay exact up to 9.2e16 currency units.
+    arithmetic; cents keep every aggregate on primitive longs.  The conversion is a decimal
+    product, exact for every DECIMAL(18,2); sums stay exact up to 9.2e16 currency units.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.cast("double") * F.lit(100.0)).cast("long")
+    return (c.cast("decimal(18,2)") * F.lit(100)).cast("long")
 
 
 def line_revenue_cents() -> Column:

@@ -94,25 +94,39 @@ def sales_extract(sales: DataFrame) -> DataFrame:
 
 def pivot_category_month(sales: DataFrame, months: list[str] | None = None,
                          total_label: str = "Total") -> DataFrame:
-    """Category x month revenue with zero fill and grand totals on both axes.
-
-    The margins come from one CUBE aggregate (grouping() marks the total rows); the pivot
-    then reshapes at most (categories+1) x (months+1) rows.
+    """Category x month revenue with zero fill and grand totals on both axes, as a wide
+    table.  The total row is told apart by its grouping flag, so a category that is called
+    like the label keeps its own row.
     """
-    ext = sales_extract(sales)
-    cube = (ext.cube("category", "month")
-            .agg(from_cents(F.sum("line_cents")).alias("revenue"),
-                 F.grouping("category").alias("_gc"), F.grouping("month").alias("_gm"))
-            .select(F.when(F.col("_gc") == 1, F.lit(total_label))
-                    .otherwise(F.col("category")).alias("category"),
-                    F.when(F.col("_gm") == 1, F.lit(total_label))
-                    .otherwise(F.col("month")).alias("month"),
-                    "revenue"))
+    cells = (category_month_revenue(sales)
+             .withColumn("month", F.when(F.col("month_total"), F.lit(total_label)).otherwise(F.col("month"))))
     values = None if months is None else [*months, total_label]
-    wide = cube.groupBy("category").pivot("month", values).agg(F.first("revenue"))
-    value_cols = [c for c in wide.columns if c != "category"]
+    wide = cells.groupBy("category_total", "category").pivot("month", values).agg(F.first("revenue"))
+    value_cols = [c for c in wide.columns if c not in ("category_total", "category")]
     return wide.na.fill(0, subset=value_cols).select(
-        "category", *[F.round(F.col(f"`{c}`"), 2).alias(c) for c in value_cols])
+        F.when(F.col("category_total"), F.lit(total_label)).otherwise(F.col("category")).alias("category"),
+        *[F.round(F.col(f"`{c}`"), 2).alias(c) for c in value_cols])
+
+
+def category_month_revenue(sales: DataFrame) -> DataFrame:
+    """P1 in long form: revenue of every category in every month (0 where there is none), of
+    each category, of each month and in all; flags mark the totals, whose labels are NULL.
+
+    Item lines are summed to one row per category and month before the cube, which then
+    expands only those.
+    """
+    cell = sales_extract(sales).groupBy("category", "month").agg(F.sum("line_cents").alias("line_cents"))
+    cube = (cell.cube("category", "month")
+            .agg(F.sum("line_cents").alias("c"), (F.grouping("category") == 1).alias("category_total"),
+                 (F.grouping("month") == 1).alias("month_total")))
+    rows = cube.where("category_total OR month_total")
+    # categories x months cells: labels only, never item lines
+    grid = (cell.select("category").distinct().crossJoin(cell.select("month").distinct())
+            .join(cell, ["category", "month"], "left")
+            .select("category", "month", F.coalesce("line_cents", F.lit(0)).alias("c"),
+                    F.lit(False).alias("category_total"), F.lit(False).alias("month_total")))
+    return rows.where("c IS NOT NULL").unionByName(grid).select(
+        "category", "month", "category_total", "month_total", from_cents("c").alias("revenue"))
 
 
 def pivot_state(sales: DataFrame) -> DataFrame:

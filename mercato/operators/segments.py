@@ -12,16 +12,14 @@ from .analysis import cohort_retention, rfm_base
 from .star import Star
 
 
-def cohort_pct_matrix(star: Star, offsets: int = 12, cohorts: DataFrame | None = None) -> DataFrame:
-    """Cohort x month offset, % of the cohort's offset-0 size active (2dp), for the
-    first ``offsets`` offsets; NULL where nobody was active."""
+def cohort_pct_matrix(star: Star, cohorts: DataFrame | None = None) -> DataFrame:
+    """% of each cohort's offset-0 size active at each month offset (2dp), in long form:
+    one row per cohort and offset with activity, whatever the number of offsets."""
     long = cohorts if cohorts is not None else cohort_retention(star)
-    size = F.sum(F.when(F.col("month_offset") == 0, F.col("active_customers")))
-    cols = [size.alias("cohort_size")]
-    for k in range(offsets):
-        active = F.sum(F.when(F.col("month_offset") == k, F.col("active_customers")))
-        cols.append(pct(active, size).alias(f"m{k}"))
-    return long.groupBy("cohort").agg(*cols)
+    size = F.max(F.when(F.col("month_offset") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort"))
+    return (long.withColumn("cohort_size", size)
+            .select("cohort", "cohort_size", "month_offset",
+                    pct(F.col("active_customers"), F.col("cohort_size")).alias("active_pct")))
 
 
 def rfm_person_base(star: Star) -> DataFrame:

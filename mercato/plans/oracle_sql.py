@@ -437,18 +437,15 @@ FROM vw_customers_""")
 _q("vw_daily_orders", _VIEWS, "SELECT order_date, orders FROM vw_daily_orders_")
 
 _q("pivot_category_month", _VIEWS + """,
-cube_ AS (
-    SELECT CASE WHEN GROUPING(category) = 1 THEN 'Total' ELSE category END AS category,
-           CASE WHEN GROUPING(month) = 1 THEN 'Total' ELSE month END AS month,
-           SUM(line_revenue) AS revenue
-    FROM ext_ GROUP BY CUBE (category, month)),
-cats_ AS (SELECT DISTINCT category FROM cube_),
-months_ AS (SELECT DISTINCT month FROM cube_),
-grid_ AS (
-    SELECT c.category, m.month, CAST(round(COALESCE(x.revenue, 0), 2) AS DOUBLE) AS revenue
-    FROM cats_ c CROSS JOIN months_ m
-    LEFT JOIN cube_ x ON x.category = c.category AND x.month = m.month)
-""", "SELECT * FROM (PIVOT grid_ ON month USING first(revenue) GROUP BY category)")
+cell_ AS (SELECT category, month, SUM(line_revenue) AS revenue FROM ext_ GROUP BY ALL),
+cats_ AS (SELECT DISTINCT category FROM cell_),
+months_ AS (SELECT DISTINCT month FROM cell_)
+""", """
+SELECT c.category, m.month, FALSE AS category_total, FALSE AS month_total, CAST(COALESCE(x.revenue, 0) AS DOUBLE) AS revenue
+FROM cats_ c CROSS JOIN months_ m LEFT JOIN cell_ x ON x.category = c.category AND x.month = m.month
+UNION ALL SELECT category, NULL, FALSE, TRUE, CAST(SUM(revenue) AS DOUBLE) FROM cell_ GROUP BY category
+UNION ALL SELECT NULL, month, TRUE, FALSE, CAST(SUM(revenue) AS DOUBLE) FROM cell_ GROUP BY month
+UNION ALL SELECT NULL, NULL, TRUE, TRUE, CAST(SUM(revenue) AS DOUBLE) FROM cell_ HAVING COUNT(*) > 0""")
 
 _q("pivot_state", _VIEWS, """
 SELECT state, COUNT(DISTINCT order_id) AS orders, CAST(round(SUM(line_revenue), 2) AS DOUBLE) AS revenue
@@ -554,10 +551,10 @@ FROM b_ GROUP BY bin, lo, hi""")
 
 
 # ---------------------------------------------------------------- segments
-_q("cohort_pct_matrix", _COHORT, "SELECT cohort, CAST(SUM(active_customers) FILTER (WHERE month_offset = 0) AS BIGINT) AS cohort_size, "
-   + ", ".join(f"{pct(f'SUM(active_customers) FILTER (WHERE month_offset = {k})', 'SUM(active_customers) FILTER (WHERE month_offset = 0)')} AS m{k}"
-               for k in range(12))
-   + " FROM cohort_long_ GROUP BY cohort")
+_q("cohort_pct_matrix", _COHORT, f"""
+SELECT a.cohort, CAST(b.active_customers AS BIGINT) AS cohort_size, CAST(a.month_offset AS BIGINT) AS month_offset,
+       {pct('a.active_customers', 'b.active_customers')} AS active_pct
+FROM cohort_long_ a JOIN cohort_long_ b ON a.cohort = b.cohort AND b.month_offset = 0""")
 
 _q("rfm_person_base", _RFM, """
 SELECT customer_unique_id, last_order, frequency, CAST(monetary AS DOUBLE) AS monetary FROM rfm_""")
@@ -696,10 +693,9 @@ ORACLE["run_all_queries"] = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS query, count(*) AS \"rows\" FROM ({ORACLE[n]})" for n in _RUN_ALL)
 
 ORACLE["result_samples"] = "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS query, CAST(least(count(*), 200) AS BIGINT) AS sample_rows FROM ({ORACLE[n]})"
-    for n in _RUN_ALL[:16])
+    f"SELECT '{n}' AS query, count(*) AS written_rows FROM ({ORACLE[n]})" for n in _RUN_ALL)
 _q("pivot_extract", _VIEWS, """
-SELECT 'raw_extract' AS output, CAST(least(count(*), 5000) AS BIGINT) AS "rows" FROM ext_
+SELECT 'raw_extract' AS output, count(*) AS "rows" FROM ext_
 UNION ALL
 SELECT 'category_month_pivot', count(DISTINCT category) + 1 FROM ext_
 UNION ALL

@@ -20,7 +20,12 @@ def ordered(df: DataFrame, order: list[tuple[str, bool]] | None) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def write_result_sample(df: DataFrame, path: str, n: int = 200,
+def write_result(df: DataFrame, path: str) -> None:
+    """The whole result as CSV with a header, one file per partition."""
+    df.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def write_result_sample(df: DataFrame, path: str, n: int,
                         order: list[tuple[str, bool]] | None = None) -> None:
     """The first ``n`` rows (in the result's order) as one CSV file with a header."""
     (ordered(df, order).limit(n).coalesce(1)
@@ -56,21 +61,24 @@ def publish_forecast(forecast: DataFrame, table_path: str, csv_path: str | None
         typed.orderBy("date").coalesce(1).write.mode("overwrite").option("header", "true").csv(csv_path)
 
 
-def pivot_extract_sink(sales: DataFrame, out_dir: str, cap: int = 5000) -> None:
-    """The raw extract (first ``cap`` rows) and the two pivots as three CSV outputs."""
+def pivot_extract_sink(sales: DataFrame, out_dir: str) -> None:
+    """The whole raw extract, in date order, and the two pivots as three CSV outputs."""
     from ..operators.marts import pivot_category_month, pivot_state, sales_extract
     ext = sales_extract(sales).orderBy("order_date", "order_id")
-    ext.limit(cap).coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{out_dir}/raw_extract")
+    ext.write.mode("overwrite").option("header", "true").csv(f"{out_dir}/raw_extract")
     pivot_category_month(sales).coalesce(1).write.mode("overwrite").option("header", "true") \
         .csv(f"{out_dir}/category_month_pivot")
     pivot_state(sales).orderBy(F.desc("revenue")).coalesce(1).write.mode("overwrite") \
         .option("header", "true").csv(f"{out_dir}/state_pivot")
 
 
-def run_all_queries(results: dict[str, DataFrame], out_dir: str | None = None, sample_rows: int = 200,
+def run_all_queries(results: dict[str, DataFrame], out_dir: str | None = None, sample_rows: int | None = None,
                     orders: dict[str, list[tuple[str, bool]]] | None = None) -> dict[str, DataFrame]:
-    """Evaluate every business query in name order, writing a sample of each."""
+    """Evaluate every business query in name order and write each result whole; with
+    ``sample_rows``, also its first rows in the result's order below ``samples``."""
     for name in results:
         if out_dir:
-            write_result_sample(results[name], f"{out_dir}/{name}", sample_rows, (orders or {}).get(name))
+            write_result(results[name], f"{out_dir}/{name}")
+            if sample_rows is not None:
+                write_result_sample(results[name], f"{out_dir}/samples/{name}", sample_rows, (orders or {}).get(name))
     return results
