@@ -6,7 +6,7 @@ aggregate before they pivot, so only one row per (category, month) is ever resha
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (cents, from_cents, is_delivered, line_revenue,
@@ -173,15 +173,17 @@ def kpi_repeat_pct(customers_view: DataFrame) -> DataFrame:
 
 
 def kpi_revenue_mom_calendar(sales: DataFrame) -> DataFrame:
-    """K9: revenue growth against the calendar-previous month; NULL when that month has
-    no revenue (unlike A01, which compares with the previous month present)."""
-    m = sales.groupBy(month_start("order_date").alias("month")).agg(
-        F.sum(cents("line_revenue")).alias("revenue"))
-    prev = m.select(F.add_months("month", 1).alias("month"), F.col("revenue").alias("_prev"))
-    j = m.join(prev, "month", "left")
-    return j.select("month", from_cents("revenue").alias("revenue"),
-                    half_up_div((F.col("revenue") - F.col("_prev")) * F.lit(100),
-                                F.col("_prev"), 1).alias("mom_growth_pct"))
+    """K9: revenue growth against the calendar-previous month, for every month from the first
+    to the last one with sales.  A month without sales has revenue 0 (growth -100 %); growth
+    is NULL for the first month and after a month of revenue 0."""
+    sold = sales.groupBy(month_start("order_date").alias("month")).agg(F.sum(cents("line_revenue")).alias("_c"))
+    span = sold.agg(F.min("month").alias("lo"), F.max("month").alias("hi")).where("lo IS NOT NULL")
+    spine = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    m = spine.join(sold, "month", "left").select("month", F.coalesce("_c", F.lit(0)).alias("revenue"))
+    before = F.lag("revenue").over(Window.orderBy("month"))  # one row per calendar month
+    return m.withColumn("_prev", before).select(
+        "month", from_cents("revenue").alias("revenue"),
+        half_up_div((F.col("revenue") - F.col("_prev")) * F.lit(100), F.col("_prev"), 1).alias("mom_growth_pct"))
 
 
 def kpi_cohort_m1_m3(cohorts: DataFrame, offsets: tuple[int, ...] = (1, 3)) -> DataFrame:
@@ -224,14 +226,10 @@ def kpi_revenue_by_slicer(sales: DataFrame) -> DataFrame:
 
 def recent_actuals_plus_forecast(daily: DataFrame, forecast: DataFrame, days: int = 90) -> DataFrame:
     """The last ``days`` days of actual daily orders stacked with the forecast band
-    (a one-row max-date aggregate bounds the actuals)."""
+    (a one-row max-date aggregate bounds the actuals); series_id stays where the forecast has it."""
     last = daily.agg(F.max("order_date").alias("_last"))
     recent = (daily.crossJoin(last)
               .filter(F.col("order_date") > F.date_sub("_last", days))
               .select(F.col("order_date").alias("date"), F.col("orders").cast("double").alias("actual")))
-    fc = forecast.select("date", "forecast", "lower", "upper")
+    fc = forecast.select(*(c for c in ("series_id", "date", "forecast", "lower", "upper") if c in forecast.columns))
     return recent.unionByName(fc, allowMissingColumns=True)
-
-
-def views_for(spark: SparkSession, star: Star) -> dict[str, DataFrame]:
-    return {name: fn(star) for name, fn in VIEWS.items()}

@@ -146,24 +146,24 @@ def table_profiles(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def _scalar_specs(table: str) -> list[tuple[str, str, str, Column, str]]:
     """Every scalar check of a table as a (check, table, detail, count, severity) spec
     over the columns of its profile."""
-    specs = [("row_count", table, f"stg.{table} is empty", "CASE WHEN n > 0 THEN 0 ELSE 1 END", BLOCKING)]
-    domain = {"dom_score": "order_reviews: review_score NOT BETWEEN 1 AND 5",
-              "dom_price": "order_items: price < 0", "dom_freight": "order_items: freight_value < 0",
-              "dom_value": "order_payments: payment_value < 0"}
+    specs = [("row_count", table, f"no row staged for {table}", "CASE WHEN n > 0 THEN 0 ELSE 1 END", BLOCKING)]
+    domain = {"dom_score": "score outside 1 to 5",
+              "dom_price": "negative price", "dom_freight": "negative freight",
+              "dom_value": "negative payment"}
     for col in _domain_exprs(table):
         specs.append(("domain", table, domain[col], col, BLOCKING))
-    temporal = {"tmp_a": "order_delivered_carrier_date < order_approved_at",
-                "tmp_b": "order_delivered_customer_date < order_delivered_carrier_date",
-                "tmp_c": "canceled order with a non-null delivered_customer_date"}
+    temporal = {"tmp_a": "handed to the carrier before approval",
+                "tmp_b": "with the customer before the carrier",
+                "tmp_c": "canceled, yet handed to the customer"}
     for col in _temporal_exprs(table):
         specs.append(("temporal_sanity", table, temporal[col], col, LOGGED))
     for t, c, bp in NULL_POLICY:
         if t == table:
-            specs.append(("null_policy", table, f"{c}: null rate above {bp / 100:.2f}%",
+            specs.append(("null_policy", table, f"{c}: more than {bp} in 10000 missing",
                           f"CASE WHEN null_{c} * 10000 > n * {bp} THEN null_{c} ELSE 0 END", LOGGED))
     for t, c, typ in CAST_PLAN:
         if t == table:
-            specs.append(("malformed_cast", table, f"{c} values not castable to {typ}",
+            specs.append(("malformed_cast", table, f"{c}: text that {typ} cannot hold",
                           f"cast_{c}", BLOCKING))
     return specs
 
@@ -204,7 +204,7 @@ def dq_pk_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
     for t, cols in PRIMARY_KEYS:
         key = ", ".join(cols)
         frames.append(_rows(_duplicate_groups(stg[t], cols),
-                            [("pk_uniqueness", t, f"duplicate ({key}) values in stg.{t}",
+                            [("pk_uniqueness", t, f"key ({key}) used by several staged rows",
                               "n", BLOCKING)]))
     return _union(frames)
 
@@ -225,7 +225,7 @@ def _fk_rows(tables: dict[str, DataFrame], relations, check: str = "referential_
     frames = []
     for child, ccol, parent, pcol in relations:
         agg = _orphans(tables[child], ccol, tables[parent], pcol)
-        frames.append(_rows(agg, [(check, child, f"{child}.{ccol} values missing from {parent}.{pcol}",
+        frames.append(_rows(agg, [(check, child, f"{ccol} without a row in {parent}",
                                    "n", BLOCKING)]))
     return _union(frames)
 
@@ -252,14 +252,14 @@ def dq_null_policy(stg: dict[str, DataFrame]) -> DataFrame:
 
 
 def dq_review_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
-    """Repeated review ids; orders with more than one review (both logged)."""
+    """Repeated review ids; orders reviewed several times (both logged)."""
     rev = stg["order_reviews"]
     return _union([
         _rows(_duplicate_groups(rev, ["review_id"]),
-              [("review_duplicates", "order_reviews", "review_id values repeated across rows",
+              [("review_duplicates", "order_reviews", "review ids used by several rows",
                 "n", LOGGED)]),
         _rows(_duplicate_groups(rev, ["order_id"]),
-              [("review_duplicates", "order_reviews", "orders with more than one review",
+              [("review_duplicates", "order_reviews", "orders reviewed several times",
                 "n", LOGGED)]),
     ])
 
@@ -288,7 +288,7 @@ def dq_row_reconciliation(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
                                    else f"count(DISTINCT {distinct_col}) AS b")
         both = out_n.crossJoin(in_n)  # two one-row frames
         frames.append(_rows(both, [("row_reconciliation", name,
-                                    f"analytics.{name} row count differs from staging",
+                                    f"rows of {name} and of its staged source differ in number",
                                     "CASE WHEN a = b THEN 0 ELSE 1 END", BLOCKING)]))
     return _union(frames)
 
@@ -305,7 +305,7 @@ def dq_revenue_tieout(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
         F.round(F.sum(F.col("price").try_cast(MONEY) + F.col("freight_value").try_cast(MONEY)), 2)
         .alias("b"))
     return _rows(a.crossJoin(b), [("revenue_tie_out", "fact_order_items",
-                                   "total item revenue differs between star and staging",
+                                   "item revenue of the star is not that of staging",
                                    "CASE WHEN a <=> b THEN 0 ELSE 1 END",
                                    BLOCKING)])
 
@@ -319,7 +319,7 @@ def dq_items_vs_payments(star: Star) -> DataFrame:
     """Orders whose item and payment totals differ by more than 0.01 (logged)."""
     return _rows(items_payments_mismatch_count(star),
                  [("revenue_tie_out", "fact_order_items",
-                   "orders where item total and payment total differ by more than 0.01",
+                   "orders paid more or less than their items cost, by over one cent",
                    "n", LOGGED)])
 
 

@@ -53,12 +53,14 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish_forecast(forecast: DataFrame, table_path: str, csv_path: str | None = None) -> None:
-    """The forecast as a typed table (date, forecast, lower, upper) and as CSV."""
-    typed = forecast.select(F.col("date").cast("date").alias("date"),
+    """The forecast as a typed table (series_id where there is one, date, forecast, lower,
+    upper) and as CSV, range-sorted over as many files as Spark's partitions."""
+    keys = [c for c in ("series_id",) if c in forecast.columns]
+    typed = forecast.select(*keys, F.col("date").cast("date").alias("date"),
                             *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("forecast", "lower", "upper")])
     ctas_overwrite(typed, path=table_path)
     if csv_path:
-        typed.orderBy("date").coalesce(1).write.mode("overwrite").option("header", "true").csv(csv_path)
+        typed.orderBy(*keys, "date").write.mode("overwrite").option("header", "true").csv(csv_path)
 
 
 def pivot_extract_sink(sales: DataFrame, out_dir: str) -> None:
