@@ -9,9 +9,10 @@ by Spark's text writer as records of one size (the separator is the record's las
 slot s is at byte (s mod PER_SHARD) * stride of shard s div PER_SHARD.  A reader can start
 or resume at any slot and read on in order.
 
-Texts are tokenised twice, to count and to write, so that tokens are stored only in the
-shards.  Numbering relies on ``docs`` being a table that is read in the same splits twice;
-slots that would be missing or double are found when reading (gapless slots, checksums).
+Texts are tokenised once, into a table of token bytes in the shared folder, where each row
+holds its place among the sequences of its task; a sum per task then gives every sequence its
+number.  Slots that would be missing or double are found when reading (gapless slots,
+checksums).
 
 Record: doc_id, int64 (the least int64: none) | number of the sequence in its text, uint32 |
 tokens in it, uint32 | crc32 of the id bytes, uint32 | LENGTH ids, uint16 | newline.
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
+from .tables import written
 from .tokens import END, load, pieces_of
 from .words import mix, pieces
 
@@ -66,26 +68,29 @@ def permute(index: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
-    coder, n = pieces_of(vocabulary), 0
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
+    """Texts as token bytes: the task, the text's first sequence in it, sequences, id, tokens."""
+    coder, part, at = pieces_of(vocabulary), TaskContext.get().partitionId(), 0
     for batch in batches:
-        for _, texts in pieces(batch.column(1)):
-            for text in texts.to_pylist():
-                if text:
-                    n += -(-sum(map(coder.count, coder.split(text))) // length)
-    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
+        for row, texts in pieces(batch.column(1)):
+            tokens = [coder.encode(text) if text else b"" for text in texts.to_pylist()]
+            n = -(-np.array([len(x) // 2 for x in tokens], np.int64) // length)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), part, np.int32)), pa.array(at + np.cumsum(n) - n), pa.array(n),
+                 batch.column(0).slice(row, len(texts)), pa.array(tokens, pa.binary())], ["part", "at", "n", "id", "tokens"])
+            at += int(n.sum())
 
 
-def _records(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int, starts: dict, total: int, key: int,
+def _records(batches: Iterator[pa.RecordBatch], length: int, starts: dict, total: int, key: int,
              per_shard: int) -> Iterator[pa.RecordBatch]:
-    coder, kind = pieces_of(vocabulary), record_type(length)
-    at = starts.get(TaskContext.get().partitionId(), 0)
+    kind = record_type(length)
     for batch in batches:
-        for row, texts in pieces(batch.column(1)):
-            ids = batch.column(0).slice(row, len(texts)).to_pylist()
-            made = []
-            for doc_id, text in zip(ids, texts.to_pylist()):
-                tokens = np.frombuffer(coder.encode(text), "<u2") if text else np.empty(0, "<u2")
+        # rows in groups of about 1 MB of tokens, so that a task's memory is bounded
+        for row, group in pieces(batch.column(4)):
+            parts, ats, ids = (batch.column(c).slice(row, len(group)).to_pylist() for c in (0, 1, 3))
+            made, numbers = [], []
+            for part, at, doc_id, raw in zip(parts, ats, ids, group.to_pylist()):
+                tokens = np.frombuffer(raw, "<u2")
                 count = -(-len(tokens) // length)
                 out = np.zeros(count, kind)
                 flat = np.full(count * length, END, "<u2")
@@ -96,9 +101,9 @@ def _records(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int,
                 out["n"] = np.minimum(length, len(tokens) - np.arange(count) * length)
                 out["crc"] = [zlib.crc32(x.tobytes()) for x in out["ids"]]
                 made.append(out)
+                numbers.append(starts[part] + at + np.arange(count))
             out = np.concatenate(made)
-            slots = permute(np.arange(at, at + len(out)), total, key)
-            at += len(out)
+            slots = permute(np.concatenate(numbers), total, key)
             size = kind.itemsize
             raw = np.ascontiguousarray(out).view(np.uint8).reshape(len(out), size)[:, :-1].tobytes()  # the writer adds the last byte
             bounds = np.arange(len(out) + 1, dtype=np.int32) * (size - 1)
@@ -114,12 +119,13 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     ship_package(spark)
     vocabulary = vocabulary or load()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = texts.mapInArrow(functools.partial(_count, vocabulary=vocabulary, length=length), "part int, n long").collect()
+    coded = written(texts.mapInArrow(functools.partial(_encode, vocabulary=vocabulary, length=length),
+                                     "part int, at long, n long, id long, tokens binary"), "tokens")
     starts, total = {}, 0
-    for part, n in sorted((r["part"], r["n"]) for r in parts):  # a number per input partition
+    for part, n in sorted(map(tuple, coded.groupBy("part").agg(F.sum("n")).collect())):  # a number per task
         starts[part], total = total, total + n
-    records = texts.mapInArrow(functools.partial(_records, vocabulary=vocabulary, length=length, starts=starts, total=total, key=key,
-                                                 per_shard=per_shard), "shard long, slot long, record binary")
+    records = (coded.where("n > 0").mapInArrow(functools.partial(_records, length=length, starts=starts, total=total, key=key,
+                                                                 per_shard=per_shard), "shard long, slot long, record binary"))
     (records.repartition("shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
      .write.partitionBy("shard").option("lineSep", "\n").text(path))
     return total
