@@ -40,6 +40,8 @@ from .words import NOT_SPACE, find_words, pieces, signed
 #: Similarity at least 4/5.
 NUM, DEN = 4, 5
 TABLE = 21
+#: Counters (2^BLOCK) that one row brings to the driver.
+BLOCK = 16
 
 
 def _lines(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
@@ -69,6 +71,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["at", "n"])
 
 
+def _block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """A block of the count table (at most 2^BLOCK rows) as one row."""
+    counts = np.zeros(1 << BLOCK, "<i4")
+    at = rows.column("at").to_numpy() & ((1 << BLOCK) - 1)
+    counts[at] = np.minimum(rows.column("n").to_numpy(), np.iinfo(np.int32).max)
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+
 def _sets(lines: pa.Array, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(place, words as hashes in the global order, each once) of the lines with words."""
     found = find_words(lines, NOT_SPACE)
@@ -133,19 +143,22 @@ def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = (texts.select("text").mapInArrow(_count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
-    table = np.zeros(1 << TABLE, np.int32)  # fixed size
-    table[found["at"].to_numpy(np.int64)] = np.minimum(found["n"].to_numpy(np.int64), np.iinfo(np.int32).max)
+    found = (texts.select("text").mapInArrow(_count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+             .groupBy(F.shiftright("at", BLOCK).alias("block")).applyInArrow(_block, "block long, counts binary").collect())
+    table = np.zeros(1 << TABLE, np.int32)  # fixed size, collected as 2^(TABLE - BLOCK) packed rows
+    for row in found:
+        table[row["block"] << BLOCK: (row["block"] + 1) << BLOCK] = np.frombuffer(row["counts"], "<i4")
     counts = spark.sparkContext.broadcast(table)
     rows = written(texts.mapInArrow(functools.partial(_post, counts=counts),
                                     "u long, id long, line int, v long, c1 long, c2 long, n int, prefix array<long>"), "lines")
     lines = rows.where("line IS NOT NULL")
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("u").alias("u"), F.col("line").alias("line"))
     classes = (lines.groupBy("c1", "c2").agg(F.min("v").alias("v"), F.min(place).alias("at"), F.first("n").alias("n"),
-                                             F.first("prefix").alias("prefix")).checkpoint())
+                                             F.first("prefix").alias("prefix")))
+    classes = written(classes, "classes")
     posts = classes.select("v", "n", F.posexplode("prefix").alias("pos", "word"))
     several = posts.groupBy("word").count().where("count > 1").select("word").checkpoint()
-    posts = posts.join(several, "word").checkpoint()
+    posts = written(posts.join(several, "word"), "posts")
     side = lambda x: posts.select("word", *(F.col(c).alias(c + x) for c in ("v", "n", "pos")))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * NUM / F.lit(NUM + DEN))
     pairs = (side("_a").join(side("_b"), "word").where("v_a < v_b")
@@ -153,7 +166,8 @@ def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .where(F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= need)
              .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct().checkpoint())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    cand = classes.join(ends, "v").select("v", "c1", "c2", "n", "at").checkpoint()
+    cand = classes.join(ends, "v").select("v", "c1", "c2", "n", "at")
+    cand = written(cand, "candidates")
     wanted = bitmap.build(cand, "c1")
     sets = (texts.select("text").mapInArrow(functools.partial(_full, counts=counts, wanted=wanted), "c1 long, c2 long, words array<long>")
             .join(cand, ["c1", "c2"]).groupBy("v").agg(F.first("words").alias("words"), F.first("at").alias("at")).checkpoint())
