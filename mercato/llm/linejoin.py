@@ -170,7 +170,8 @@ def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cand = written(cand, "candidates")
     wanted = bitmap.build(cand, "c1")
     sets = (texts.select("text").mapInArrow(functools.partial(_full, counts=counts, wanted=wanted), "c1 long, c2 long, words array<long>")
-            .join(cand, ["c1", "c2"]).groupBy("v").agg(F.first("words").alias("words"), F.first("at").alias("at")).checkpoint())
+            .groupBy("c1", "c2").agg(F.first("words").alias("words")).join(cand, ["c1", "c2"]).select("v", "words", "at"))
+    sets = written(sets, "sets")
     end = lambda x: sets.select(*(F.col(c).alias(n) for c, n in (("v", x), ("words", "w_" + x), ("at", "at_" + x))))
     both = F.size(F.array_intersect("w_a", "w_b"))
     links = (pairs.join(end("a"), "a").join(end("b"), "b")
