@@ -59,6 +59,8 @@ COUNTS = (0, 3, 6)
 HITS = (1, 2, 3, 5, 8)
 FOLDS = 5
 ROUNDS = 12
+#: Sums that a task sends in one row.
+SLICE = 1024
 
 
 def fold(id_col: str) -> Column:
@@ -152,7 +154,7 @@ def _bits(votes: np.ndarray) -> np.ndarray:
 
 def _expect(batches: Iterator[pa.RecordBatch], logs: np.ndarray, prior: float, pairs: bool) -> Iterator[pa.RecordBatch]:
     """Expected counts of the task's vote vectors (votes, count): class sums, votes per voter
-    and class and, with ``pairs``, joint votes of voter pairs; one row."""
+    and class and, with ``pairs``, joint votes of voter pairs; a row per slice of SLICE sums."""
     width = len(logs)
     out = np.zeros(2 + 2 * width + (2 * width * width if pairs else 0))
     for batch in batches:
@@ -164,7 +166,26 @@ def _expect(batches: Iterator[pa.RecordBatch], logs: np.ndarray, prior: float, p
             if pairs:
                 at = 2 + 2 * width + c * width * width
                 out[at: at + width * width] += ((v * q[:, None]).T @ v).ravel()
-    yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], ["sums"])
+    yield _sliced(out)
+
+
+def _sliced(sums: np.ndarray) -> pa.RecordBatch:
+    at = range(0, len(sums), SLICE)
+    return pa.RecordBatch.from_arrays([pa.array([i // SLICE for i in at], pa.int32()),
+                                       pa.array([sums[i: i + SLICE] for i in at], pa.list_(pa.float64()))], ["slice", "sums"])
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of all tasks, added up by their number (a task holds as many as there are numbers)."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        lists = batch.column(1)
+        for number, sums in zip(batch.column(0).to_pylist(), lists):
+            part = sums.values.to_numpy()
+            total[number] = total[number] + part if number in total else part
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.float64()))],
+                                         ["slice", "sums"])
 
 
 class LabelModel:
@@ -196,11 +217,11 @@ class LabelModel:
         for turn in range(rounds):
             pairs = turn in (rounds // 2, rounds - 1)
             step = functools.partial(_expect, logs=self.logs(), prior=self.log_prior(), pairs=pairs)
-            parts = counted.mapInArrow(step, "sums array<double>")
-            rows = (parts.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect())
+            rows = (counted.mapInArrow(step, "slice int, sums array<double>").repartition("slice")
+                    .mapInArrow(_add, "slice int, sums array<double>").collect())
             sums = np.zeros(2 + 2 * width + (2 * width * width if pairs else 0))  # the driver's bound: voters^2
             for r in rows:
-                sums[r["at"]] = r["x"]
+                sums[r["slice"] * SLICE: (r["slice"] + 1) * SLICE] = r["sums"]
             both = np.maximum(sums[:2], 1e-9)
             votes = sums[2: 2 + 2 * width].reshape(2, width)
             rates = (votes / both[:, None] + anchor.T) / 2
