@@ -13,7 +13,7 @@ import numpy as np
 
 def _initial_state(y: np.ndarray, m: int) -> tuple[float, float, np.ndarray]:
     first = y[:m].mean()
-    second = y[m:2 * m].mean() if len(y) >= 2 * m else first
+    second = y[m:2 * m].mean()
     return first, (second - first) / m, y[:m] - first
 
 
@@ -56,8 +56,8 @@ def forecast(y: np.ndarray, horizon: int, m: int = 7,
              params: tuple[float, float, float] | None = None) -> np.ndarray:
     """Point forecasts for the ``horizon`` steps after the end of ``y``."""
     y = np.asarray(y, dtype=float)
-    if len(y) < m:
-        return np.full(horizon, y.mean() if len(y) else 0.0)
+    if len(y) < 2 * m:
+        raise ValueError(f"{len(y)} observations, two seasons ({2 * m}) are needed")
     alpha, beta, gamma = params or fit(y, m)
     level, trend, season = _initial_state(y, m)
     season = season.copy()

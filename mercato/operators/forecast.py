@@ -78,17 +78,19 @@ def event_lift(series: DataFrame, window_days: int = 14, folds: DataFrame | None
 
 def walk_forward_folds(series: DataFrame, n_folds: int = N_FOLDS, horizon: int = HORIZON) -> DataFrame:
     """N16e: expanding-origin folds; fold f tests the ``horizon`` days starting
-    ``(n_folds - f + 1) * horizon`` days before the series end and trains on all before."""
+    ``(n_folds - f + 1) * horizon`` days before the series end and trains on all before.
+    A series that leaves a fold less than one season to train on raises."""
     spark = series.sparkSession
     length = series.groupBy("series_id").agg(F.count(F.lit(1)).alias("_len"),
                                              F.min("day").alias("_first_day"))
     folds = spark.range(1, n_folds + 1).select(F.col("id").cast("int").alias("fold"))
     start_idx = F.col("_len") - (F.lit(n_folds) - F.col("fold") + 1) * F.lit(horizon)
+    short = F.format_string(f"series %s has %s days, {n_folds} folds need {n_folds * horizon + SEASON}", "series_id", "_len")
+    start_idx = F.when(start_idx >= SEASON, start_idx).otherwise(F.raise_error(short).cast("bigint"))
     return (length.crossJoin(F.broadcast(folds))
             .select("series_id", "fold", start_idx.alias("test_start_idx"),
                     F.date_add("_first_day", start_idx.cast("int")).alias("test_start"),
-                    F.date_add("_first_day", (start_idx + horizon - 1).cast("int")).alias("test_end"))
-            .filter(F.col("test_start_idx") >= SEASON))
+                    F.date_add("_first_day", (start_idx + horizon - 1).cast("int")).alias("test_end")))
 
 
 def seasonal_naive_predictions(series: DataFrame, folds: DataFrame,

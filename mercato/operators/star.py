@@ -11,8 +11,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.joins import broadcast_if_small
-from ..functions.numeric import half_up_div
 from ..sources.schemas import COORD, MONEY, SIZE, TS
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -46,10 +44,8 @@ def dim_customers(stg_customers: DataFrame) -> DataFrame:
 
 def dim_products(stg_products: DataFrame, translation: DataFrame) -> DataFrame:
     """English category with fallback to the native name; a NULL category stays NULL."""
-    # few categories: a shuffle join on the category would put each category's products
-    # in one task, so the (counted, bounded) translation table is broadcast instead
-    t = broadcast_if_small(translation.select("product_category_name", "product_category_name_english"))
-    p = stg_products.join(t, "product_category_name", "left")
+    t = translation.select("product_category_name", "product_category_name_english")
+    p = stg_products.join(t, "product_category_name", "left")  # Spark's size estimates and AQE choose the join
     return p.select(
         "product_id",
         F.coalesce("product_category_name_english", "product_category_name")
@@ -145,20 +141,17 @@ def order_reviews_latest(stg_reviews: DataFrame) -> DataFrame:
             .select(*[F.col(f"r.{c}").alias(c) for c in REVIEW_COLUMNS]))
 
 
-def _mean_rounded(col: str, scale: int) -> Column:
-    """Exact mean of a DECIMAL(18,8) column, rounded half away from zero.  Values are
-    summed as integral units of 1e-8 on primitive longs (exact for |value| < 9e7)."""
-    c = F.col(col).cast(COORD)
-    units = F.round(c.cast("double") * F.lit(1e8)).cast("long")
-    return half_up_div(F.sum(units), F.count(c) * F.lit(10 ** 8), scale)
+def _mean(col: str) -> Column:
+    """Exact decimal mean (16 digits in, 20 out; the sum holds 18 digits before the point)."""
+    return F.avg(F.col(col).cast(COORD)).cast("double")
 
 
-def geolocation_dedup(stg_geo: DataFrame, coord_scale: int = 6) -> DataFrame:
+def geolocation_dedup(stg_geo: DataFrame) -> DataFrame:
     """Per zip prefix the mean coordinates and the most common city and state
     (ties -> lowest value; NULLs ignored)."""
     return (stg_geo.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"))
-            .agg(_mean_rounded("geolocation_lat", coord_scale).alias("avg_lat"),
-                 _mean_rounded("geolocation_lng", coord_scale).alias("avg_lng"),
+            .agg(_mean("geolocation_lat").alias("avg_lat"),
+                 _mean("geolocation_lng").alias("avg_lng"),
                  F.mode("geolocation_city", True).alias("city"),
                  F.mode("geolocation_state", True).alias("state")))
 
@@ -167,7 +160,7 @@ class Star:
     """The typed star schema over a mapping of staging frames.
 
     Tables are built on first access and then reused, so a query that reads two tables
-    never plans (or size-checks) the other six.
+    never plans the other six.
     """
 
     def __init__(self, stg: Mapping[str, DataFrame]):
@@ -179,6 +172,10 @@ class Star:
             self._built[name] = _BUILDERS[name](self._stg)
         return self._built[name]
 
+    def bind(self, name: str, table: DataFrame) -> None:
+        """Use ``table`` (such as a published one) in place of building it."""
+        self._built[name] = table
+
     dim_customers = property(lambda self: self._table("dim_customers"))
     dim_products = property(lambda self: self._table("dim_products"))
     dim_sellers = property(lambda self: self._table("dim_sellers"))

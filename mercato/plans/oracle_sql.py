@@ -254,7 +254,7 @@ _CASTS = {
             "order_reviews.review_score"],
     "decimal(18,4)": [f"products.product_{x}" for x in ("weight_g", "length_cm", "height_cm", "width_cm")],
     "decimal(18,2)": ["order_items.price", "order_items.freight_value", "order_payments.payment_value"],
-    "decimal(18,8)": ["geolocation.geolocation_lat", "geolocation.geolocation_lng"],
+    "decimal(24,16)": ["geolocation.geolocation_lat", "geolocation.geolocation_lng"],
     "timestamp_ntz": [*(f"orders.order_{x}" for x in ("purchase_timestamp", "approved_at", "delivered_carrier_date",
                                                       "delivered_customer_date", "estimated_delivery_date")),
                       "order_items.shipping_limit_date", "order_reviews.review_creation_date",
@@ -263,7 +263,7 @@ _CASTS = {
 _BLOCKING, _LOGGED = "blocking", "logged"
 
 _SQL_TYPE = {"int": "INTEGER", "decimal(18,2)": "DECIMAL(18,2)", "decimal(18,4)": "DECIMAL(18,4)",
-             "decimal(18,8)": "DECIMAL(18,8)", "timestamp_ntz": "TIMESTAMP"}
+             "decimal(24,16)": "DECIMAL(24,16)", "timestamp_ntz": "TIMESTAMP"}
 
 
 def _row(check: str, table: str, detail: str, count: str, severity: str, src: str) -> str:
@@ -472,6 +472,11 @@ SELECT state, category, {money('sum(c)')} AS total_revenue, count(DISTINCT order
        {hud('sum(c)', 'count(DISTINCT order_id) * 100', 2)} AS aov
 FROM ext_ GROUP BY state, category""")
 
+_q("kpi_revenue_sliced", _VIEWS, f"""
+SELECT {money('sum(c)')} AS total_revenue, count(DISTINCT order_id) AS total_orders,
+       {hud('sum(c)', 'count(DISTINCT order_id) * 100', 2)} AS aov
+FROM ext_ WHERE order_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND category IN ('budget', 'large_goods')""")
+
 # ---------------------------------------------------------------- EDA (N01-N04d)
 _q("daily_order_volume", _VIEWS, "SELECT order_date, CAST(orders AS BIGINT) AS orders FROM vw_daily_orders_")
 _q("daily_order_head_tail", _VIEWS, """
@@ -552,7 +557,7 @@ _q("review_effect_size", _SCORED, f"""
 SELECT is_late, count(*) AS n, {hud('sum(score)', 'count(score)', 3)} AS mean, round(CAST(median(score) AS DOUBLE), 3) AS median,
        {pct('count_if(score < 3)', 'count(*)')} AS pct_1_2_star
 FROM scored_ GROUP BY is_late""")
-_q("mann_whitney_u", _SCORED + """,
+_U_CTES = _SCORED + """,
 c_ AS (SELECT score AS v, count(*) FILTER (WHERE is_late) AS n1,
               count(*) FILTER (WHERE NOT is_late) AS n2, count(*) AS t
        FROM scored_ WHERE score IS NOT NULL GROUP BY 1),
@@ -566,11 +571,28 @@ s_ AS (SELECT n1, n2, CAST(r1x2 - CAST(n1 AS HUGEINT) * (n1 + 1) AS DOUBLE) / CA
        FROM p_),
 v_ AS (SELECT *, d1 * d2 / CAST(12 AS DOUBLE) * (((d1 + d2) + CAST(1 AS DOUBLE)) - dt / ((d1 + d2) * ((d1 + d2) - CAST(1 AS DOUBLE)))) AS var
        FROM s_)
-""", """
+"""
+_U_SELECT = """
 SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time, u1 AS u_statistic,
        round(CASE WHEN d1 > 0 AND d2 > 0 AND var > 0
                   THEN (u1 - d1 * d2 / CAST(2 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / sqrt(var) END, 9) AS z
-FROM v_""")
+FROM v_"""
+_q("mann_whitney_u", _U_CTES, _U_SELECT)
+
+#: The published Chebyshev fit of erfc, highest power first.
+_FIT = "0.17087277 -0.82215223 1.48851587 -1.13520398 0.27886807 -0.18628806 0.09678418 0.37409196 1.00002368 -1.26551223".split()
+_POLY = "CAST(0 AS DOUBLE)"
+for _c in _FIT:
+    _POLY = f"({_POLY} * t + CAST({_c} AS DOUBLE))"
+_q("mann_whitney_pvalue", _U_CTES + f""",
+u_ AS ({_U_SELECT}),
+x_ AS (SELECT *, -z / sqrt(CAST(2 AS DOUBLE)) AS x FROM u_),
+t_ AS (SELECT *, 1 / (1 + abs(x) / CAST(2 AS DOUBLE)) AS t FROM x_),
+e_ AS (SELECT *, t * exp({_POLY} - x * x) AS upper FROM t_)
+""", """
+SELECT n_late, n_on_time, u_statistic, z,
+       round(CASE WHEN x < 0 THEN (2 - upper) / 2 ELSE upper / 2 END, 9) AS p_value
+FROM e_""")
 
 
 # ---------------------------------------------------------------- forecasting

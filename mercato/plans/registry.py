@@ -63,6 +63,14 @@ def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 for _name in star_ops.STAR_TABLES:
     register(_name)(_star_table(_name))
 
+
+@register("geolocation")
+def q_geolocation(spark, sf_dir):
+    """T09, means rounded for comparison only (the SQL twin sums in another order)."""
+    geo = _model(spark, sf_dir).star.geolocation
+    return geo.select("zip_code_prefix", F.round("avg_lat", 6).alias("avg_lat"), F.round("avg_lng", 6).alias("avg_lng"),
+                      "city", "state")
+
 for _name, _fn in analysis.ANALYSIS_QUERIES.items():
     register(_name)(_analysis(_fn))
 
@@ -156,6 +164,8 @@ register("kpi_revenue_mom_calendar")(
     lambda spark, d: marts.kpi_revenue_mom_calendar(_sales(spark, d)))
 register("kpi_cohort_m1_m3")(
     lambda spark, d: marts.kpi_cohort_m1_m3(analysis.cohort_retention(_model(spark, d).star)))
+register("kpi_revenue_sliced")(lambda spark, d: marts.kpi_revenue(marts.apply_slicers(
+    _sales(spark, d), start="1995-01-01", end="1996-12-31", categories=["budget", "large_goods"])))
 register("kpi_revenue_by_slicer")(lambda spark, d: marts.kpi_revenue_by_slicer(_sales(spark, d)))
 
 for _name in ("daily_order_volume", "daily_order_head_tail", "gap_days", "nulls_by_status",
@@ -169,10 +179,16 @@ from ..operators import segments, stats  # noqa: E402
 
 for _name in ("cohort_pct_matrix", "rfm_person_base", "rfm_segments", "segment_summary"):
     register(_name)(_analysis(getattr(segments, _name)))
-for _name in ("late_review_describe", "mann_whitney_u", "mann_whitney_pvalue", "review_effect_size"):
+for _name in ("late_review_describe", "mann_whitney_u", "review_effect_size"):
     register(_name)(_analysis(getattr(stats, _name)))
 
 
+@register("mann_whitney_pvalue")
+def q_mann_whitney_pvalue(spark, sf_dir):
+    """N12, the p-value rounded for comparison only."""
+    return stats.mann_whitney_pvalue(_model(spark, sf_dir).star).withColumn("p_value", F.round("p_value", 9))
+
+
 # ---------------------------------------------------------------- forecasting
 from ..operators import forecast  # noqa: E402
 
@@ -254,17 +270,9 @@ def q_stage_all(spark, sf_dir):
 
 @register("run_all_queries")
 def q_run_all_queries(spark, sf_dir):
-    """Every business query evaluated; (query, rows) per result."""
-    m = _model(spark, sf_dir)
-    results = {name: fn(m.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
-    results["duplicate_review_orders"] = analysis.duplicate_review_orders(m.stg["order_reviews"])
-    results["temporal_violations"] = analysis.temporal_violations(m.star)
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("query"), "rows")
-             for name, df in results.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every business query evaluated with all its columns (each result is written
+    whole, so nothing is pruned); (query, rows) per result."""
+    return _written_results(spark, sf_dir).withColumnRenamed("written_rows", "rows")
 
 
 # ---------------------------------------------------------------- sinks, written and read back
@@ -274,6 +282,10 @@ from ..sources import sinks  # noqa: E402
 @register("result_samples")
 def q_result_samples(spark, sf_dir):
     """Every business query's whole result written as CSV, read back, counted."""
+    return _written_results(spark, sf_dir)
+
+
+def _written_results(spark, sf_dir):
     m = _model(spark, sf_dir)
     out = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
     results = {name: fn(m.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}

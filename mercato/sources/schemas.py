@@ -53,7 +53,7 @@ STAGING_TABLES = list(STAGING_COLUMNS)
 # coordinates DECIMAL(18,8); timestamps carry no zone.
 MONEY = "decimal(18,2)"
 SIZE = "decimal(18,4)"
-COORD = "decimal(18,8)"
+COORD = "decimal(24,16)"
 TS = "timestamp_ntz"
 
 # Every cast the star transforms apply to staging text: (table, column, type).
