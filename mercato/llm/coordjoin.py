@@ -15,7 +15,8 @@ below 1e-6 (tests/llm compute it); pairs above it less.
 Groups: equal shingle sets are one class, counted and labelled once.  Within a list, sets
 are first compared to one leader each (no list makes more rows than it has members), and
 sets found in one component are not compared again.  Only then, the exact rest: in lists
-that still hold several components, all pairs across components that collide T times.
+that still hold several components, all pairs across components that collide T times and
+whose rare shingles agree as often as those of similar sets must.
 
 Defined results: a null or wordless text has an empty set (n_shingles 0) and is linked with
 nothing; a text of fewer words than a shingle has its whole word sequence as its one
@@ -145,17 +146,34 @@ class CoordinateJoin:
         return posts.join(lead, "key").where("root <> lroot").select(
             F.least("v", "lv").alias("a"), F.greatest("v", "lv").alias("b"))
 
-    def _rest(self, posts: DataFrame, cand: DataFrame) -> DataFrame:
-        """All pairs of different components in one list, each made at its first common prefix value."""
+    def _rare(self, sets: DataFrame) -> DataFrame:
+        """(v, rare): of a set's n shingles, ordered by how many of ``sets`` have them, the first
+        n - ceil(0.85 n) + 1 that others have too.  Two sets of similarity 0.85 share one of
+        them; a set without any is similar to no other and has no row."""
+        num, den = SIMILAR
+        each = sets.select("v", F.explode("values").alias("x"))
+        ranked = (each.join(each.groupBy("x").count(), "x").groupBy("v")
+                  .agg(F.sort_array(F.collect_list(F.struct("count", "x"))).alias("all")))
+        first = F.slice("all", F.lit(1), F.size("all") - F.ceil(F.size("all") * F.lit(num) / F.lit(den)).cast("int") + 1)
+        return (ranked.select("v", F.transform(F.filter(first, lambda s: s["count"] > 1), lambda s: s["x"]).alias("rare"))
+                .where(F.size("rare") > 0))
+
+    def _rest(self, posts: DataFrame, cand: DataFrame, sets: DataFrame) -> DataFrame:
+        """All pairs of different components in one list whose rare shingles agree in so many that
+        the sets can be similar, each made at its first common prefix value."""
         several = posts.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        left = (posts.join(several.select("key"), "key")
-                .join(cand.select("v", "n", "prefix"), "v").checkpoint())
-        side = lambda x: left.select("key", *(F.col(c).alias(c + x) for c in ("v", "root", "n", "prefix")))
+        left = posts.join(several.select("key"), "key").checkpoint()
+        rare = self._rare(sets.join(left.select("v").distinct(), "v", "left_semi"))
+        left = left.join(cand.select("v", "n", "prefix").join(rare, "v"), "v").checkpoint()
+        side = lambda x: left.select("key", *(F.col(c).alias(c + x) for c in ("v", "root", "n", "prefix", "rare")))
         num, den = SIMILAR
+        need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(num) / F.lit(num + den))
+        rest = F.ceil(F.greatest("n_a", "n_b") * F.lit(num) / F.lit(den)) - 1  # at most so many behind the rare ones
         return (side("_a").join(side("_b"), "key")
                 .where("v_a < v_b AND root_a <> root_b")
                 .where(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
                 .where(F.array_intersect("prefix_a", "prefix_b")[0] == F.col("key"))
+                .where(F.size(F.array_intersect("rare_a", "rare_b")) + rest >= need)
                 .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")))
 
     def _confirm(self, pairs: DataFrame, cand: DataFrame, sets: DataFrame) -> DataFrame:
@@ -186,7 +204,7 @@ class CoordinateJoin:
         for turn in (1, 2):
             roots = self._roots(alone, found)
             posts = (cand.select("v", F.explode("prefix").alias("key")).join(roots, "v")).checkpoint()
-            pairs = self._leaders(posts, turn) if turn < 2 else self._rest(posts, cand)
+            pairs = self._leaders(posts, turn) if turn < 2 else self._rest(posts, cand, sets)
             found = found.unionByName(self._confirm(pairs, cand, sets))
         return found
 
