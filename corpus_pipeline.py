@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.llm import coordjoin, mixing, shards, toxicity, winnow
 from mercato.llm.tables import written
 
+#: Near duplicates of the pipeline: Jaccard 0.8 or more over five words.  A pair at exactly 0.8
+#: has fewer than 13 of 32 collisions with probability below 1e-6.
+NEAR = {"similar": (4, 5), "t": 13}
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -25,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return coordjoin.near_dedup(docs)
+    return coordjoin.near_dedup(docs, **NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

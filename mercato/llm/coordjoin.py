@@ -10,7 +10,8 @@ with nothing, so a set with fewer than T shared values never leaves the first co
 
 Bounds on what is missed: a pair at similarity s collides in Binomial(M, s) coordinates.
 With M = 32 and T = 16 a pair at exactly 0.85 has fewer than T collisions with probability
-below 1e-6 (tests/llm compute it); pairs above it less.
+below 1e-6 (tests/llm compute it); pairs above it less.  The similarity and T are parameters
+that belong together: 0.8 has the same bound with T = 13.
 
 Groups: equal shingle sets are one class, counted and labelled once.  Within a list, sets
 are first compared to one leader each (no list makes more rows than it has members), and
@@ -45,7 +46,7 @@ from .words import mix, pieces, shingles, signed
 WORDS = 5
 COORDINATES = 32
 MATCHES = 16
-#: Similarity at least SIMILAR[0] / SIMILAR[1].
+#: Similarity at least SIMILAR[0] / SIMILAR[1] unless a caller states another.
 SIMILAR = (85, 100)
 _BLOCK = 1 << 15
 
@@ -102,8 +103,8 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int, wanted: bytes) -> Iterator[
                      pa.array([signed(x) for x in found], pa.list_(pa.int64()))], ["d1", "d2", "values"])
 
 
-def _similar(a: str, b: str, both) -> F.Column:
-    num, den = SIMILAR
+def _similar(a: str, b: str, both, similar: tuple[int, int]) -> F.Column:
+    num, den = similar
     return both * den >= (F.col(a) + F.col(b) - both) * num
 
 
@@ -115,8 +116,8 @@ class CoordinateJoin:
     """One run over a frame of texts; the tables it keeps are checkpointed."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
-                 m: int = COORDINATES, t: int = MATCHES):
-        self.spark, self.k, self.m, self.t = docs.sparkSession, k, m, t
+                 m: int = COORDINATES, t: int = MATCHES, similar: tuple[int, int] = SIMILAR):
+        self.spark, self.k, self.m, self.t, self.similar = docs.sparkSession, k, m, t, similar
         ensure_checkpoint_dir(self.spark)
         ship_package(self.spark)
         self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -148,9 +149,9 @@ class CoordinateJoin:
 
     def _rare(self, sets: DataFrame) -> DataFrame:
         """(v, rare): of a set's n shingles, ordered by how many of ``sets`` have them, the first
-        n - ceil(0.85 n) + 1 that others have too.  Two sets of similarity 0.85 share one of
+        n - ceil(s n) + 1 that others have too.  Two sets of the asked similarity s share one of
         them; a set without any is similar to no other and has no row."""
-        num, den = SIMILAR
+        num, den = self.similar
         each = sets.select("v", F.explode("values").alias("x"))
         ranked = (each.join(each.groupBy("x").count(), "x").groupBy("v")
                   .agg(F.sort_array(F.collect_list(F.struct("count", "x"))).alias("all")))
@@ -166,7 +167,7 @@ class CoordinateJoin:
         rare = self._rare(sets.join(left.select("v").distinct(), "v", "left_semi"))
         left = left.join(cand.select("v", "n", "prefix").join(rare, "v"), "v").checkpoint()
         side = lambda x: left.select("key", *(F.col(c).alias(c + x) for c in ("v", "root", "n", "prefix", "rare")))
-        num, den = SIMILAR
+        num, den = self.similar
         need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(num) / F.lit(num + den))
         rest = F.ceil(F.greatest("n_a", "n_b") * F.lit(num) / F.lit(den)) - 1  # at most so many behind the rare ones
         return (side("_a").join(side("_b"), "key")
@@ -178,7 +179,7 @@ class CoordinateJoin:
 
     def _confirm(self, pairs: DataFrame, cand: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs that collide t times and are similar by their full sets."""
-        num, den = SIMILAR
+        num, den = self.similar
         side = lambda frame, key, *cols: frame.select(F.col("v").alias(key), *(F.col(c).alias(f"{c}_{key}") for c in cols))
         close = (pairs.distinct()
                  .join(side(cand, "a", "n", "sig"), "a").join(side(cand, "b", "n", "sig"), "b")
@@ -186,7 +187,7 @@ class CoordinateJoin:
                  .where(_collide("sig_a", "sig_b", self.t))
                  .select("a", "b", "n_a", "n_b").checkpoint())
         return (close.join(side(sets, "a", "values"), "a").join(side(sets, "b", "values"), "b")
-                .where(_similar("n_a", "n_b", F.size(F.array_intersect("values_a", "values_b"))))
+                .where(_similar("n_a", "n_b", F.size(F.array_intersect("values_a", "values_b")), self.similar))
                 .select("a", "b").checkpoint())
 
     def links(self) -> DataFrame:
@@ -227,20 +228,22 @@ class CoordinateJoin:
                 .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    t: int = MATCHES, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row (see the module's rules)."""
-    return (CoordinateJoin(docs, id_col, text_col).components()
+    return (CoordinateJoin(docs, id_col, text_col, t=t, similar=similar).components()
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               t: int = MATCHES, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all their columns.
 
     Rows without an id and rows whose id is unique pass by a semi-join; of rows with an id
     that occurs several times, one stays.
     """
     own = fresh(docs, "kept_id")
-    kept = (near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias(own))
+    kept = (near_duplicates(docs, id_col, text_col, t, similar).where("kept").groupBy(F.col("doc_id").alias(own))
             .agg(F.count(F.lit(1)).alias("times")).checkpoint())
     same = F.col(id_col).eqNullSafe(F.col(own))
     once = docs.join(kept.where((F.col("times") == 1) | F.col(own).isNull()).select(own), same, "left_semi")

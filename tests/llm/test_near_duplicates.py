@@ -149,3 +149,35 @@ def test_lines(spark):
             gone = removed.get(d, [])
             assert texts[i] == (None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
     assert linejoin.line_matches(frame(spark, [])).count() == 0
+
+
+def planted_pairs():
+    """Pairs of texts of 104 words; one of each has its last words changed, so that similarities are 90 / 110 = 0.82,
+    89 / 111 = 0.801 and 88 / 112 = 0.786; 40 of each."""
+    rng = random.Random(8)
+    rows = []
+    for i, changed in enumerate([10, 11, 12] * 40):
+        w = [f"{i}x{rng.random()}" for _ in range(104)]
+        rows += [(2 * i, " ".join(w), "s"), (2 * i + 1, " ".join(w[:-changed] + [f"n{rng.random()}" for _ in range(changed)]), "s")]
+    return rows
+
+
+def test_pipeline_takes_pairs_from_0_8(spark):
+    import corpus_pipeline
+
+    rows = planted_pairs()
+    sets = shingle_sets(rows)
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(rows), 2)]
+    assert {0.8 <= s < 0.85 for s in alike} == {True, False}
+    want = {i for i, *_ in rows if i % 2 == 0 or alike[i // 2] < 0.8}
+    docs = frame(spark, rows, extra=False)
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
+    assert coordjoin.near_dedup(docs).count() == len(rows)  # op10 keeps 0.85
+
+
+def test_pipeline_collisions_are_enough():
+    import corpus_pipeline
+
+    t, (num, den), m = corpus_pipeline.NEAR["t"], corpus_pipeline.NEAR["similar"], coordjoin.COORDINATES
+    s = num / den
+    assert sum(math.comb(m, k) * s ** k * (1 - s) ** (m - k) for k in range(t)) < 1e-6
