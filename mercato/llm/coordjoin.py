@@ -22,7 +22,7 @@ whose rare shingles agree as often as those of similar sets must.
 Defined results: a null or wordless text has an empty set (n_shingles 0) and is linked with
 nothing; a text of fewer words than a shingle has its whole word sequence as its one
 shingle; repeated rows are copies; a null id takes part and is never a group's smallest id;
-of rows with one and the same id and group, ``near_dedup`` keeps one.
+``near_dedup`` keeps one row of each group, with its least id, and all rows without words.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ COORDINATES = 32
 MATCHES = 16
 #: Similarity at least SIMILAR[0] / SIMILAR[1] unless a caller states another.
 SIMILAR = (85, 100)
+#: A character of a word: texts without one have an empty set.
+WORD = r"[^\x20\x09-\x0D]"
 _BLOCK = 1 << 15
 
 
@@ -84,8 +86,9 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.Reco
                 sigs.append(signed(signature(values, m)) if len(values) else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(uid, uid + len(n)), pa.int64()), batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()),
-                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["uid", "id", "n", "d1", "d2", "sig"])
+                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sigs, pa.list_(pa.int64())),
+                 *(c.slice(at, len(n)) for c in batch.columns[2:])],
+                ["uid", "id", "n", "d1", "d2", "sig", *batch.schema.names[2:]])
             uid += len(n)
 
 
@@ -116,14 +119,15 @@ class CoordinateJoin:
     """One run over a frame of texts; the tables it keeps are checkpointed."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
-                 m: int = COORDINATES, t: int = MATCHES, similar: tuple[int, int] = SIMILAR):
+                 m: int = COORDINATES, t: int = MATCHES, similar: tuple[int, int] = SIMILAR, keyed: bool = False):
         self.spark, self.k, self.m, self.t, self.similar = docs.sparkSession, k, m, t, similar
         ensure_checkpoint_dir(self.spark)
         ship_package(self.spark)
         self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        self.rows = self.texts.mapInArrow(
+        key = [text_key("text").alias("text_key")] if keyed else []
+        self.rows = self.texts.select("*", *key).mapInArrow(
             functools.partial(_sign, k=k, m=m),
-            "uid long, id long, n long, d1 long, d2 long, sig array<long>").checkpoint()
+            "uid long, id long, n long, d1 long, d2 long, sig array<long>" + ", text_key binary" * keyed).checkpoint()
         #: A class for each distinct shingle set: v (its number), least id, size, signature.
         self.classes = (self.rows.where("n > 0").groupBy("d1", "d2")
                         .agg(F.min("uid").alias("v"), F.min("id").alias("least_id"), F.first("n").alias("n"),
@@ -228,6 +232,23 @@ class CoordinateJoin:
                 .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
 
 
+    def kept_texts(self) -> DataFrame:
+        """One row per group: the (id, text_key) that stays (least id, nulls last, then least key) and
+        how many of the group's rows have both."""
+        roots = connected_components(self.links())
+        group = (self.classes.select("v", "d1", "d2").join(roots, "v", "left")
+                 .select("d1", "d2", F.coalesce("root", "v").alias("group")))
+        same = (self.rows.where("n > 0").select("id", "text_key", "d1", "d2").join(group, ["d1", "d2"])
+                .groupBy("group", "id", "text_key").agg(F.count(F.lit(1)).alias("times")))
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "times"))
+        return same.groupBy("group").agg(first.alias("l")).select("l.id", "l.text_key", "l.times").checkpoint()
+
+
+def text_key(text: str) -> F.Column:
+    """MD5 of a text's bytes (null: null)."""
+    return F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     t: int = MATCHES, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row (see the module's rules)."""
@@ -236,16 +257,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               t: int = MATCHES, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+               t: int = MATCHES, similar: tuple[int, int] = SIMILAR, repeat_ids: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all their columns.
 
-    Rows without an id and rows whose id is unique pass by a semi-join; of rows with an id
-    that occurs several times, one stays.
+    Rows are found again by id and text, so that neither null nor repeated ids bring back or
+    take along another text.  With ``repeat_ids`` that is all; without it an id is a key of the
+    result: of kept groups with the same id one row stays.
     """
-    own = fresh(docs, "kept_id")
-    kept = (near_duplicates(docs, id_col, text_col, t, similar).where("kept").groupBy(F.col("doc_id").alias(own))
-            .agg(F.count(F.lit(1)).alias("times")).checkpoint())
-    same = F.col(id_col).eqNullSafe(F.col(own))
-    once = docs.join(kept.where((F.col("times") == 1) | F.col(own).isNull()).select(own), same, "left_semi")
-    more = docs.join(kept.where((F.col("times") > 1) & F.col(own).isNotNull()).select(own), same, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(more)
+    own, key, mark = (fresh(docs, c) for c in ("kept_id", "kept_key", "text_key"))
+    kept = CoordinateJoin(docs, id_col, text_col, t=t, similar=similar, keyed=True).kept_texts()
+    if not repeat_ids:
+        each = kept.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("text_key", "times")).alias("l"))
+        kept = kept.where("id IS NULL").unionByName(each.select("id", "l.text_key", "l.times"))
+    kept = kept.select(F.col("id").alias(own), F.col("text_key").alias(key), "times")
+    worded = F.coalesce(F.col(text_col).cast("string").rlike(WORD), F.lit(False))
+    rows = docs.where(worded).withColumn(mark, text_key(text_col))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(key))
+    once = rows.join(kept.where("times = 1").select(own, key), same, "left_semi")
+    more = rows.join(kept.where("times > 1").select(own, key), same, "left_semi").dropDuplicates([id_col, mark])
+    return once.unionByName(more).drop(mark).unionByName(docs.where(~worded))

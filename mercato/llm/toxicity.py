@@ -39,7 +39,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
-from .tables import fresh
 from .words import LETTERS, Words, find_words, mix, pieces, signed, text_bytes
 
 SAMPLE = 20_000
@@ -295,6 +294,13 @@ def _score(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.
                                          ["uid", "id", "score"])
 
 
+def _toxic(texts: pa.Array, lexicon: Lexicon, model: Classifier) -> pa.Array:
+    """Whether each text is predicted toxic, in order."""
+    rows = pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.int64()), texts], ["id", "text"])
+    scores = [b.column(2).to_numpy() for b in _score(_votes(iter([rows]), lexicon), model)]
+    return pa.array(np.concatenate([np.empty(0), *scores]) >= 0.5)
+
+
 class ToxicityModel:
     """A run over a corpus: lexicon, label model, classifier; ``scores()`` has every row."""
 
@@ -396,9 +402,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns (an id goes
-    with all its rows; rows without an id stay)."""
-    own = fresh(docs, "toxic_id")
-    bad = (toxicity(docs, labels, id_col, text_col).where("predicted = 1 AND doc_id IS NOT NULL")
-           .select(F.col("doc_id").alias(own)).distinct().checkpoint())
-    return docs.join(bad, F.col(id_col) == F.col(own), "left_anti")
+    """The rows of ``docs`` that are not predicted toxic, with all their columns; each row is
+    scored by its own text, whatever its id."""
+    model = ToxicityModel(docs, labels, id_col, text_col)
+    if model.classifier is None:
+        return docs
+    lexicon, classifier = model.lexicon, model.classifier
+
+    def toxic(texts: pa.Array) -> pa.Array:
+        return _toxic(texts, lexicon, classifier)
+    return docs.where(~F.arrow_udf(toxic, "boolean")(F.coalesce(F.col(text_col), F.lit(""))))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
-from .tables import fresh
+from .tables import fresh, lookup
 from .words import ALNUM, find_words, gram_hashes, mix, pieces, signed
 
 WINDOW = 10
@@ -127,7 +127,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """One row per row of ``docs``: doc_id, n_words, n_hit (words inside any occurrence of an
     item's window), items (sorted ids, as strings, of the items with occurring windows),
     spans (merged hit word ranges [start, end))."""
-    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _contamination(texts, "long", items, item_col, item_text, window, k)
+
+
+def _contamination(texts: DataFrame, id_type: str, items: DataFrame, item_col: str = "item_id", item_text: str = "text",
+                   window: int = WINDOW, k: int = GRAM) -> DataFrame:
+    """The same of texts (id, text), whose ids may be of any type."""
+    spark = texts.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     known = (items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
@@ -135,9 +142,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                          "item_id long, n int, window binary, print long").checkpoint())
     lengths = [r["n"] for r in known.select("n").distinct().orderBy("n").collect()]  # at most `window` numbers
     table = bitmap.build(known, "print")
-    seen = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(functools.partial(_documents, lengths=lengths, table=table, window=window, k=k),
-                        "uid long, id long, n_words long, maybe array<struct<start int, n int, window binary>>")
+    seen = (texts.mapInArrow(functools.partial(_documents, lengths=lengths, table=table, window=window, k=k),
+                             f"uid long, id {id_type}, n_words long, maybe array<struct<start int, n int, window binary>>")
             .checkpoint())
     windows = (known.where("window IS NOT NULL").groupBy("window")
                .agg(F.collect_set("item_id").alias("of")).checkpoint())
@@ -170,9 +176,11 @@ def _merged(column: str) -> F.Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a hit word, with all their columns (an id that occurs
-    several times goes if any of its rows is hit; rows without an id are kept by their own text)."""
-    found = contamination(docs, items, id_col, text_col)
-    own = fresh(docs, "hit_id")
-    bad = found.where("n_hit > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(own)).distinct()
-    return docs.join(bad, F.col(id_col) == F.col(own), "left_anti")
+    """The rows of ``docs`` without a hit word, with all their columns.  A row's own text
+    decides, whatever its id: texts with hits go by their MD5."""
+    text = F.col(text_col).cast("string")
+    key = F.unhex(F.md5(text.cast("binary")))
+    found = _contamination(docs.select(key.alias("id"), text.alias("text")), "binary", items)
+    own = fresh(docs, "hit_text")
+    bad = found.where("n_hit > 0").select(F.col("doc_id").alias(own)).distinct().checkpoint()
+    return docs.join(lookup(bad), key == F.col(own), "left_anti")
