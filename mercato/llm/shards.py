@@ -1,10 +1,13 @@
 """Sharding: balanced label propagation under capacity quotas (DataFrame operations only).
 
-Every row starts in a shard dealt by a hash.  In each round rows that share a link (by
+Every linked row starts in a shard dealt by a hash.  In each round rows that share a link (by
 default: rows of equal text) are tallied per link and shard; a row wants to move to the
-shard that holds most of what it is linked with, among the shards with room.  Wishes from
+shard that holds most of what it is linked with, among the shards with room (where none of
+these is better than its own, among the full ones, for an exchange).  Wishes from
 shard a to b are granted, largest gain first, up to what b's rows want to send to a plus
-b's free room: quotas that keep sizes even while links close up.  After the last round the
+a's part of b's free room, by what is asked: quotas that keep sizes even while links close up.
+Room is an even share of all bytes less the linked rows there: unlinked rows are dealt
+last, into what is left.  After that the
 remaining unevenness goes by moving the ends of the shards, where unlinked rows stand, so
 that shard sizes differ by about a row.
 
@@ -26,8 +29,10 @@ from .tables import fresh, written
 
 SHARDS = 8
 ROUNDS = 8
-#: Room above an even share that propagation may use before the final levelling.
+#: Room above an even share of the linked rows that propagation may use at least.
 SLACK = 0.1
+#: A shard with less room than this part of an even share counts as full.
+FULL = 0.01
 
 
 def text_size(text: str) -> Column:
@@ -50,23 +55,24 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
         return state
     linked = members.select("v").distinct()
     moving = written(state.join(linked, "v", "left_semi"), "moving")
-    fixed = state.join(linked, "v", "left_anti").checkpoint()
-    fixed_load = fixed.groupBy("shard").agg(F.sum("size").alias("load")).checkpoint()
-    total = state.agg(F.sum("size")).first()[0]
-    roof = total / shards * (1 + SLACK)
+    total, bound = state.agg(F.sum("size")).first()[0], moving.agg(F.sum("size")).first()[0]
+    share = total / shards
+    roof = max(share * (1 - FULL), bound / shards * (1 + SLACK))
     every = rows.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
     for turn in range(rounds):
-        load = (every.join(moving.groupBy("shard").agg(F.sum("size").alias("load")).unionByName(fixed_load), "shard", "left")
-                .groupBy("shard").agg(F.sum(F.coalesce("load", F.lit(0))).alias("load"))
-                .select("shard", (F.greatest(F.lit(0.0), F.lit(roof) - F.col("load")) / shards).alias("room")).checkpoint())
+        load = (every.join(moving.groupBy("shard").agg(F.sum("size").alias("load")), "shard", "left")
+                .select(F.col("shard").alias("to"), F.greatest(F.lit(0.0), F.lit(roof) - F.coalesce("load", F.lit(0))).alias("room"))
+                .withColumn("open", F.col("room") > share * FULL).checkpoint())
         placed = members.join(moving, "v")
         # what each link holds in each shard; a part below 1/2 orders equal counts alike for all its members
         tally = (placed.groupBy("link", "shard").count()
                  .select("link", F.col("shard").alias("to"), (F.col("count") + _unit("link", "shard") / 2).alias("n"))
-                 .checkpoint())
-        score = (placed.join(tally, "link").groupBy("v", "size", "shard", "to").agg(F.sum("n").alias("n")))
+                 .join(F.broadcast(load.select("to", "open")), "to").select("link", "to", "n", "open").checkpoint())
+        score = placed.join(tally, "link").groupBy("v", "size", "shard", "to", "open").agg(F.sum("n").alias("n"))
         wish = (score.groupBy("v", "size", "shard")
-                .agg(F.max(F.struct("n", "to")).alias("best"), F.max(F.when(F.col("to") == F.col("shard"), F.col("n"))).alias("own"))
+                .agg(F.max(F.struct("n", "to")).alias("any"), F.max(F.when(F.col("open"), F.struct("n", "to"))).alias("free"),
+                     F.max(F.when(F.col("to") == F.col("shard"), F.col("n"))).alias("own"))
+                .withColumn("best", F.when(F.col("free.n") > F.col("own"), F.col("free")).otherwise(F.col("any")))
                 .where(F.col("best.n") > F.col("own"))
                 .select("v", "size", "shard", F.col("best.to").alias("to"),
                         F.greatest(F.lit(0), F.least(F.lit(62), F.floor(F.log2(F.col("best.n") - F.col("own") + 1)))).cast("int").alias("gain"))
@@ -74,22 +80,27 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
         asked = wish.groupBy("shard", "to", "gain").agg(F.sum("size").alias("bytes")).checkpoint()  # <= shards^2 x 63 rows
         flow = asked.groupBy("shard", "to").agg(F.sum("bytes").alias("flow"))
         back = flow.select(F.col("to").alias("shard"), F.col("shard").alias("to"), F.col("flow").alias("back"))
+        inflow = flow.groupBy("to").agg(F.sum("flow").alias("inflow"))
         larger = Window.partitionBy("shard", "to").orderBy(F.desc("gain")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         grant = (asked.withColumn("until", F.sum("bytes").over(larger))
-                 .join(back, ["shard", "to"], "left").join(load.select(F.col("shard").alias("to"), "room"), "to", "left")
-                 .select("shard", "to", "gain", ((F.coalesce("back", F.lit(0)) + F.coalesce("room", F.lit(0.0))
+                 .join(flow, ["shard", "to"]).join(back, ["shard", "to"], "left").join(inflow, "to").join(load, "to")
+                 .select("shard", "to", "gain", ((F.coalesce("back", F.lit(0)) + F.col("room") * F.col("flow") / F.col("inflow")
                                                   - (F.col("until") - F.col("bytes"))) / F.col("bytes")).alias("part"))
                  .where("part > 0").checkpoint())
         moved = (wish.join(F.broadcast(grant), ["shard", "to", "gain"])
                  .where(_unit("v", F.lit(turn)) < F.col("part")).select("v", "to"))
         moving = written(moving.join(moved, "v", "left")
                          .select("v", "size", F.coalesce("to", "shard").alias("shard")), "moving")
-    return fixed.unionByName(moving)
+    held = {r["shard"]: r["load"] for r in moving.groupBy("shard").agg(F.sum("size").alias("load")).collect()}  # a number a shard
+    fixed = rows.select("v", "size").join(linked, "v", "left_anti")
+    free = [max(0.0, share - held.get(shard, 0)) for shard in range(shards)]
+    fixed = level(fixed, [F.xxhash64("v"), F.col("v")], shards, free) if sum(free) else state.join(linked, "v", "left_anti")
+    return fixed.select("v", "size", "shard").unionByName(moving)
 
 
-def level(rows: DataFrame, order: list[Column], shards: int = SHARDS) -> DataFrame:
-    """Cut ``rows`` (with a column size), in the given unique order, into runs of equal size;
-    adds shard and slot (place in the shard, from 0).  Range partitions are summed, then
+def level(rows: DataFrame, order: list[Column], shards: int = SHARDS, parts_of: list[float] | None = None) -> DataFrame:
+    """Cut ``rows`` (with a column size), in the given unique order, into runs of equal size, or
+    of sizes in proportion to ``parts_of`` (a number a shard); adds shard and slot (place in the shard, from 0).  Range partitions are summed, then
     each partition adds up its own rows: no task sees them all."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = rows.columns
@@ -101,8 +112,15 @@ def level(rows: DataFrame, order: list[Column], shards: int = SHARDS) -> DataFra
                           F.sum("_bytes").over(Window.partitionBy()).alias("_total"))
     inside = Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = F.col("_before") + F.sum("size").over(inside) - F.col("size") / 2
-    cut = (frozen.join(F.broadcast(offsets), "_pid")
-           .withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle * shards / F.col("_total"))).cast("int")).checkpoint())
+    if parts_of is None:
+        shard = F.least(F.lit(shards - 1), F.floor(F.col("_middle") * shards / F.col("_total")))
+    else:  # behind how many of the inner cuts the row's middle stands
+        last = max(i for i, x in enumerate(parts_of) if x)
+        cuts = F.array(*(F.lit(sum(parts_of[:i + 1]) / sum(parts_of)) for i in range(last)), F.lit(2.0))
+        place = F.col("_middle") / F.col("_total")
+        shard = F.size(F.filter(cuts, lambda c: c <= place))
+    cut = (frozen.join(F.broadcast(offsets), "_pid").withColumn("_middle", middle)
+           .withColumn("shard", shard.cast("int")).drop("_middle").checkpoint())
     counts = cut.groupBy("_pid", "shard").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy("shard").orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = counts.select("_pid", "shard", (F.sum("_n").over(earlier) - F.col("_n") - F.col("_first")).alias("_shift"))
