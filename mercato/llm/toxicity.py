@@ -1,9 +1,10 @@
 """Toxicity: weak supervision of a linear classifier.
 
-1. Lexicon.  On a bounded sample of labelled training rows, words and word beginnings are
+1. Lexicon.  On all labelled training rows, words and word beginnings are
    counted by class (each task adds up its own texts); those far more frequent in toxic
-   texts become lexicon entries.  Entries that occur in the same texts of the sample (a word
-   and its beginnings, words with one beginning) share a voter.  Pattern voters (shouting, exclamation marks, stretched
+   texts become lexicon entries.  Those in exactly the same labelled texts (a word and its own
+   beginnings) are one entry; entries that mostly occur in the same texts
+   (words with one beginning) share a voter.  Pattern voters (shouting, exclamation marks, stretched
    letters, starred words, unusual symbols) need no labels.
 2. Label model.  Every voter votes or abstains on every document (one votes where no entry
    occurs, two where several do), and distinct vote vectors are counted.  A generative model
@@ -17,9 +18,11 @@
    regression on lexicon, pattern and hit-count features; it scores whole texts.
 
 The sample is at most ``SAMPLE`` labelled rows of the training folds, those with the least
-hash of their id.  All else covers all rows: voting, vote counts, the label model, scoring.
-What comes to the driver has a fixed bound: a lexicon of ``LEXICON`` entries, sums per
-voter and voter pair, and the sample's rows of at most LEXICON + 20 numbers.
+hash of their id; only the logistic regression is fitted on it.  All else covers all rows:
+word counts, overlaps and starting rates all labelled ones, voting, the label model and scoring
+all texts.  What comes to the driver has a fixed bound: a lexicon of ``LEXICON`` entries of at
+most ``ALIKE`` hashes, sums per entry, voter and pair of these, and the sample's rows of at
+most LEXICON + 20 numbers.
 
 Defined results: null and empty texts have no votes and get the score of a text without
 features; labels that are null or for unknown ids are ignored; of conflicting labels of one
@@ -39,13 +42,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
+from .tables import lookup
 from .words import LETTERS, Words, find_words, mix, pieces, signed, text_bytes
 
 SAMPLE = 20_000
 LEXICON = 400
+#: Hashes that one entry has at most: a word, its beginnings and others in the same texts.
+ALIKE = 16
 #: Lengths in bytes of the word beginnings that are counted beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: A lexicon entry is in at least so many toxic texts of the sample, and so many times as
+#: A lexicon entry is in at least so many labelled toxic texts, and so many times as
 #: frequent in toxic texts as in others.
 SUPPORT, LIFT = 5, 18.0
 VOTERS = 52
@@ -79,16 +85,20 @@ def _entries(found: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entry, toxic texts, other texts) of the task's texts (text, toxic)."""
+    """(entry, toxic texts, other texts, mark) of the task's texts (text, toxic, uid); the mark
+    is an exclusive or over hashes of the texts, equal where the texts are."""
     for batch in batches:
         toxic = np.asarray(batch.column(1).to_pylist(), np.int64)
+        text = mix(batch.column(2).to_numpy().view(np.uint64))
         for at, texts in pieces(batch.column(0)):
             h, doc = _entries(find_words(texts, LETTERS))
             pairs = np.unique(np.stack([h, doc.astype(np.uint64)], 1), axis=0)
-            entry, place = np.unique(pairs[:, 0], return_inverse=True)
+            entry, first, place = np.unique(pairs[:, 0], return_index=True, return_inverse=True)
+            mark = (np.bitwise_xor.reduceat(text[at + pairs[:, 1].astype(np.int64)], first) if len(entry) else entry)
             n1 = np.bincount(place, weights=toxic[at + pairs[:, 1].astype(np.int64)], minlength=len(entry)).astype(np.int64)
             n = np.bincount(place, minlength=len(entry)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(entry)), pa.array(n1), pa.array(n - n1)], ["entry", "n1", "n0"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(entry)), pa.array(n1), pa.array(n - n1), pa.array(signed(mark))],
+                                             ["entry", "n1", "n0", "mark"])
 
 
 def _patterns(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -112,7 +122,7 @@ def _patterns(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Entries (hashes, sorted) and their feature numbers (0 is the strongest)."""
+    """Hashes of the entries, sorted, and their feature numbers (0 is the strongest entry)."""
 
     entries: np.ndarray
     rank: np.ndarray
@@ -129,11 +139,10 @@ def _votes(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.R
             if n:
                 place = np.minimum(np.searchsorted(lexicon.entries, h), n - 1)
                 hit = lexicon.entries[place] == h
-                pairs = np.unique(doc[hit] * n + place[hit])
+                pairs = np.unique(doc[hit] * LEXICON + lexicon.rank[place[hit]])
             else:
                 pairs = np.empty(0, np.int64)
-            raw_doc = pairs // max(1, n)
-            feature = lexicon.rank[pairs % n] if n else pairs
+            raw_doc, feature = pairs // LEXICON, pairs % LEXICON
             unlowered, bounds = text_bytes(texts)
             row, col = np.nonzero(_patterns(unlowered, bounds))
             raw_doc, feature = np.concatenate([raw_doc, row]), np.concatenate([feature, col + LEXICON])
@@ -168,6 +177,19 @@ def _expect(batches: Iterator[pa.RecordBatch], logs: np.ndarray, prior: float, p
     yield _sliced(out)
 
 
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the task (features) that have both of two entries, for all pairs, in slices."""
+    both = np.zeros((LEXICON, LEXICON))
+    for batch in batches:
+        lists = batch.column(0)
+        at, values = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+        row = np.repeat(np.arange(len(lists)), np.diff(at))
+        x = np.zeros((len(lists), LEXICON), np.float32)
+        x[row[values < LEXICON], values[values < LEXICON]] = 1
+        both += x.T @ x
+    yield _sliced(both.ravel())
+
+
 def _sliced(sums: np.ndarray) -> pa.RecordBatch:
     at = range(0, len(sums), SLICE)
     return pa.RecordBatch.from_arrays([pa.array([i // SLICE for i in at], pa.int32()),
@@ -187,10 +209,18 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["slice", "sums"])
 
 
+def _gathered(parts: DataFrame, width: int) -> np.ndarray:
+    """All tasks' slices added up, on the driver: ``width`` numbers."""
+    sums = np.zeros(width)
+    for r in parts.repartition("slice").mapInArrow(_add, "slice int, sums array<double>").collect():
+        sums[r["slice"] * SLICE: (r["slice"] + 1) * SLICE] = r["sums"]
+    return sums
+
+
 class LabelModel:
     """Naive Bayes over votes with discounts for correlated voters, fitted by EM.
 
-    Start: toxic prior and vote rates from the sample's labelled rows.  ``rates[j]`` are a
+    Start: toxic prior and vote rates from all labelled rows.  ``rates[j]`` are a
     voter's vote probabilities in toxic and other texts; an abstention says nothing (voters
     of one language abstain on all others).
     """
@@ -212,15 +242,12 @@ class LabelModel:
     def fit(self, counted: DataFrame, rounds: int = ROUNDS) -> LabelModel:
         """counted: (votes, count).  Correlations are estimated at the half and the end."""
         width = len(self.rates)
-        anchor = self.rates.copy()  # of the labelled sample: counts as much as the corpus does
+        anchor = self.rates.copy()  # of the labelled rows: counts as much as the corpus does
         for turn in range(rounds):
             pairs = turn in (rounds // 2, rounds - 1)
             step = functools.partial(_expect, logs=self.logs(), prior=self.log_prior(), pairs=pairs)
-            rows = (counted.mapInArrow(step, "slice int, sums array<double>").repartition("slice")
-                    .mapInArrow(_add, "slice int, sums array<double>").collect())
-            sums = np.zeros(2 + 2 * width + (2 * width * width if pairs else 0))  # the driver's bound: voters^2
-            for r in rows:
-                sums[r["slice"] * SLICE: (r["slice"] + 1) * SLICE] = r["sums"]
+            sums = _gathered(counted.mapInArrow(step, "slice int, sums array<double>"),
+                             2 + 2 * width + (2 * width * width if pairs else 0))  # the driver's bound: voters^2
             both = np.maximum(sums[:2], 1e-9)
             votes = sums[2: 2 + 2 * width].reshape(2, width)
             rates = (votes / both[:, None] + anchor.T) / 2
@@ -315,8 +342,10 @@ class ToxicityModel:
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         given = (labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
                  .where((fold("id") != 0) & F.col("toxic").isin(0, 1)).groupBy("id").agg(F.max("toxic").alias("toxic")))
-        self.sample = given.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).checkpoint()  # the stated bound
-        n = {r["toxic"]: r["count"] for r in self.sample.groupBy("toxic").count().collect()}
+        given = given.checkpoint()
+        sample = given.select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)  # the stated bound
+        self.labels = lookup(given.join(F.broadcast(sample.withColumn("sampled", F.lit(True))), "id", "left").checkpoint())
+        n = {r["toxic"]: r["count"] for r in given.groupBy("toxic").count().collect()}
         self.usable = bool(n.get(0)) and bool(n.get(1))
         self.lexicon = self._lexicon(texts, n) if self.usable else Lexicon(np.empty(0, np.uint64), np.empty(0, np.int64))
         self.rows = texts.mapInArrow(functools.partial(_votes, lexicon=self.lexicon),
@@ -324,18 +353,22 @@ class ToxicityModel:
         self.classifier = self._fit() if self.usable else None
 
     def _lexicon(self, texts: DataFrame, n: dict) -> Lexicon:
-        rows = texts.join(F.broadcast(self.sample), "id").select("text", "toxic")  # SAMPLE ids at most
-        counts = (rows.mapInArrow(_count, "entry long, n1 long, n0 long").groupBy("entry")
-                  .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") >= SUPPORT))
+        rows = (texts.withColumn("uid", F.monotonically_increasing_id()).join(self.labels, "id")
+                .select("text", "toxic", "uid"))
+        counts = (rows.mapInArrow(_count, "entry long, n1 long, n0 long, mark long").groupBy("entry")
+                  .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.bit_xor("mark").alias("mark")).where(F.col("n1") >= SUPPORT))
         lift = (F.col("n1") / n[1]) / ((F.col("n0") + 0.5) / n[0])
+        alike = F.slice(F.array_sort(F.collect_list("entry")), 1, ALIKE).alias("entries")
         best = (counts.withColumn("lift", lift).where(F.col("lift") >= LIFT)
-                .orderBy(F.desc(F.col("n1") * F.log("lift")), "entry").limit(LEXICON).collect())
-        entries = np.array([r["entry"] for r in best], np.int64).view(np.uint64)
+                .groupBy("n1", "n0", "mark", "lift").agg(alike)
+                .orderBy(F.desc(F.col("n1") * F.log("lift")), "mark").limit(LEXICON).collect())
+        entries = np.array([e for r in best for e in r["entries"]], np.int64).view(np.uint64)
+        rank = np.array([i for i, r in enumerate(best) for _ in r["entries"]], np.int64)
         order = np.argsort(entries)
-        return Lexicon(entries[order], order.astype(np.int64))
+        return Lexicon(entries[order], rank[order])
 
     def _votes(self) -> DataFrame:
-        """(uid, votes): voters and patterns as bits; then two bits of a sampled row's label."""
+        """(uid, votes): voters and patterns as bits; then two bits of a row's training label."""
         numbers = F.array(*(F.lit(int(v)) for v in self.voter))
         votes = F.aggregate(F.filter(F.transform("features", lambda f: F.element_at(numbers, f + 1)), lambda v: v >= 0),
                             F.lit(0).cast("long"), lambda s, v: s.bitwiseOR(_power(v)))
@@ -345,16 +378,14 @@ class ToxicityModel:
             votes = votes.bitwiseOR(F.when(when, F.lit(1 << (VOTERS + len(PATTERNS) + place))).otherwise(F.lit(0)))
         first = VOTERS + len(PATTERNS) + len(COUNTS)
         label = F.when(F.col("toxic") == 1, 1 << first).when(F.col("toxic") == 0, 1 << (first + 1)).otherwise(0)
-        return (self.rows.withColumn("votes", votes).join(F.broadcast(self.sample), "id", "left")
-                .select("uid", "features", "toxic", F.col("votes").bitwiseOR(label).alias("votes")))
-
-    def _voters(self, features: list[np.ndarray]) -> np.ndarray:
-        """The voter of each feature (-1: none), from the sample's rows: an entry joins the
-        strongest voter whose first entry it overlaps with, or opens the next voter."""
-        x = np.zeros((len(features), LEXICON), np.float32)
-        for i, f in enumerate(features):
-            x[i, f[f < LEXICON]] = 1
-        both, alone = x.T @ x, x.sum(0)
+        return (self.rows.withColumn("votes", votes).join(self.labels, "id", "left")
+                .select("uid", "features", "toxic", "sampled", F.col("votes").bitwiseOR(label).alias("votes")))
+
+    def _voters(self, both: np.ndarray) -> np.ndarray:
+        """The voter of each feature (-1: none), from the number of labelled texts that have both
+        of two entries: an entry joins the strongest voter whose first entry it overlaps with,
+        or opens the next voter."""
+        alone = both.diagonal()
         heads: list[int] = []
         voter = np.full(LEXICON + len(PATTERNS), -1)
         for e in np.flatnonzero(alone).tolist():
@@ -367,18 +398,21 @@ class ToxicityModel:
         return voter
 
     def _fit(self) -> Classifier | None:
-        train = self.rows.join(F.broadcast(self.sample), "id").select("features").toPandas()  # the sample
-        self.voter = self._voters([np.asarray(f, np.int64) for f in train["features"]])
+        marked = self.rows.join(self.labels.select("id"), "id").select("features")
+        both = _gathered(marked.mapInArrow(_overlaps, "slice int, sums array<double>"), LEXICON * LEXICON)
+        self.voter = self._voters(both.reshape(LEXICON, LEXICON))
         votes = self._votes().checkpoint()
-        train = votes.where("toxic IS NOT NULL").select("features", "toxic", "votes").toPandas()  # the sample
-        toxic = train["toxic"].to_numpy()
-        if len(set(toxic.tolist())) < 2:
+        labelled = votes.where("toxic IS NOT NULL")
+        width = VOTERS + len(PATTERNS) + len(COUNTS) + 2
+        sums = {r["toxic"]: r for r in labelled.groupBy("toxic").agg(
+            F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("votes").bitwiseAND(F.lit(1 << j)) != 0).alias(f"b{j}") for j in range(width))).collect()}
+        if len(sums) < 2:
             return None
-        bits = _bits(train["votes"].to_numpy(np.int64))
-        rates = np.stack([(bits[toxic == c].sum(0) + 0.5) / ((toxic == c).sum() + 1) for c in (1, 0)], 1)
+        rates = np.array([[(sums[c][f"b{j}"] + 0.5) / (sums[c]["n"] + 1) for c in (1, 0)] for j in range(width)])
         rates[-2], rates[-1] = (self.TRUST, 1 - self.TRUST), (1 - self.TRUST, self.TRUST)
         counted = votes.groupBy("votes").count().checkpoint()
-        self.label_model = LabelModel(float(toxic.mean()), rates).fit(counted)
+        self.label_model = LabelModel(sums[1]["n"] / (sums[0]["n"] + sums[1]["n"]), rates).fit(counted)
+        train = labelled.where("sampled").select("features", "votes").toPandas()  # the sample
         target = self.label_model.posterior(train["votes"].to_numpy(np.int64))
         return Classifier.train([np.asarray(f, np.int64) for f in train["features"]], target)
 
