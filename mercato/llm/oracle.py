@@ -48,3 +48,44 @@ SELECT page_id, payload_bytes, {_LETTERS} AS payload_digest,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM firsts
 """
+
+# CRC-32 of a number's decimal digits, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]
+    FOR c IN string_split(CAST({0} AS VARCHAR), '')])), lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), 4294967295)"""
+
+# Grams of 1, 2, 4, ... words, numbered by pairs; a run is an island of places whose nearest
+# equal gram is q words back.  The last size, 65536, does for texts of up to 393216 words.
+_SIZES = [1 << x for x in range(17)]
+_GRAMS = ",\n".join(
+    f"g{k} AS MATERIALIZED (SELECT doc_id, i, n, " + (
+        "dense_rank() OVER (ORDER BY word) AS g FROM planted" if k == 1 else
+        f"dense_rank() OVER (ORDER BY a, b) AS g FROM (SELECT doc_id, i, n, g AS a, lead(g, {k // 2}) OVER (PARTITION BY doc_id ORDER BY i) AS b "
+        f"FROM g{k // 2}) WHERE i + {k} <= n AND n >= 3 * ({k // 2} + 1)") + ")"
+    for k in _SIZES)
+_LAGS = "\nUNION ALL ".join(f"SELECT *, {k} AS k, i - lag(i) OVER (PARTITION BY doc_id, g ORDER BY i) AS q FROM g{k}" for k in _SIZES)
+ORACLE["op11_periodic_runs"] = rf"""
+WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+                      CASE WHEN doc_id IS NOT NULL THEN {_CRC32.format('doc_id')} END AS h FROM documents),
+places AS (SELECT doc_id, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM texts),
+plants AS (SELECT doc_id, n, a, 1 + (n - a) // (3 + g % 8) AS p FROM places),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+planted AS (SELECT s.doc_id, s.i, s.n, words.word FROM
+  (SELECT plants.doc_id, n, i, CASE WHEN a IS NOT NULL AND i >= a THEN a + (i - a) % p ELSE i END AS j
+   FROM plants JOIN words USING (doc_id)) s JOIN words ON words.doc_id = s.doc_id AND words.i = s.j),
+{_GRAMS},
+lags AS ({_LAGS}),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, k, q ORDER BY i) AS island FROM lags WHERE 2 * q > k AND q <= k),
+runs AS (SELECT doc_id, min(i) - q AS start, max(i) - min(i) + k + q AS length, q AS period FROM islands
+         GROUP BY doc_id, k, q, island HAVING max(i) - min(i) + k + q >= greatest(24, 3 * q)),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (
+         PARTITION BY doc_id ORDER BY length::HUGEINT * 1000000000000000 // period DESC, start, period) = 1),
+lists AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+          FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM planted
+         WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.doc_id = planted.doc_id AND planted.i >= start + period AND planted.i < start + length)
+         GROUP BY doc_id)
+SELECT texts.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN best USING (doc_id) LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables."""
+"""The registered queries of the dealt operators, over whole tables."""
 
 from __future__ import annotations
 
@@ -100,3 +100,26 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return coordjoin.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import periods
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # One text in ten is made to repeat: from word a on, its first p words come again and again.
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    w = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    docs = docs.select("*", F.when(h % 10 == 0, w).alias("w"), F.floor(h / 10).alias("g"))
+    docs = docs.select("*", F.size("w").alias("n"), F.when(F.size("w") > 0, (F.col("g") % F.size("w")).cast("int")).alias("a"))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    planted = F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), again), F.lit(1), F.col("n"))
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    best = F.col("best")
+    return periods.collapse_runs(docs).withColumn("best", periods.strongest()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
