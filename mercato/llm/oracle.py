@@ -89,3 +89,18 @@ SELECT texts.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start A
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM texts LEFT JOIN best USING (doc_id) LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+# Every window of 50 words, by the text of its words.
+ORACLE["op12_substring_dedup"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+windows AS (SELECT doc_id, i, word, count(*) OVER ahead AS n, md5(string_agg(word, ' ') OVER ahead) AS h FROM words
+            WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+judged AS (SELECT doc_id, i, word, n = 50 AND min(CASE WHEN n = 50 THEN doc_id END) OVER (PARTITION BY h, n) < doc_id AS hit FROM windows),
+marked AS (SELECT doc_id, i, word, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+                string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text FROM marked GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""

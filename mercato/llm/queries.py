@@ -123,3 +123,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
         best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repeats
+
+    return repeats.drop_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.expr("aggregate(spans, 0L, (n, x) -> n + x.end - x.start)").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"))
