@@ -132,3 +132,12 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.drop_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", F.expr("aggregate(spans, 0L, (n, x) -> n + x.end - x.start)").alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
