@@ -16,7 +16,8 @@ covered by a hit window join into maximal repeats, spans of WINDOW words or more
 Copies cost one row per block and copy, never a pair; all groups are reduced by aggregates
 that combine before they shuffle, and what joins back to occurrences is one row per block, so
 a passage in a third of all texts leaves one hot key on the long side of a join, which
-adaptive execution splits.  Intermediate tables are written to the shared folder.
+adaptive execution splits.  Texts are shuffled twice, packed; intermediate tables are written
+to the shared folder.
 
 Order: a text's id; a null id counts as the greatest long.  Defined results: null and wordless
 texts have no words; texts shorter than WINDOW keep all; texts with the same id don't remove
@@ -31,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from .tables import written
-from .words import NOT_SPACE, find_words, gram_hashes, mix, pieces, signed
+from .words import NOT_SPACE, PIECE, find_words, gram_hashes, mix, pieces, signed
 
 WINDOW, GRAM = 50, 20
 _LAST = (1 << 63) - 1
@@ -74,10 +76,11 @@ def _sequence_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Of each text: u, o and its blocks (anchor, h1, h2, first window, windows)."""
+    """Rows (u, id, o, text) -> u, id, o, the text packed, its blocks (anchor, h1, h2, first window, windows)."""
+    pack = zstandard.ZstdCompressor(level=1).compress
     kind = pa.struct([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
     for batch in batches:
-        for row, texts in pieces(batch.column(2)):
+        for row, texts in pieces(batch.column(3)):
             found = find_words(texts, NOT_SPACE, lower=False)
             h = found.hashes()
             # windows by their first word; they must end in the text that they start in
@@ -96,19 +99,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], window: int, k: int) -> Iterator[
                  pa.array((s[first] - found.bounds[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(kind))
             cuts = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)),
-                 pa.ListArray.from_arrays(pa.array(cuts), flat)], ["u", "o", "blocks"])
+                [*(batch.column(c).slice(row, len(texts)) for c in range(3)),
+                 pa.array([pack((text.as_py() or "").encode()) for text in texts], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(cuts), flat)], ["u", "id", "o", "packed", "blocks"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Rows (text, o, wanted blocks (h1, h2, s, n)) -> a row per window: h1, h2, j, o, w1, w2."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for row, texts in pieces(batch.column(0)):
+        for row, packed in pieces(batch.column(0), PIECE // 4):
+            texts = pa.array([unpack(x.as_py()) for x in packed], pa.large_binary())
             found = find_words(texts, NOT_SPACE, lower=False)
             lists = batch.column(2).slice(row, len(texts))
             flat = lists.flatten()
             h1, h2, s, n = (flat.field(x).to_numpy() for x in range(4))
-            doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+            doc = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
             block = np.repeat(np.arange(len(s)), n)
             j = np.arange(len(block)) - np.repeat(np.cumsum(n) - n, n)
             starts = (found.bounds[doc] + s)[block] + j
@@ -119,12 +125,13 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text, hits (s, n, all, mask)) -> doc_id, n_words, spans, kept."""
+    """Rows (id, packed text, hits (s, n, mask)) -> doc_id, n_words, spans, kept."""
+    unpack = zstandard.ZstdDecompressor().decompress
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in batches:
         out: list[tuple] = []
-        for doc_id, text, hits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            words = (text.as_py() or "").encode().split()  # bytes are split at ASCII white space alone
+        for doc_id, packed, hits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            words = unpack(packed.as_py()).split()  # bytes are split at ASCII white space alone
             spans: list[dict] = []
             if hits.is_valid:
                 edge = np.zeros(len(words) + 1, np.int64)
@@ -158,11 +165,10 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship_package(spark)
     base = written(docs.select(
         F.monotonically_increasing_id().alias("u"), F.col(id_col).cast("long").alias("id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("o"), F.col(text_col).cast("string").alias("text")), "repeat-texts")
-    held = written(base.select("u", "o", "text").mapInArrow(
-        functools.partial(_blocks, window=window, k=k),
-        "u long, o long, blocks array<struct<anchor:long,h1:long,h2:long,s:int,n:int>>").where("size(blocks) > 0"), "repeat-blocks")
-    places = held.select("u", "o", F.inline("blocks"))
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("o"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+            functools.partial(_blocks, window=window, k=k),
+            "u long, id long, o long, packed binary, blocks array<struct<anchor:long,h1:long,h2:long,s:int,n:int>>"), "repeat-blocks")
+    places = base.select("u", "o", F.inline("blocks"))
     distinct = written(places.groupBy("h1", "h2").agg(
         F.min(F.struct("o", "u", "s")).alias("first"), F.max("o").alias("last"),
         F.first("anchor").alias("anchor"), F.first("n").alias("n")), "repeat-distinct")
@@ -170,7 +176,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  .where("kinds > 1 AND low < high").select("anchor"))
     wanted = (distinct.join(contested, "anchor").groupBy("first.u")
               .agg(F.collect_list(F.struct("h1", "h2", "first.s", "n")).alias("wanted")))  # at most a text's own blocks
-    windows = written(base.join(wanted, "u").select("text", "o", "wanted").mapInArrow(
+    windows = written(base.join(wanted, "u").select("packed", "o", "wanted").mapInArrow(
         functools.partial(_windows, window=window), "h1 long, h2 long, j int, o long, w1 long, w2 long"), "repeat-windows")
     earliest = (windows.groupBy("w1", "w2").agg(F.min("o").alias("low"), F.max("o").alias("high"))
                 .where("low < high").drop("high"))
@@ -180,6 +186,6 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .select("h1", "h2", F.col("first.o").alias("first"), "mask"), "repeat-hits")
     hits = (places.join(hot, ["h1", "h2"]).where("o > first OR mask IS NOT NULL").groupBy("u")
             .agg(F.collect_list(F.struct("s", "n", F.when(F.col("o") == F.col("first"), F.col("mask")).alias("mask"))).alias("hits")))
-    return base.join(hits, "u", "left").select("id", "text", "hits").mapInArrow(
+    return base.join(hits, "u", "left").select("id", "packed", "hits").mapInArrow(
         functools.partial(_cut, window=window),
         "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string")

@@ -94,7 +94,7 @@ class Words:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string array and the offsets of its texts (null: no bytes)."""
+    """The bytes of a string or binary array and the offsets of its texts (null: no bytes)."""
     if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type):
         kind = np.int64
     else:
@@ -105,14 +105,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """The array in slices of about PIECE bytes; each with its first row's position."""
+def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[tuple[int, pa.Array]]:
+    """The array in slices of about ``size`` bytes; each with its first row's position."""
     if not len(texts):
         return
     _, at = text_bytes(texts)
     start = 0
     while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(at, at[start] + PIECE, "right")) - 1)
+        stop = max(start + 1, int(np.searchsorted(at, at[start] + size, "right")) - 1)
         yield start, texts.slice(start, stop - start)
         start = stop
 
