@@ -1,34 +1,29 @@
-"""The whole batch run: stage, input gate, star, output gate."""
+"""The whole batch run: stage, input gate, star, output gate, publish, views."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import quality
-from ..operators.star import STAR_TABLES, Star, build_star, publish_star
+from ..operators.star import Star
 from ..sources import csv as csv_source
+from . import catalog, snapshots
 
 
-def read_star(spark: SparkSession, star_dir: str) -> Star:
-    """A published star, read back (the partition column of fact_orders is left out)."""
-    star = Star({})
-    for name in STAR_TABLES:
-        star.bind(name, spark.read.parquet(f"{star_dir.rstrip('/')}/{name}").drop("purchase_month"))
-    return star
+def read_star(spark: SparkSession, root: str) -> Star:
+    """The star that was last published below ``root``."""
+    return snapshots.read_star(spark, root)
 
 
-def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
-                 file_map: dict[str, str] | None = None) -> tuple[Star, DataFrame, DataFrame]:
-    """Stage the source files below ``out_dir``/staging, gate them, publish the star below
-    ``out_dir``/star and gate what was written, as read back.
+def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, file_map: dict[str, str] | None = None,
+                 database: str | None = None) -> tuple[Star, DataFrame, DataFrame]:
+    """Stage the source files into a new snapshot below ``out_dir``, gate, build and publish it
+    there (``snapshots.publish_gated``); with ``database``, remake the catalog views over it.
 
-    Raises QualityGateError on a blocking row; after a failed input gate no star table is
-    written.  Returns the published star and both gates' reports.
+    A failed gate raises and leaves the pointer, and the views, on the earlier snapshot.
     """
-    out_dir = out_dir.rstrip("/")
-    stg, _ = csv_source.stage_all(spark, raw_dir, file_map, f"{out_dir}/staging")
-    before = quality.run_gate(quality.input_checks(stg), "input")
-    publish_star(build_star(stg), f"{out_dir}/star")
-    star = read_star(spark, f"{out_dir}/star")
-    after = quality.run_gate(quality.output_checks(star, stg), "output")
-    return star, before, after
+    snapshot = snapshots.new_snapshot(out_dir)
+    stg, _ = csv_source.stage_all(spark, raw_dir, file_map, f"{snapshot}/staging")
+    published = snapshots.publish_gated(spark, stg, out_dir, snapshot)
+    if database:
+        catalog.remake_views(spark, out_dir, database)
+    return published

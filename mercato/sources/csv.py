@@ -7,6 +7,7 @@ staged values equal what a text-typed loader keeps.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,10 @@ def default_file_map() -> dict[str, str]:
     return {t: t for t in STAGING_COLUMNS}
 
 
+def path_is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def require_sources(spark: SparkSession, raw_dir: str,
                     file_map: dict[str, str] | None = None) -> None:
     """Fail before any work if a source file is missing (file listing only)."""
@@ -48,7 +53,9 @@ def require_sources(spark: SparkSession, raw_dir: str,
     for table, name in file_map.items():
         try:
             spark.read.text(f"{raw_dir.rstrip('/')}/{name}.csv")
-        except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
+        except AnalysisException as error:
+            if not path_is_missing(error):
+                raise
             missing.append(f"{name}.csv")
     if missing:
         raise FileNotFoundError(f"missing source files in {raw_dir}: {', '.join(missing)}")

@@ -6,33 +6,99 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixture_data import write_fixture
-from mercato.operators import forecast, quality, stats
-from mercato.plans import pipeline
+from mercato.operators import forecast, marts, quality, stats
+from mercato.operators import star as star_ops
+from mercato.plans import pipeline, snapshots
 
 
 def test_run_pipeline_publishes_and_reads_back(spark, tmp_path):
     raw = write_fixture(tmp_path / "raw")
     star, before, after = pipeline.run_pipeline(spark, str(raw), str(tmp_path / "out"))
     assert before.filter("not passed").isEmpty() and after.filter("not passed").isEmpty()
-    assert all("/out/star/" in f for f in star.fact_orders.inputFiles())
+    assert all("/out/snapshots/" in f for f in star.fact_orders.inputFiles())
     assert "purchase_month" not in star.fact_orders.columns
+    published = pipeline.read_star(spark, str(tmp_path / "out"))
+    assert len(published.tables()) == 9 and published.dim_date.count() > 0
+    assert published.fact_orders.inputFiles() == star.fact_orders.inputFiles()
 
 
-def test_blocking_input_writes_no_star(spark, tmp_path):
-    raw = write_fixture(tmp_path / "raw")
+def repeat_first_item(raw):
     file = next(p for p in raw.rglob("*order_items*.csv"))
     header, *rows = file.read_text().splitlines()
-    file.write_text("\n".join([header, *rows, rows[0]]) + "\n")  # a repeated key
+    file.write_text("\n".join([header, *rows, rows[0]]) + "\n")
+
+
+def test_blocking_input_publishes_nothing(spark, tmp_path):
+    raw = write_fixture(tmp_path / "raw")
+    repeat_first_item(raw)
     with pytest.raises(quality.QualityGateError):
         pipeline.run_pipeline(spark, str(raw), str(tmp_path / "out"))
-    assert (tmp_path / "out" / "staging").exists() and not (tmp_path / "out" / "star").exists()
+    with pytest.raises(snapshots.NoSnapshotError):
+        pipeline.read_star(spark, str(tmp_path / "out"))
+    assert not list((tmp_path / "out" / "snapshots").glob("*/star"))
+
+
+@pytest.mark.parametrize("gate", ["input", "output"])
+def test_a_failed_gate_leaves_the_earlier_star(spark, tmp_path, monkeypatch, gate):
+    raw, out = write_fixture(tmp_path / "raw"), str(tmp_path / "out")
+    pipeline.run_pipeline(spark, str(raw), out, database="mercato_failed")
+    earlier = snapshots.current(spark, out)
+    rows = sorted(map(tuple, pipeline.read_star(spark, out).fact_order_items.collect()))
+    if gate == "input":
+        repeat_first_item(raw)
+    else:  # a build that loses rows on its way
+        monkeypatch.setitem(star_ops._BUILDERS, "fact_order_items", lambda stg: star_ops.fact_order_items(stg["order_items"]).limit(1))
+    with pytest.raises(quality.QualityGateError, match=f"{gate} gate failed"):
+        pipeline.run_pipeline(spark, str(raw), out, database="mercato_failed")
+    assert snapshots.current(spark, out) == earlier
+    assert sorted(map(tuple, pipeline.read_star(spark, out).fact_order_items.collect())) == rows
+    assert spark.table("mercato_failed.vw_sales").count() > 0
+
+
+def test_views_read_the_new_snapshot(spark, tmp_path):
+    raw, out = write_fixture(tmp_path / "raw"), str(tmp_path / "out")
+    star, _, _ = pipeline.run_pipeline(spark, str(raw), out, database="mercato_views")
+    for name, view in marts.VIEWS.items():  # the catalog's SQL and the library's frames agree
+        there, here = spark.table(f"mercato_views.{name}"), view(star)
+        assert there.columns == here.columns
+        assert sorted(map(str, there.collect())) == sorted(map(str, here.collect())), name
+    first = snapshots.current(spark, out)
+    file = next(p for p in raw.rglob("orders*.csv"))
+    header, *rows = file.read_text().splitlines()
+    fields = header.split(",")
+    at, status = fields.index("order_purchase_timestamp"), fields.index("order_status")
+    row = next(r.split(",") for r in rows if "canceled" in r or "shipped" in r or "delivered" in r)
+    row[0], row[at] = "order-of-the-second-run", "2018-12-30 10:00:00"
+    row[status] = "created"
+    row[at + 1: at + 4] = ["", "", ""]
+    file.write_text("\n".join([header, *rows, ",".join(row)]) + "\n")
+    before = spark.table("mercato_views.vw_daily_orders").agg(F.sum("orders")).first()[0]
+    pipeline.run_pipeline(spark, str(raw), out, database="mercato_views")
+    assert snapshots.current(spark, out) != first
+    assert spark.table("mercato_views.vw_daily_orders").agg(F.sum("orders")).first()[0] == before + 1
+    assert [r["version"] for r in snapshots.publish_log(spark, out).orderBy("version").collect()] == [1, 2]
+
+
+def test_slices_read_only_their_months(spark, tmp_path):
+    raw, out = write_fixture(tmp_path / "raw"), str(tmp_path / "out")
+    star, _, _ = pipeline.run_pipeline(spark, str(raw), out)
+    days = [r[0] for r in star.fact_orders.select(F.to_date("order_purchase_timestamp").alias("d")).distinct().orderBy("d").collect()]
+    start, end = str(days[0]), str(days[len(days) // 3])
+    sliced = marts.slice_star(star, start, end)
+    plan = sliced.fact_orders._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(purchase_month" in plan
+    read = {r[0] for r in sliced.fact_orders.select(F.input_file_name()).distinct().collect()}
+    every = {r[0] for r in star.fact_orders.select(F.input_file_name()).distinct().collect()}
+    assert read < every
+    want = marts.apply_slicers(marts.vw_sales(star), start=start, end=end)
+    assert sorted(map(str, marts.vw_sales(sliced).collect())) == sorted(map(str, want.collect()))
 
 
 def test_removed_fact_rows_are_caught_in_the_published_star(spark, tmp_path):
     raw = write_fixture(tmp_path / "raw")
     star, _, _ = pipeline.run_pipeline(spark, str(raw), str(tmp_path / "out"))
     star.bind("fact_order_items", star.fact_order_items.limit(0))
-    staged = {p.name: spark.read.parquet(str(p)) for p in (tmp_path / "out" / "staging").iterdir()}
+    staged = {p.name: spark.read.parquet(str(p)) for p in next((tmp_path / "out" / "snapshots").glob("*/staging")).iterdir()}
     with pytest.raises(quality.QualityGateError):
         quality.run_gate(quality.output_checks(star, staged), "output")
 
