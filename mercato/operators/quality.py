@@ -3,17 +3,19 @@
 Every check family returns rows ``(check, table, detail, count, severity)``; the report
 (V13) unions them, drops zero counts and derives one ``passed`` verdict, and the gate
 (V14) raises when a blocking row remains.  Checks on one table are fused into a single
-aggregate; key checks aggregate map-side before any join, so a hot key never reaches a
-single task as raw rows.
+aggregate; all key checks of a layer come from one pass a key that counts it in every table
+that has it, combined before the one shuffle, so a hot key never reaches a single task as raw rows.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import CANCELED, line_revenue
@@ -23,6 +25,7 @@ from .star import Star
 BLOCKING = "blocking"
 LOGGED = "logged"
 RESULT_COLUMNS = ["check", "table", "detail", "count", "severity"]
+_RESULT_SCHEMA = "check string, table string, detail string, count long, severity string"
 
 # Key columns per staging table (documented grain).
 PRIMARY_KEYS: list[tuple[str, list[str]]] = [
@@ -192,47 +195,85 @@ def dq_row_counts(stg: dict[str, DataFrame]) -> DataFrame:
     return _family(stg, "row_count")
 
 
-def _duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Number of key groups occurring more than once (combined map-side)."""
-    g = df.groupBy(*cols).agg(F.expr("count(1) AS _n"))
-    return g.selectExpr("count_if(_n > 1) AS n")
+# A use of a key: (table, its columns, name of the key, role).  Role 0 is the table the key
+# belongs to, roles 1.. are tables that refer to it.
+KeyUse = tuple[str, tuple[str, ...], str, int]
 
 
-def dq_pk_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
-    """Duplicated key groups per table."""
+def key_counts(tables: Mapping[str, DataFrame], uses: list[KeyUse]) -> DataFrame:
+    """(k0 .., c0 ..): how many rows of each role have a key, for the uses of one key.
+
+    One shuffle for all tables that have the key: their tagged keys are one union, and one
+    aggregate, combined before the shuffle, counts them; a hot key is one row a task.
+    """
+    tagged = _union([tables[t].selectExpr(*[f"{c} AS k{i}" for i, c in enumerate(cols)], f"{role} AS role")
+                     for t, cols, _, role in uses])
+    keys = [c for c in tagged.columns if c != "role"]
+    return tagged.groupBy(*keys).agg(*[F.expr(f"count_if(role = {r})").alias(f"c{r}") for r in sorted({u[3] for u in uses})])
+
+
+def _planned(tables: Mapping[str, DataFrame], *plans) -> DataFrame:
+    """The check rows of several plans, one keyed pass for each key; a use that plans share is
+    counted once.  A plan is (uses, specs); a spec's count is an aggregate over its key's counts."""
+    uses = list(dict.fromkeys(u for plan in plans for u in plan[0]))
     frames = []
-    for t, cols in PRIMARY_KEYS:
-        key = ", ".join(cols)
-        frames.append(_rows(_duplicate_groups(stg[t], cols),
-                            [("pk_uniqueness", t, f"key ({key}) used by several staged rows",
-                              "n", BLOCKING)]))
+    for name in dict.fromkeys(u[2] for u in uses):
+        specs = [sp for plan in plans for key, sp in plan[1] if key == name]
+        counts = key_counts(tables, [u for u in uses if u[2] == name])
+        measured = counts.selectExpr(*[f"coalesce({sp[3]}, 0) AS m{i}" for i, sp in enumerate(specs)])
+        frames.append(_rows(measured, [(c, t, d, f"m{i}", sv) for i, (c, t, d, _, sv) in enumerate(specs)]))
     return _union(frames)
 
 
-def _orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose key has no parent (NULL keys count as orphans).
+def _owned(relations) -> dict[tuple[str, str], list[tuple[str, str]]]:
+    """(parent, column) -> the (child, column) pairs that refer to it, in the relations' order."""
+    owned: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for child, ccol, parent, pcol in relations:
+        owned.setdefault((parent, pcol), []).append((child, ccol))
+    return owned
+
+
+def _relation_plan(relations, check: str = "referential_integrity"):
+    """Orphans: rows of a role whose key no row of role 0 has (a NULL key has no owner)."""
+    uses: list[KeyUse] = []
+    specs = []
+    for (parent, pcol), children in _owned(relations).items():
+        name = f"{parent}.{pcol}"
+        uses.append((parent, (pcol,), name, 0))
+        for role, (child, ccol) in enumerate(children, 1):
+            uses.append((child, (ccol,), name, role))
+            specs.append((name, (check, child, f"{ccol} without a row in {parent}",
+                                 f"sum(CASE WHEN c0 = 0 OR k0 IS NULL THEN c{role} END)", BLOCKING)))
+    return uses, specs
+
+
+def _pk_plan():
+    """Keys that several rows of role 0 have."""
+    uses, specs = [], []
+    for t, cols in PRIMARY_KEYS:
+        name = f"{t}.{'+'.join(cols)}"
+        uses.append((t, tuple(cols), name, 0))
+        specs.append((name, ("pk_uniqueness", t, f"key ({', '.join(cols)}) used by several staged rows", "count_if(c0 > 1)", BLOCKING)))
+    return uses, specs
+
 
-    Child keys are first reduced to (key, rows) with a map-side combine, so the anti
-    join moves one row per distinct key, however many rows a key has.
-    """
-    keys = child.selectExpr(f"{child_col} AS _k").groupBy("_k").agg(F.expr("count(1) AS _n"))
-    parents = parent.selectExpr(f"{parent_col} AS _p")
-    missing = keys.join(parents, F.expr("_k = _p"), "left_anti")
-    return missing.selectExpr("coalesce(sum(_n), 0) AS n")
+def _review_plan():
+    """Review ids that repeat, and orders with several reviews (role of order_reviews among the
+    tables that refer to an order)."""
+    role = 1 + _owned(FOREIGN_KEYS)["orders", "order_id"].index(("order_reviews", "order_id"))
+    return ([("order_reviews", ("review_id",), "order_reviews.review_id", 0), ("order_reviews", ("order_id",), "orders.order_id", role)],
+            [("order_reviews.review_id", ("review_duplicates", "order_reviews", "review ids used by several rows", "count_if(c0 > 1)", LOGGED)),
+             ("orders.order_id", ("review_duplicates", "order_reviews", "orders reviewed several times", f"count_if(c{role} > 1)", LOGGED))])
 
 
-def _fk_rows(tables: dict[str, DataFrame], relations, check: str = "referential_integrity"):
-    frames = []
-    for child, ccol, parent, pcol in relations:
-        agg = _orphans(tables[child], ccol, tables[parent], pcol)
-        frames.append(_rows(agg, [(check, child, f"{ccol} without a row in {parent}",
-                                   "n", BLOCKING)]))
-    return _union(frames)
+def dq_pk_duplicates(stg: Mapping[str, DataFrame]) -> DataFrame:
+    """Duplicated key groups per table."""
+    return _planned(stg, _pk_plan())
 
 
-def dq_orphan_fk(stg: dict[str, DataFrame]) -> DataFrame:
-    """Orphan child rows for the six staging relations."""
-    return _fk_rows(stg, FOREIGN_KEYS)
+def dq_orphan_fk(stg: Mapping[str, DataFrame]) -> DataFrame:
+    """Orphan child rows for the six staging relations (NULL keys count as orphans)."""
+    return _planned(stg, _relation_plan(FOREIGN_KEYS))
 
 
 def dq_domain(stg: dict[str, DataFrame]) -> DataFrame:
@@ -251,17 +292,9 @@ def dq_null_policy(stg: dict[str, DataFrame]) -> DataFrame:
     return _family(stg, "null_policy")
 
 
-def dq_review_duplicates(stg: dict[str, DataFrame]) -> DataFrame:
+def dq_review_duplicates(stg: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated review ids; orders reviewed several times (both logged)."""
-    rev = stg["order_reviews"]
-    return _union([
-        _rows(_duplicate_groups(rev, ["review_id"]),
-              [("review_duplicates", "order_reviews", "review ids used by several rows",
-                "n", LOGGED)]),
-        _rows(_duplicate_groups(rev, ["order_id"]),
-              [("review_duplicates", "order_reviews", "orders reviewed several times",
-                "n", LOGGED)]),
-    ])
+    return _planned(stg, _review_plan())
 
 
 def dq_malformed_cast(stg: dict[str, DataFrame]) -> DataFrame:
@@ -269,33 +302,42 @@ def dq_malformed_cast(stg: dict[str, DataFrame]) -> DataFrame:
     return _family(stg, "malformed_cast")
 
 
-def input_checks(stg: dict[str, DataFrame]) -> DataFrame:
+def keyed_input_checks(stg: Mapping[str, DataFrame]) -> DataFrame:
+    """V02, V03 and V07 from one keyed pass for each key."""
+    return _planned(stg, _pk_plan(), _relation_plan(FOREIGN_KEYS), _review_plan())
+
+
+def input_checks(stg: Mapping[str, DataFrame]) -> DataFrame:
     """All input-layer checks."""
-    return _union([scalar_checks(stg), dq_pk_duplicates(stg), dq_orphan_fk(stg),
-                   dq_review_duplicates(stg)])
+    return scalar_checks(stg).unionByName(keyed_input_checks(stg))
+
+
+INPUT_FAMILIES = {
+    "row_count": dq_row_counts, "pk_uniqueness": dq_pk_duplicates, "referential_integrity": dq_orphan_fk,
+    "domain": dq_domain, "temporal_sanity": dq_temporal, "null_policy": dq_null_policy,
+    "review_duplicates": dq_review_duplicates, "malformed_cast": dq_malformed_cast,
+}
 
 
 # ---------------------------------------------------------------- output layer
 
 
-def dq_row_reconciliation(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
-    """Star row counts equal staging counts (distinct keys for deduplicated tables)."""
-    tables = star.tables()
-    frames = []
-    for name, src, distinct_col in ROW_RECONCILIATION:
-        out_n = tables[name].selectExpr("count(1) AS a")
-        in_n = stg[src].selectExpr("count(1) AS b" if distinct_col is None
-                                   else f"count(DISTINCT {distinct_col}) AS b")
-        both = out_n.crossJoin(in_n)  # two one-row frames
-        frames.append(_rows(both, [("row_reconciliation", name,
-                                    f"rows of {name} and of its staged source differ in number",
-                                    "CASE WHEN a = b THEN 0 ELSE 1 END", BLOCKING)]))
-    return _union(frames)
+def dq_row_reconciliation(star: Star, stg: Mapping[str, DataFrame]) -> DataFrame:
+    """Star row counts equal staging counts (distinct keys for deduplicated tables); one
+    union of counts, which written tables answer from their files' footers."""
+    counts, specs = [], []
+    for i, (name, src, distinct_col) in enumerate(ROW_RECONCILIATION):
+        staged = "count(1)" if distinct_col is None else f"count(DISTINCT {distinct_col})"
+        counts += [star.tables()[name].selectExpr(f"{2 * i} AS i", "count(1) AS n"), stg[src].selectExpr(f"{2 * i + 1} AS i", f"{staged} AS n")]
+        specs.append(("row_reconciliation", name, f"rows of {name} and of its staged source differ in number",
+                      f"CASE WHEN n{2 * i} = n{2 * i + 1} THEN 0 ELSE 1 END", BLOCKING))
+    every = _union(counts).selectExpr(*[f"max(CASE WHEN i = {i} THEN n END) AS n{i}" for i in range(len(counts))])
+    return _rows(every, specs)
 
 
 def dq_output_orphan_fk(star: Star) -> DataFrame:
     """Orphan rows in the star's six relations."""
-    return _fk_rows(star.tables(), OUTPUT_FOREIGN_KEYS)
+    return _planned(star.tables(), _relation_plan(OUTPUT_FOREIGN_KEYS))
 
 
 def dq_revenue_tieout(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
@@ -323,12 +365,18 @@ def dq_items_vs_payments(star: Star) -> DataFrame:
                    "n", LOGGED)])
 
 
-def output_checks(star: Star, stg: dict[str, DataFrame]) -> DataFrame:
+def output_checks(star: Star, stg: Mapping[str, DataFrame]) -> DataFrame:
     """All output-layer checks."""
     return _union([dq_row_reconciliation(star, stg), dq_output_orphan_fk(star),
                    dq_revenue_tieout(star, stg), dq_items_vs_payments(star)])
 
 
+def output_families(star: Star, stg: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    return {"row_reconciliation": lambda: dq_row_reconciliation(star, stg),
+            "referential_integrity": lambda: dq_output_orphan_fk(star),
+            "revenue_tie_out": lambda: dq_revenue_tieout(star, stg).unionByName(dq_items_vs_payments(star))}
+
+
 # ---------------------------------------------------------------- report and gate
 
 
@@ -356,6 +404,40 @@ class QualityGateError(RuntimeError):
     pass
 
 
+def isolated(spark: SparkSession, families: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+    """Each family evaluated on its own.  One that fails at run time (a value that its
+    expressions cannot read, a lost file) becomes a blocking row with the table ``unknown``;
+    the others still report."""
+    rows: list[tuple] = []
+    for name, build in families.items():
+        try:
+            rows += [tuple(r) for r in build().where("count <> 0").collect()]  # a handful of rows
+        except (PySparkException, Py4JError) as error:
+            rows.append((name, "unknown", f"the checks did not run: {str(error).strip().splitlines()[0]}", 1, BLOCKING))
+    return spark.createDataFrame(rows, _RESULT_SCHEMA)
+
+
+def _enforce(spark: SparkSession, checks: Callable[[], DataFrame], families: Mapping[str, Callable[[], DataFrame]],
+             gate: str) -> DataFrame:
+    """All checks in one job; if it fails, family by family."""
+    try:
+        rows = [tuple(r) for r in checks().where("count <> 0").collect()]
+    except (PySparkException, Py4JError):
+        return run_gate(isolated(spark, families), gate)
+    return run_gate(spark.createDataFrame(rows, _RESULT_SCHEMA), gate)
+
+
+def gate_input(stg: Mapping[str, DataFrame]) -> DataFrame:
+    """The input gate: its report, or QualityGateError."""
+    families = {name: functools.partial(fn, stg) for name, fn in INPUT_FAMILIES.items()}
+    return _enforce(stg["orders"].sparkSession, lambda: input_checks(stg), families, "input")
+
+
+def gate_output(star: Star, stg: Mapping[str, DataFrame]) -> DataFrame:
+    """The output gate: its report, or QualityGateError."""
+    return _enforce(stg["orders"].sparkSession, lambda: output_checks(star, stg), output_families(star, stg), "output")
+
+
 def run_gate(results: DataFrame, gate: str) -> DataFrame:
     """Evaluate a gate; raise QualityGateError listing blocking rows if any.
 

@@ -91,7 +91,7 @@ def publish_built(spark: SparkSession, stg: Mapping[str, DataFrame], root: str,
     snapshot = snapshot or new_snapshot(root)
     publish_star(build_star(stg), f"{snapshot}/star")
     star = star_at(spark, snapshot)
-    after = quality.run_gate(quality.output_checks(star, stg), "output")
+    after = quality.gate_output(star, stg)
     point_to(spark, root, snapshot)
     return star, after
 
@@ -100,6 +100,6 @@ def publish_gated(spark: SparkSession, stg: Mapping[str, DataFrame], root: str,
                   snapshot: str | None = None) -> tuple[Star, DataFrame, DataFrame]:
     """The input gate over the staged tables, then ``publish_built``.  Nothing is built
     after a failed input gate.  Returns the star and both gates' reports."""
-    before = quality.run_gate(quality.input_checks(stg), "input")
+    before = quality.gate_input(stg)
     star, after = publish_built(spark, stg, root, snapshot)
     return star, before, after

@@ -2,10 +2,13 @@
 values are worked out by hand from its rows."""
 
 import datetime as dt
+import functools
 from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from fixture_data import write_fixture
 from mercato.operators import analysis, marts, quality
 from mercato.operators.star import Star
@@ -130,3 +133,28 @@ def test_reconciliation_and_counts(m):
         "d": (Decimal("50.00"), Decimal("45.00"), Decimal("-5.00"))}
     assert analysis.duplicate_review_orders(m.stg["order_reviews"]).first()[0] == 1
     assert tuple(analysis.temporal_violations(m.star).first()) == (1, 1, 1)
+
+
+def test_a_family_that_fails_leaves_the_others(spark, m):
+    """Unreadable staged text: the family that reads it blocks as ``unknown``, the rest report."""
+    items = m.stg["order_items"]
+    broken = items.withColumn("price", F.when(items.order_item_id == 1, F.raise_error(F.lit("unreadable text"))).otherwise(items.price))
+    late = m.stg["order_reviews"].withColumn("review_score", F.lit("9"))
+    stg = {**m.stg, "order_items": broken, "order_reviews": late}
+    families = {name: functools.partial(fn, stg) for name, fn in quality.INPUT_FAMILIES.items()}
+    rows = {(r["check"], r["table"]): r for r in quality.isolated(spark, families).collect()}
+    assert "unreadable text" in rows["domain", "unknown"]["detail"] and rows["domain", "unknown"]["severity"] == "blocking"
+    assert ("malformed_cast", "unknown") in rows
+    assert not any(t == "unknown" for c, t in rows if c not in ("domain", "malformed_cast"))
+    assert any(c == "review_duplicates" for c, _ in rows) and any(c == "temporal_sanity" for c, _ in rows)
+    with pytest.raises(quality.QualityGateError, match="unknown"):
+        quality.gate_input(stg)
+    del stg["order_items"]
+    with pytest.raises(KeyError):  # a table that is not there at all is a fault of the caller
+        quality.gate_input(stg)
+
+
+def test_one_shuffle_for_each_key(m):
+    plan = quality.keyed_input_checks(m.stg)._jdf.queryExecution().executedPlan().toString()
+    # orders, items, customers, products, sellers, review ids
+    assert plan.count("Exchange hashpartitioning") == 6
