@@ -11,7 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import STAGING_COLUMNS, staging_schema
+from . import quoted
+from .schemas import STAGING_COLUMNS
 
 # Tokens read as NULL by the common CSV-to-frame loaders' defaults.
 NULL_TOKENS = [
@@ -25,14 +26,9 @@ def _null_token(col: str) -> Column:
 
 
 def stage_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One CSV file (or folder of parts) as an all-text table."""
-    df = (spark.read.schema(staging_schema(table))
-          .option("header", "true")
-          .option("multiLine", "true")
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    """One CSV file (or folder of parts) as an all-text table, read by as many tasks as it
+    has blocks, quoted line breaks or not (``quoted``)."""
+    df = quoted.read(spark, path, ", ".join(f"`{c}` string" for c in STAGING_COLUMNS[table]), {"quote": '"', "escape": '"'})
     return df.select(*[_null_token(c) for c in STAGING_COLUMNS[table]])
 
 
