@@ -4,19 +4,19 @@ Population rules: revenue, retention, RFM and delivery questions use delivered o
 the status funnel uses every placed order (R2).  Item lines are summed per order (or per
 order and product/seller) before they meet the orders table, so the join moves one row
 per order instead of one per line.  Windows without PARTITION BY only ever run over
-already-aggregated rows (months, states, categories, ten sellers); person-level ranks go
-through ``global_rank``.
+already-aggregated rows (months, states, categories, ten sellers); person-level tiles are
+found by selection, without a sort (``tile_columns``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (CANCELED, cents, frequency_bucket, from_cents, is_delivered,
                                  line_revenue_cents, month_start, months_between_starts)
 from ..functions.numeric import half_up_div, pct
-from ..functions.ranking import global_rank, ntile_from_rank
+from ..functions.tiles import ntile_positions, tile_columns
 from .star import Star
 
 
@@ -235,26 +235,29 @@ def rfm_base(star: Star) -> DataFrame:
         from_cents(F.sum("order_revenue")).alias("monetary"))
 
 
+PERSON = "customer_unique_id"
+
+
+def _recency() -> Column:
+    return F.unix_date("last_order")
+
+
+def _ntile(tiles: int):
+    return lambda n: ntile_positions(n, tiles)
+
+
 def recency_scored(base: DataFrame, tiles: int = 5) -> DataFrame:
     """``base`` plus r_score: NTILE over the last order date, ties broken by person id."""
-    r = global_rank(base, [F.col("last_order").asc_nulls_last(),
-                           F.col("customer_unique_id").asc_nulls_last()],
-                    rank_col="_r_rank", total_col="_n")
-    return (r.withColumn("r_score", ntile_from_rank(F.col("_r_rank"), F.col("_n"), tiles))
-            .drop("_r_rank", "_n"))
+    return base.withColumns(tile_columns(base, PERSON, {"r_score": (_recency(), _ntile(tiles))}))
 
 
 def rfm_scores(star: Star, tiles: int = 5, base: DataFrame | None = None) -> DataFrame:
     """Recency NTILE by last order, frequency bucket 1/2/3+, monetary NTILE; ties in
     either sort key are broken by the person id."""
     base = base if base is not None else rfm_base(star)
-    r = recency_scored(base, tiles)
-    m = global_rank(r, [F.col("monetary").asc_nulls_last(),
-                        F.col("customer_unique_id").asc_nulls_last()],
-                    rank_col="_m_rank", total_col="_n")
-    return m.select("customer_unique_id", "r_score",
-                    frequency_bucket(F.col("frequency")).alias("f_bucket"),
-                    ntile_from_rank(F.col("_m_rank"), F.col("_n"), tiles).alias("m_score"))
+    score = tile_columns(base, PERSON, {"r_score": (_recency(), _ntile(tiles)), "m_score": (cents("monetary"), _ntile(tiles))})
+    return base.select(PERSON, score["r_score"].alias("r_score"), frequency_bucket(F.col("frequency")).alias("f_bucket"),
+                       score["m_score"].alias("m_score"))
 
 
 def rfm_segment_share(star: Star, tiles: int = 5, base: DataFrame | None = None) -> DataFrame:

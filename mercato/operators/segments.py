@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cents, frequency_bucket, from_cents, segment_label
 from ..functions.numeric import pct
-from ..functions.ranking import global_rank, qcut_from_rank
-from .analysis import cohort_retention, rfm_base
+from ..functions.tiles import qcut_positions, tile_columns
+from .analysis import PERSON, cohort_retention, rfm_base
 from .star import Star
 
 
@@ -31,14 +31,10 @@ def rfm_segments(star: Star, tiles: int = 5, base: DataFrame | None = None) -> D
     """Recency quantile bin of the first-occurrence rank (ties by person id),
     frequency bucket 1/2/3+ and the business segment label."""
     base = base if base is not None else rfm_base(star)
-    ranked = global_rank(base, [F.col("last_order").asc_nulls_last(),
-                                F.col("customer_unique_id").asc_nulls_last()],
-                         rank_col="_rank", total_col="_n")
-    r = qcut_from_rank(F.col("_rank"), F.col("_n"), tiles)
+    r = tile_columns(base, PERSON, {"r": (F.unix_date("last_order"), lambda n: qcut_positions(n, tiles))})["r"]
     f = frequency_bucket(F.col("frequency"))
-    return ranked.select("customer_unique_id", "last_order", "frequency", "monetary",
-                         r.alias("r_score"), f.alias("f_bucket"),
-                         segment_label(f, r).alias("segment"))
+    return (base.select("customer_unique_id", "last_order", "frequency", "monetary", r.alias("r_score"), f.alias("f_bucket"))
+            .withColumn("segment", segment_label(F.col("f_bucket"), F.col("r_score"))))
 
 
 def segment_summary(star: Star, segments: DataFrame | None = None) -> DataFrame:

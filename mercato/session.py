@@ -71,6 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/mercato-scratch/{name}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, on whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 _SHIPPED: set[str] = set()
 
 
