@@ -10,6 +10,8 @@ found by selection, without a sort (``tile_columns``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..functions.columns import (CANCELED, cents, frequency_bucket, from_cents,
                                  line_revenue_cents, month_start, months_between_starts)
 from ..functions.numeric import half_up_div, pct
 from ..functions.tiles import ntile_positions, tile_columns
+from ..session import scratch_path
 from .star import Star
 
 
@@ -28,6 +31,8 @@ def _all() -> Window:
 
 def order_revenue(star: Star) -> DataFrame:
     """(order_id, order_revenue): item revenue per order in cents, all orders with items."""
+    if star.order_revenue is not None:
+        return star.order_revenue
     return (star.fact_order_items.groupBy("order_id")
             .agg(F.sum(line_revenue_cents()).alias("order_revenue")))
 
@@ -314,7 +319,26 @@ def temporal_violations(star: Star) -> DataFrame:
     return temporal_violation_counts(star.fact_orders)
 
 
-# Query name -> builder over the star (A01-A18), in file-name order.
+class SharedBase:
+    """What several results of one run (A19) are built from, written once to the scratch folder:
+    the revenue of each order and the RFM base.  ``star`` is the star with the former bound."""
+
+    def __init__(self, star: Star):
+        spark = star.fact_orders.sparkSession
+        self.star = Star({})
+        for name, table in star.tables().items():
+            self.star.bind(name, table)
+        self.star.order_revenue = self._written(spark, order_revenue(star), "order-revenue")
+        self.rfm = self._written(spark, rfm_base(self.star), "rfm-base")
+
+    @staticmethod
+    def _written(spark, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+
+# Query name -> builder over the star (A01-A16; A17 and A18 are below), in file-name order.
 ANALYSIS_QUERIES = {
     "monthly_revenue_mom": monthly_revenue_mom,
     "aov_trend": aov_trend,

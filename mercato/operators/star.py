@@ -171,6 +171,7 @@ class Star:
     """
 
     by_month: DataFrame | None = None
+    order_revenue: DataFrame | None = None  # set by a run that shares it between results
 
     def __init__(self, stg: Mapping[str, DataFrame]):
         self._stg = stg

@@ -678,22 +678,36 @@ FROM vw_sales_ WHERE order_date BETWEEN DATE '1994-03-15' AND DATE '1995-02-10'"
 
 
 # ---------------------------------------------------------------- sources and run-all
-_q("stage_all", "", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM stg_{t}" for t in _STG))
+# Order-free column hashes: numbers to four decimals, times to the microsecond, then the sum of
+# the first eight hex digits of each value's MD5.
+_X = "CAST(COLUMNS(*) AS VARCHAR)"
+_HASH = f"""CAST('0x' || substr(md5(CASE WHEN {_X} IS NULL THEN '~'
+    WHEN TRY_CAST({_X} AS DOUBLE) BETWEEN -1e15 AND 1e15 THEN CAST(CAST(round(TRY_CAST({_X} AS DOUBLE) * 10000) AS HUGEINT) AS VARCHAR)
+    WHEN length({_X}) >= 10 AND TRY_CAST({_X} AS TIMESTAMP) IS NOT NULL THEN strftime(TRY_CAST({_X} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')
+    ELSE {_X} END), 1, 8) AS BIGINT)"""
+
+
+def _hashes(name: str, value: str, select: str) -> str:
+    return f"""SELECT '{value}' AS {name}, "column", count(*) AS "rows", CAST(sum(hash) AS BIGINT) AS hash
+FROM (UNPIVOT (SELECT {_HASH} FROM ({select})) ON COLUMNS(*) INTO NAME "column" VALUE hash) GROUP BY "column\""""
+
+
+_q("stage_all", "", "\nUNION ALL\n".join(_hashes('"table"', t, f"SELECT * FROM stg_{t}") for t in _STG))
 
 _RUN_ALL = ["monthly_revenue_mom", "aov_trend", "category_pareto", "revenue_by_state", "payment_mix",
             "seller_concentration", "order_status_funnel", "delivery_days_distribution",
             "late_pct_by_month", "late_pct_by_state", "late_vs_review", "cohort_retention",
             "repeat_purchase_rate", "rfm_scores", "rfm_segment_share", "items_vs_payments",
             "duplicate_review_orders", "temporal_violations"]
-ORACLE["run_all_queries"] = "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS query, count(*) AS \"rows\" FROM ({ORACLE[n]})" for n in _RUN_ALL)
-
-ORACLE["result_samples"] = "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS query, count(*) AS written_rows FROM ({ORACLE[n]})" for n in _RUN_ALL)
-_q("pivot_extract", _VIEWS, """
-SELECT 'raw_extract' AS output, count(*) AS "rows" FROM ext_
-UNION ALL
-SELECT 'category_month_pivot', count(DISTINCT category) + 1 FROM ext_
-UNION ALL
-SELECT 'state_pivot', count(DISTINCT state) FROM ext_""")
+for _k in ("run_all_queries", "result_samples"):
+    ORACLE[_k] = "\nUNION ALL\n".join(f"SELECT * FROM ({_hashes('query', n, ORACLE[n])})" for n in _RUN_ALL)
+_q("pivot_extract", _VIEWS + """,
+cell_ AS (SELECT category, month, sum(c) AS c FROM ext_ GROUP BY CUBE (category, month)),
+axis_ AS (SELECT DISTINCT category FROM cell_), months_ AS (SELECT DISTINCT month FROM cell_),
+pivot_ AS (
+    SELECT ifnull(a.category, 'Total') AS category, ifnull(m.month, 'Total') AS month, coalesce(c.c, 0) / 100.0 AS revenue
+    FROM axis_ a CROSS JOIN months_ m LEFT JOIN cell_ c ON c.category IS NOT DISTINCT FROM a.category AND c.month IS NOT DISTINCT FROM m.month)
+""", "\nUNION ALL\n".join([
+    _hashes("output", "raw_extract", "SELECT order_id, category, state, order_date, month, c / 100.0 AS line_revenue, c AS line_cents FROM ext_"),
+    _hashes("output", "category_month_pivot", "SELECT category, month, revenue FROM pivot_"),
+    _hashes("output", "state_pivot", "SELECT state, count(DISTINCT order_id) AS orders, sum(c) / 100.0 AS revenue FROM ext_ GROUP BY state")]))

@@ -6,6 +6,7 @@ integers become BIGINT.  The operators themselves keep exact decimals.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import content
 from ..operators import analysis
 from ..operators import star as star_ops
 from ..session import scratch_path
@@ -291,21 +293,37 @@ def q_recent_actuals_plus_forecast(spark, sf_dir):
 # ---------------------------------------------------------------- sources and run-all
 
 
+def _hashed(frames, name: str) -> DataFrame:
+    """column_hashes of several frames, with the frame's name as column ``name``."""
+    parts = [content.column_hashes(df).select(F.lit(key).alias(name), "*") for key, df in frames.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @register("stage_all")
 def q_stage_all(spark, sf_dir):
-    """The staging tables written as CSV to the shared scratch folder, staged
-    back as text and counted."""
+    """The staging tables written as CSV to the shared scratch folder and staged back
+    as text; an order-free hash of every column."""
     raw = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
     csv_source.write_staging_csv(testdata.staging_tables(spark, sf_dir), raw)
-    _, counts = csv_source.stage_all(spark, raw)
-    return counts
+    frames, _ = csv_source.stage_all(spark, raw)
+    return _hashed(frames, "table")
+
+
+def _results(star: star_ops.Star, stg_reviews: DataFrame) -> dict[str, DataFrame]:
+    """The results of all business queries; order revenue and the RFM base are built once."""
+    base = analysis.SharedBase(star)
+    results = {name: fn(base.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
+    results |= {name: getattr(analysis, name)(star, base=base.rfm) for name in ("rfm_scores", "rfm_segment_share")}
+    results["duplicate_review_orders"] = analysis.duplicate_review_orders(stg_reviews)
+    results["temporal_violations"] = analysis.temporal_violations(star)
+    return results
 
 
 @register("run_all_queries")
 def q_run_all_queries(spark, sf_dir):
-    """Every business query evaluated with all its columns (each result is written
-    whole, so nothing is pruned); (query, rows) per result."""
-    return _written_results(spark, sf_dir).withColumnRenamed("written_rows", "rows")
+    """Every business query evaluated with all its columns; an order-free hash of each."""
+    m = _model(spark, sf_dir)
+    return _hashed(_results(m.star, m.stg["order_reviews"]), "query")
 
 
 # ---------------------------------------------------------------- sinks, written and read back
@@ -314,35 +332,26 @@ from ..sources import sinks  # noqa: E402
 
 @register("result_samples")
 def q_result_samples(spark, sf_dir):
-    """Every business query's whole result written as CSV, read back, counted."""
-    return _written_results(spark, sf_dir)
-
-
-def _written_results(spark, sf_dir):
+    """Every business query's whole result written as CSV in the result's order, read back
+    as text; an order-free hash of every column."""
     m = _model(spark, sf_dir)
     out = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
-    results = {name: fn(m.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
-    results["duplicate_review_orders"] = analysis.duplicate_review_orders(m.stg["order_reviews"])
-    results["temporal_violations"] = analysis.temporal_violations(m.star)
-    sinks.run_all_queries(results, out_dir=out)
-    parts = [spark.read.option("header", "true").csv(f"{out}/{name}")
-             .agg(F.count(F.lit(1)).alias("written_rows")).select(F.lit(name).alias("query"), "written_rows")
-             for name in results]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    results = _results(m.star, m.stg["order_reviews"])
+    sinks.run_all_queries(results, out_dir=out, orders=analysis.RESULT_ORDER)
+    return _hashed({name: spark.read.schema(", ".join(f"`{c}` string" for c in df.columns)).option("header", "true").csv(f"{out}/{name}")
+                    for name, df in results.items()}, "query")
 
 
 @register("pivot_extract")
 def q_pivot_extract(spark, sf_dir):
-    """Raw extract and both pivots written, read back, counted."""
+    """Raw extract and both pivots written and read back; an order-free hash of every column
+    of the extract and the state pivot, and of the category pivot as (category, month, revenue)."""
     out = scratch_path(spark, f"pivots-{uuid.uuid4().hex}")
     sinks.pivot_extract_sink(marts.vw_sales(_model(spark, sf_dir).star), out)
-    parts = [spark.read.option("header", "true").csv(f"{out}/{name}")
-             .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows")
-             for name in ("raw_extract", "category_month_pivot", "state_pivot")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    read = {name: spark.read.option("header", "true").csv(f"{out}/{name}") for name in ("raw_extract", "category_month_pivot", "state_pivot")}
+    wide = read["category_month_pivot"]
+    read["category_month_pivot"] = wide.unpivot("category", [c for c in wide.columns if c != "category"], "month", "revenue")
+    return _hashed(read, "output")
 
 
 @register("published_forecast")

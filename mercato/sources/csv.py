@@ -89,9 +89,9 @@ def staged_row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 def write_staging_csv(frames: dict[str, DataFrame], raw_dir: str,
                       file_map: dict[str, str] | None = None) -> None:
     """Write staged frames as header CSV folders that ``stage_csv`` reads back verbatim
-    (quotes doubled, embedded newlines quoted)."""
+    (quotes doubled, embedded newlines quoted, times to the microsecond)."""
     file_map = file_map or default_file_map()
     for table, df in frames.items():
         (df.write.mode("overwrite").option("header", "true").option("quote", '"')
-         .option("escape", '"').option("quoteAll", "false")
+         .option("escape", '"').option("quoteAll", "false").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
          .csv(f"{raw_dir.rstrip('/')}/{file_map[table]}.csv"))

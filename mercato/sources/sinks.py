@@ -20,9 +20,10 @@ def ordered(df: DataFrame, order: list[tuple[str, bool]] | None) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def write_result(df: DataFrame, path: str) -> None:
-    """The whole result as CSV with a header, one file per partition."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+def write_result(df: DataFrame, path: str, order: list[tuple[str, bool]] | None = None) -> None:
+    """The whole result as CSV with a header, in the result's order over its files' names."""
+    (ordered(df, order).write.mode("overwrite").option("header", "true")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
 
 
 def write_result_sample(df: DataFrame, path: str, n: int,
@@ -80,7 +81,7 @@ def run_all_queries(results: dict[str, DataFrame], out_dir: str | None = None, s
     ``sample_rows``, also its first rows in the result's order below ``samples``."""
     for name in results:
         if out_dir:
-            write_result(results[name], f"{out_dir}/{name}")
+            write_result(results[name], f"{out_dir}/{name}", (orders or {}).get(name))
             if sample_rows is not None:
                 write_result_sample(results[name], f"{out_dir}/samples/{name}", sample_rows, (orders or {}).get(name))
     return results
