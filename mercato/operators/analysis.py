@@ -321,13 +321,14 @@ def temporal_violations(star: Star) -> DataFrame:
 
 class SharedBase:
     """What several results of one run (A19) are built from, written once to the scratch folder:
-    the revenue of each order and the RFM base.  ``star`` is the star with the former bound."""
+    the revenue of each order and the RFM base.  ``star`` is the star with the former bound, and
+    with the tables ``derived`` written too (none are if the star was read from files)."""
 
-    def __init__(self, star: Star):
+    def __init__(self, star: Star, derived: tuple[str, ...] = ()):
         spark = star.fact_orders.sparkSession
         self.star = Star({})
         for name, table in star.tables().items():
-            self.star.bind(name, table)
+            self.star.bind(name, self._written(spark, table, name) if name in derived else table)
         self.star.order_revenue = self._written(spark, order_revenue(star), "order-revenue")
         self.rfm = self._written(spark, rfm_base(self.star), "rfm-base")
 

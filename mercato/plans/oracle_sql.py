@@ -682,7 +682,7 @@ FROM vw_sales_ WHERE order_date BETWEEN DATE '1994-03-15' AND DATE '1995-02-10'"
 # the first eight hex digits of each value's MD5.
 _X = "CAST(COLUMNS(*) AS VARCHAR)"
 _HASH = f"""CAST('0x' || substr(md5(CASE WHEN {_X} IS NULL THEN '~'
-    WHEN TRY_CAST({_X} AS DOUBLE) BETWEEN -1e15 AND 1e15 THEN CAST(CAST(round(TRY_CAST({_X} AS DOUBLE) * 10000) AS HUGEINT) AS VARCHAR)
+    WHEN TRY_CAST({_X} AS DOUBLE) BETWEEN -1e14 AND 1e14 THEN CAST(CAST(round(TRY_CAST({_X} AS DOUBLE) * 10000) AS HUGEINT) AS VARCHAR)
     WHEN length({_X}) >= 10 AND TRY_CAST({_X} AS TIMESTAMP) IS NOT NULL THEN strftime(TRY_CAST({_X} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')
     ELSE {_X} END), 1, 8) AS BIGINT)"""
 

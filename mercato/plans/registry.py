@@ -311,11 +311,11 @@ def q_stage_all(spark, sf_dir):
 
 def _results(star: star_ops.Star, stg_reviews: DataFrame) -> dict[str, DataFrame]:
     """The results of all business queries; order revenue and the RFM base are built once."""
-    base = analysis.SharedBase(star)
-    results = {name: fn(base.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
-    results |= {name: getattr(analysis, name)(star, base=base.rfm) for name in ("rfm_scores", "rfm_segment_share")}
+    base = analysis.SharedBase(star, derived=("fact_orders", "order_reviews"))
+    ranked = ("rfm_scores", "rfm_segment_share")
+    results = {name: fn(base.star, base=base.rfm) if name in ranked else fn(base.star) for name, fn in analysis.ANALYSIS_QUERIES.items()}
     results["duplicate_review_orders"] = analysis.duplicate_review_orders(stg_reviews)
-    results["temporal_violations"] = analysis.temporal_violations(star)
+    results["temporal_violations"] = analysis.temporal_violations(base.star)
     return results
 
 
