@@ -183,7 +183,7 @@ def q_kpi_revenue_published(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- views, pivots, KPIs, EDA
-from ..operators import eda, marts  # noqa: E402
+from ..operators import eda, marts, slicer_cube  # noqa: E402
 
 for _name, _fn in marts.VIEWS.items():
     register(_name)(_analysis(_fn))
@@ -208,6 +208,18 @@ register("kpi_revenue_sliced")(lambda spark, d: marts.kpi_revenue(marts.apply_sl
     _sales(spark, d), start="1995-01-01", end="1996-12-31", categories=["budget", "large_goods"])))
 register("kpi_revenue_by_slicer")(lambda spark, d: marts.kpi_revenue_by_slicer(_sales(spark, d)))
 
+@register("kpi_any_slice")
+def q_kpi_any_slice(spark, sf_dir):
+    """Three different selections, all answered from one written cube of bitmaps."""
+    path = scratch_path(spark, f"cube-{uuid.uuid4().hex}")
+    slicer_cube.write_cube(_sales(spark, sf_dir), path)
+    selections = {"all": {}, "range": {"first": "1993-02", "last": "1994-11", "categories": ["budget", "large_goods", "unknown"]},
+                  "states": {"states": ["NATION_1", "NATION_3", "NATION_7"], "first": "1995-01"}}
+    found = [slicer_cube.select_kpis(slicer_cube.read_cube(spark, path), **chosen).select(F.lit(name).alias("selection"), "*")
+             for name, chosen in selections.items()]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 for _name in ("daily_order_volume", "daily_order_head_tail", "gap_days", "nulls_by_status",
               "category_item_counts", "state_person_counts", "delivery_days_summary",
               "delivery_days_histogram"):
