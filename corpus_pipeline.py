@@ -19,6 +19,7 @@ from mercato.llm.tables import written
 #: has fewer than 13 of 32 collisions with probability below 1e-6.
 NEAR = {"similar": (4, 5), "t": 13}
 
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -51,8 +52,8 @@ STAGES = [
     ("sharding", deal_shards),
 ]
 
-#: Toxicity and sharding are iterative, so SQL can't state run()'s rows; tests/llm compare
-#: every stage with a brute-force version.
+#: Toxicity and sharding are iterative, so SQL can't state run()'s rows.  tests/llm test the
+#: stages' operators; the filters' whole rows are compared in test_rows_decide.
 ORACLE_SQL = None
 
 
