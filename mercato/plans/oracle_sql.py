@@ -643,6 +643,25 @@ SELECT w_.series_id, day, orders, round(base, 9) AS baseline_avg,
        round(CAST(orders AS DOUBLE) / NULLIF(base, 0), 9) AS lift,
        CAST(date_diff('day', day, first_test) AS BIGINT) AS days_before_first_fold
 FROM w_ LEFT JOIN ff_ USING (series_id)""")
+_q("series_by_state", _SERIES + """,
+placed_ AS (SELECT c.customer_state AS series_id, CAST(o.order_purchase_timestamp AS DATE) AS day, count(*) AS n
+            FROM fact_orders o JOIN dim_customers c USING (customer_id) GROUP BY 1, 2),
+state_day_ AS (
+    SELECT k.series_id, sd_.day, coalesce(p.n, 0) AS orders
+    FROM (SELECT DISTINCT series_id FROM placed_) k CROSS JOIN sd_
+    LEFT JOIN placed_ p ON p.series_id IS NOT DISTINCT FROM k.series_id AND p.day = sd_.day),
+state_lift_ AS (
+    SELECT *, CASE WHEN sum(orders) OVER before > 0
+                   THEN orders * count(*) OVER before / CAST(sum(orders) OVER before AS DOUBLE) END AS lift,
+           row_number() OVER (PARTITION BY series_id ORDER BY day DESC) AS from_end
+    FROM state_day_
+    WINDOW before AS (PARTITION BY series_id ORDER BY day ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)),
+top_ AS (SELECT series_id, max(lift) AS lift FROM state_lift_ GROUP BY 1)
+""", """
+SELECT s.series_id, count(*) AS days, CAST(sum(orders) AS BIGINT) AS orders, count(*) FILTER (WHERE orders = 0) AS gap_days,
+       round(max(s.lift), 9) AS max_lift, min(day) FILTER (WHERE s.lift = t.lift) AS max_lift_day,
+       CAST(4 * sum(orders) FILTER (WHERE from_end <= 7) AS BIGINT) AS forecast_total
+FROM state_lift_ s JOIN top_ t ON t.series_id IS NOT DISTINCT FROM s.series_id GROUP BY s.series_id""")
 _q("seasonal_naive_backtest", _SERIES, """
 SELECT series_id, fold, min(day) AS test_start, max(day) AS test_end,
        sum(abs(actual - forecast)) / NULLIF(sum(abs(actual)), 0) AS wape,

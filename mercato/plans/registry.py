@@ -242,7 +242,7 @@ def q_mann_whitney_pvalue(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- forecasting
-from ..operators import forecast  # noqa: E402
+from ..operators import forecast, packed_series  # noqa: E402
 
 
 def _series(spark, sf_dir):
@@ -254,6 +254,12 @@ def q_daily_series(spark, sf_dir):
     return _series(spark, sf_dir)
 
 
+@register("series_by_state")
+def q_series_by_state(spark, sf_dir):
+    """N02, N14, N15, N16c for each state, from one packed row a state."""
+    return packed_series.series_summary(packed_series.packed_series(_model(spark, sf_dir).star, "customer_state"))
+
+
 @register("walk_forward_folds")
 def q_walk_forward_folds(spark, sf_dir):
     return forecast.walk_forward_folds(_series(spark, sf_dir))
