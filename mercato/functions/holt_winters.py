@@ -44,7 +44,7 @@ def fit(y: np.ndarray, m: int = 7) -> tuple[float, float, float]:
     centre = np.array([0.5, 0.5, 0.5])
     half = 0.5
     for _ in range(3):
-        axis = [np.clip(np.linspace(c - half, c + half, 7), 0.0, 1.0) for c in centre]
+        axis = [np.clip(c + half * (np.arange(7) - 3) / 3, 0.0, 1.0) for c in centre]
         grid = np.array(np.meshgrid(*axis, indexing="ij")).reshape(3, -1).T
         grid = np.unique(grid, axis=0)
         centre = grid[int(np.argmin(_sse(y, m, grid)))]

@@ -134,6 +134,9 @@ def holt_winters_predictions(series: DataFrame, folds: DataFrame, horizon: int =
     train = (series.join(f, "series_id")
              .filter(F.col("day_index") < F.col("test_start_idx"))
              .select("series_id", "fold", "day_index", F.col("orders").cast("double").alias("orders")))
+    # a fit is much work on few bytes: a stated number of tasks, as AQE would put all groups into one
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    train = train.repartition(tasks, "series_id", "fold")
     return train.groupBy("series_id", "fold").applyInPandas(_hw_group(horizon), _HW_SCHEMA)
 
 

@@ -30,6 +30,12 @@ def packed_series(star: Star, by: str) -> DataFrame:
                     F.transform(days, lambda d: F.coalesce(F.try_element_at(F.col("counts"), d), F.lit(0).cast("long"))).alias("orders")))
 
 
+def unpacked(packed: DataFrame) -> DataFrame:
+    """One row a day, as ``forecast.daily_series`` has them: no join of days with keys."""
+    return packed.select("series_id", "first_day", F.posexplode("orders").alias("day_index", "orders")).select(
+        "series_id", F.date_add("first_day", F.col("day_index")).alias("day"), "day_index", "orders")
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
 

@@ -9,6 +9,7 @@ Key lists, thresholds and the rounding rule are written out here, not taken from
 
 from __future__ import annotations
 
+from . import oracle_forecast
 from .oracle_binding import with_binding
 
 
@@ -672,6 +673,8 @@ _q("forecast_total_seasonal_naive", _SERIES, """
 SELECT series_id, sum(forecast) AS forecast_total, sum(lower) AS sum_of_daily_lower,
        sum(upper) AS sum_of_daily_upper
 FROM snf_ GROUP BY series_id""")
+for _k, (_ctes, _select) in oracle_forecast.statements(_SERIES).items():
+    _q(_k, _ctes, _select)
 
 
 def _selection(name: str, condition: str) -> str:

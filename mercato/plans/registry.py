@@ -292,20 +292,32 @@ def _backtest(spark, sf_dir):
     return forecast.Backtest(_series(spark, sf_dir))
 
 
+def _six_places(df: DataFrame) -> DataFrame:
+    """Doubles to six places: sums of fitted values differ in the last bits with their order."""
+    return df.select(*(F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name for f in df.schema))
+
+
 register("holt_winters_backtest")(
-    lambda spark, d: forecast.fold_metrics(_backtest(spark, d).hw_preds, forecast.HW))
-register("backtest_table")(lambda spark, d: _backtest(spark, d).table())
-register("model_selection")(lambda spark, d: _backtest(spark, d).selection())
-register("forecast_28d")(lambda spark, d: _backtest(spark, d).forecast())
-register("forecast_total")(lambda spark, d: forecast.forecast_total(_backtest(spark, d).forecast()))
-register("monitor_thresholds")(lambda spark, d: _backtest(spark, d).thresholds())
+    lambda spark, d: _six_places(forecast.fold_metrics(_backtest(spark, d).hw_preds, forecast.HW)))
+register("backtest_table")(lambda spark, d: _six_places(_backtest(spark, d).table()))
+register("model_selection")(lambda spark, d: _six_places(_backtest(spark, d).selection()))
+register("forecast_28d")(lambda spark, d: _six_places(_backtest(spark, d).forecast()))
+register("forecast_total")(lambda spark, d: _six_places(forecast.forecast_total(_backtest(spark, d).forecast())))
+register("monitor_thresholds")(lambda spark, d: _six_places(_backtest(spark, d).thresholds()))
+
+
+@register("model_selection_by_state")
+def q_model_selection_by_state(spark, sf_dir):
+    """N16g per customer state: each state's own folds, fits and winner, from packed series."""
+    days = packed_series.unpacked(packed_series.packed_series(_model(spark, sf_dir).star, "customer_state"))
+    return _six_places(forecast.Backtest(days).selection())
 
 
 @register("recent_actuals_plus_forecast")
 def q_recent_actuals_plus_forecast(spark, sf_dir):
     m = _model(spark, sf_dir)
     bt = forecast.Backtest(forecast.daily_series(m.star))
-    return marts.recent_actuals_plus_forecast(marts.vw_daily_orders(m.star), bt.forecast())
+    return _six_places(marts.recent_actuals_plus_forecast(marts.vw_daily_orders(m.star), bt.forecast()))
 
 
 # ---------------------------------------------------------------- sources and run-all

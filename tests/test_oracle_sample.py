@@ -34,7 +34,8 @@ def con():
 
 
 @pytest.mark.parametrize("name", ["monthly_revenue_mom", "rfm_scores", "dq_gate", "pivot_category_month",
-                                  "mann_whitney_u", "forecast_seasonal_naive", "cohort_pct_matrix"])
+                                  "mann_whitney_u", "forecast_seasonal_naive", "cohort_pct_matrix",
+                                  "model_selection", "published_forecast"])
 def test_matches_duckdb(spark, con, name):
     df = entry.queries()[name](spark, SMOKE)
     res = con.execute(entry.oracle_sql()[name])

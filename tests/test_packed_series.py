@@ -20,6 +20,8 @@ def test_series_of_keys(spark):
     star.bind("dim_customers", spark.createDataFrame([(f"c{i}", [None, "SP", "RJ"][i % 3]) for i in range(10)], "customer_id string, customer_state string"))
     rows = ps.packed_series(star, "customer_state").withColumns({"lift": ps.lifts(), "naive": ps.naive_forecast()})
     got = {r["series_id"]: r for r in rows.collect()}
+    days = {(r["series_id"], r["day"], r["day_index"], r["orders"]) for r in ps.unpacked(ps.packed_series(star, "customer_state")).collect()}
+    assert days == {(k, first + dt.timedelta(i), i, n) for k, r in got.items() for i, n in enumerate(r["orders"])}
     assert set(got) == {None, "SP", "RJ"}
     for key, r in got.items():
         want = [0] * 60

@@ -1,3 +1,4 @@
+import functools
 import math
 import random
 
@@ -77,3 +78,21 @@ def test_backtest_frames(spark):
     assert sel.winner in (fc.SN, fc.HW)
     out = bt.forecast().collect()
     assert len(out) == 28 and all(r.lower <= r.forecast <= r.upper and r.lower >= 0 for r in out)
+
+
+def test_many_series_are_fitted_as_each_alone(spark):
+    rnd = random.Random(8)
+    values = {"a": [30 + 9 * (i % 7 == 2) + i // 20 + rnd.randint(0, 3) for i in range(230)],
+              "b": [rnd.randint(0, 40) for _ in range(230)], "c": [0] * 230}
+    both = functools.reduce(lambda x, y: x.unionByName(y), (_series(spark, v).withColumn("series_id", F.lit(k)) for k, v in values.items()))
+    bt = fc.Backtest(both)
+    got = {}
+    for r in sorted(bt.hw_all.collect(), key=lambda r: r.step):
+        got.setdefault((r.series_id, r.fold), []).append(r.forecast)
+    for k, v in values.items():
+        for fold in range(7):
+            train = v if fold == 0 else v[: 230 - (7 - fold) * 28]
+            assert np.allclose(got[k, fold], holt_winters.forecast(np.array(train, float), 28), atol=1e-9)
+    rows = {r.series_id: r for r in bt.selection().collect()}
+    assert rows["a"].winner == fc.HW  # level, trend and season are there
+    assert rows["c"].winner == fc.SN and rows["c"].mean_wape_holt_winters is None  # nothing to divide by
