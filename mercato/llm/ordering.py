@@ -1,29 +1,34 @@
 """Token ids in training order, as fixed-stride binary shards.
 
 Texts become token ids, cut into sequences of LENGTH (the last one of a text padded).  The
-sequences are numbered through all partitions, and a keyed Feistel permutation, walked along
-its cycles until it falls into range, gives each number a slot in 0 .. N-1: a random order
-that needs no shuffle buffer, has no ties and is known from key and N alone.  A shard is a
-range of PER_SHARD slots; each shard's records go to one task, are sorted by slot and written
-by Spark's text writer as records of one size (the separator is the record's last byte), so
-slot s is at byte (s mod PER_SHARD) * stride of shard s div PER_SHARD.  A reader can start
-or resume at any slot and read on in order.
-
-Texts are tokenised once, into a table of token bytes in the shared folder, where each row
-holds its place among the sequences of its task; a sum per task then gives every sequence its
-number.  Slots that would be missing or double are found when reading (gapless slots,
-checksums).
+sequences are numbered by (doc_id, MD5 of the text, place in the text), which no split of the
+input can change, and a keyed Feistel permutation, walked along its cycles until it falls into
+range, gives each number a slot in 0 .. N-1: a random order that needs no shuffle buffer, has
+no ties and is known from key and N alone.  A shard is a range of PER_SHARD slots; a task gets
+a range of whole shards, sorts their records by slot and writes them by Spark's text writer as
+records of one size (the separator is the record's last byte), so slot s is at byte
+(s mod PER_SHARD) * stride of shard s div PER_SHARD.  A reader can start or resume at any slot
+and read on in order.
+
+Texts are tokenised once, into a scratch table of token bytes, bucketed by the task that wrote
+a row, so that tokens are not shuffled to be numbered: only (doc_id, MD5, sequences) are put
+in order, the first numbers of a task's texts come back as one array a task, and the join with
+the table finds its side in place.  The table is removed after the shards are written.  Slots
+that would be missing or double are found when reading (gapless slots, checksums).
 
 Record: doc_id, int64 (the least int64: none) | number of the sequence in its text, uint32 |
 tokens in it, uint32 | crc32 of the id bytes, uint32 | LENGTH ids, uint16 | newline.
 
 Defined results: null and empty texts have no sequences; repeated rows have sequences of
-their own; an empty table writes no shards and reads as no rows.
+their own (the order among equal rows makes no difference); rows without an id come first; a
+very long text has as many sequences as it needs, and is encoded and cut in one task; an empty
+table writes no shards and reads as no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -33,8 +38,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
-from .tables import written
+from ..functions.ranking import global_cumsum
+from ..session import ensure_checkpoint_dir, remove_path, ship_package
+from .tables import folder
 from .tokens import END, load, pieces_of
 from .words import mix, pieces
 
@@ -42,6 +48,10 @@ LENGTH = 512
 PER_SHARD = 4096
 KEY = 20240501
 ROUNDS = 6
+#: Bytes of records that a writing task gets, about.
+TASK_BYTES = 64 << 20
+#: Buckets of the token table at most (Spark's own limit); beyond it a bucket holds several tasks' rows.
+MAX_BUCKETS = 100_000
 _NONE = -(1 << 63)
 _HEAD = np.dtype([("doc_id", "<i8"), ("number", "<u4"), ("n", "<u4"), ("crc", "<u4")])
 
@@ -69,27 +79,30 @@ def permute(index: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int) -> Iterator[pa.RecordBatch]:
-    """Texts as token bytes: the task, the text's first sequence in it, sequences, id, tokens."""
+    """Texts with tokens, as token bytes: the task, the row in it from 1, id, MD5, sequences, tokens."""
     coder, part, at = pieces_of(vocabulary), TaskContext.get().partitionId(), 0
     for batch in batches:
-        for row, texts in pieces(batch.column(1)):
+        for row, texts in pieces(batch.column(2)):
             tokens = [coder.encode(text) if text else b"" for text in texts.to_pylist()]
             n = -(-np.array([len(x) // 2 for x in tokens], np.int64) // length)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), part, np.int32)), pa.array(at + np.cumsum(n) - n), pa.array(n),
-                 batch.column(0).slice(row, len(texts)), pa.array(tokens, pa.binary())], ["part", "at", "n", "id", "tokens"])
-            at += int(n.sum())
+            some = pa.array(n > 0)
+            made = pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)), pa.array(n), pa.array(tokens, pa.binary())],
+                ["id", "hash", "n", "tokens"]).filter(some)
+            count = len(made)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(count, part, np.int32)), pa.array(at + np.arange(1, count + 1, dtype=np.int64)),
+                                              *made.columns], ["part", "row", *made.schema.names])
+            at += count
 
 
-def _records(batches: Iterator[pa.RecordBatch], length: int, starts: dict, total: int, key: int,
-             per_shard: int) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], length: int, total: int, key: int, per_shard: int) -> Iterator[pa.RecordBatch]:
     kind = record_type(length)
     for batch in batches:
         # rows in groups of about 1 MB of tokens, so that a task's memory is bounded
-        for row, group in pieces(batch.column(4)):
-            parts, ats, ids = (batch.column(c).slice(row, len(group)).to_pylist() for c in (0, 1, 3))
+        for row, group in pieces(batch.column(2)):
+            starts, ids = (batch.column(c).slice(row, len(group)).to_pylist() for c in (0, 1))
             made, numbers = [], []
-            for part, at, doc_id, raw in zip(parts, ats, ids, group.to_pylist()):
+            for start, doc_id, raw in zip(starts, ids, group.to_pylist()):
                 tokens = np.frombuffer(raw, "<u2")
                 count = -(-len(tokens) // length)
                 out = np.zeros(count, kind)
@@ -101,7 +114,7 @@ def _records(batches: Iterator[pa.RecordBatch], length: int, starts: dict, total
                 out["n"] = np.minimum(length, len(tokens) - np.arange(count) * length)
                 out["crc"] = [zlib.crc32(x.tobytes()) for x in out["ids"]]
                 made.append(out)
-                numbers.append(starts[part] + at + np.arange(count))
+                numbers.append(start + np.arange(count))
             out = np.concatenate(made)
             slots = permute(np.concatenate(numbers), total, key)
             size = kind.itemsize
@@ -111,6 +124,15 @@ def _records(batches: Iterator[pa.RecordBatch], length: int, starts: dict, total
             yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), lines], ["shard", "slot", "record"])
 
 
+def numbered(coded: DataFrame) -> DataFrame:
+    """Per task of the token table the first sequence number of each of its rows, as an array
+    in the order of the rows (a task's rows are bounded by its split of the input)."""
+    narrow = coded.select("part", "row", "id", "hash", "n")
+    upto = global_cumsum(narrow, [F.col(c).asc_nulls_first() for c in ("id", "hash", "part", "row")], F.col("n"), "upto")
+    first = F.struct("row", (F.col("upto") - F.col("n")).alias("start"))
+    return upto.groupBy("part").agg(F.sort_array(F.collect_list(first)).getField("start").alias("starts"))
+
+
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                  per_shard: int = PER_SHARD, key: int = KEY, vocabulary: bytes | None = None) -> int:
     """Write the shards below ``path`` (one file in each ``shard=K``); the number of sequences."""
@@ -118,16 +140,30 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     vocabulary = vocabulary or load()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    coded = written(texts.mapInArrow(functools.partial(_encode, vocabulary=vocabulary, length=length),
-                                     "part int, at long, n long, id long, tokens binary"), "tokens")
-    starts, total = {}, 0
-    for part, n in sorted(map(tuple, coded.groupBy("part").agg(F.sum("n")).collect())):  # a number per task
-        starts[part], total = total, total + n
-    records = (coded.where("n > 0").mapInArrow(functools.partial(_records, length=length, starts=starts, total=total, key=key,
-                                                                 per_shard=per_shard), "shard long, slot long, record binary"))
-    (records.repartition("shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
-     .write.partitionBy("shard").option("lineSep", "\n").text(path))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(F.col(text_col).cast("string"))).alias("hash"),
+                        F.col(text_col).cast("string").alias("text"))
+    name, place = f"tokens_{uuid.uuid4().hex}", folder(spark, "tokens")
+    coded = texts.mapInArrow(functools.partial(_encode, vocabulary=vocabulary, length=length),
+                             "part int, row long, id long, hash binary, n long, tokens binary")
+    # all rows of a task go to one bucket, so this write shuffles nothing and makes one file a task
+    (coded.write.bucketBy(max(1, min(MAX_BUCKETS, texts.rdd.getNumPartitions())), "part").option("path", place)
+     .option("compression", "zstd").format("parquet").saveAsTable(name))
+    try:
+        coded = spark.table(name)
+        total = coded.agg(F.sum("n")).first()[0] or 0
+        if total:
+            # the arrays are the side to build a table of, so that token rows stream past it unsorted
+            rows = coded.join(numbered(coded).hint("shuffle_hash"), "part").select(F.element_at("starts", F.col("row").cast("int")).alias("start"), "id", "tokens")
+            records = rows.mapInArrow(functools.partial(_records, length=length, total=total, key=key, per_shard=per_shard),
+                                      "shard long, slot long, record binary")
+            shards = -(-total // per_shard)
+            each = max(1, TASK_BYTES // (per_shard * record_type(length).itemsize))  # shards a task
+            ranges = records.repartitionById(-(-shards // each), F.expr(f"shard div {each}").cast("int"))
+            (ranges.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
+             .write.partitionBy("shard").option("lineSep", "\n").text(path))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        remove_path(spark, place)
     return total
 
 

@@ -1,11 +1,14 @@
 """op7, op3 and op9: exact round trips."""
 
+import hashlib
 import random
+import uuid
 import zlib
 
 import numpy as np
 import pytest
 from fixtures import corpus, frame, key, sentence
+from pyspark.sql import functions as F
 
 from mercato.llm import ordering, tables, tokencount, tokens, warc
 
@@ -163,3 +166,48 @@ def test_training_order(spark, coder):
     assert all(whole[r["slot"]] == tuple(r) for r in part)
     none = ordering.write_shards(frame(spark, []), tables.folder(spark, "t"))
     assert none == 0 and ordering.read_shards(spark, path, none).count() == 0
+
+
+def test_slots_do_not_depend_on_the_splits(spark, coder):
+    """The order, recomputed by hand, for the same rows in two, five and one partitions; repeated
+    rows, repeated ids and rows without an id included."""
+    def sequences(text):
+        ids = coder.coder.encode_ordinary(text) if text else []
+        return [tuple(ids[i: i + 64]) for i in range(0, len(ids), 64)]
+
+    rows = sorted(corpus(), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest()))
+    plain = [(r[0], number, ids) for r in rows for number, ids in enumerate(sequences(r[1]))]
+    slots = ordering.permute(np.arange(len(plain)), len(plain)).tolist()
+    want = {slot: x for slot, x in zip(slots, plain)}
+    for splits in (2, 5, 1):
+        path = tables.folder(spark, "t")
+        total = ordering.write_shards(frame(spark).repartition(splits), path, length=64, per_shard=100)
+        got = {r["slot"]: (r["doc_id"], r["number"], tuple(r["ids"][: r["n"]])) for r in
+               ordering.read_shards(spark, path, total, length=64, per_shard=100).collect()}
+        assert got == want
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tokens_")]
+
+
+def test_numbering_moves_no_tokens(spark):
+    """The token table is joined where it lies: only the narrow side is exchanged."""
+    name = f"tokens_{uuid.uuid4().hex}"
+    rows = spark.range(100, numPartitions=4).select(F.spark_partition_id().alias("part"), (F.col("id") % 25 + 1).alias("row"), "id",
+                                                    F.unhex(F.md5(F.col("id").cast("string"))).alias("hash"), F.lit(2).cast("long").alias("n"),
+                                                    F.unhex(F.lit("0a")).alias("tokens"))
+    rows.write.bucketBy(4, "part").option("path", tables.folder(spark, "t")).saveAsTable(name)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        coded = spark.table(name)
+        joined = coded.join(ordering.numbered(coded).hint("shuffle_hash"), "part").select(F.element_at("starts", F.col("row").cast("int")).alias("start"), "id", "tokens")
+        assert sorted(r["start"] for r in joined.collect()) == list(range(0, 200, 2))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        before = [x for x in plan.split("== Initial Plan ==")[0].splitlines()]
+        scan = next(i for i, x in enumerate(before) if "tokens#" in x and "FileScan" in x)
+        assert "SelectedBucketsCount: 4 out of 4" in before[scan]
+        depth = lambda x: len(x) - len(x.lstrip(" :|+-*0123456789()"))
+        above = [x for i, x in enumerate(before[:scan]) if depth(x) < depth(before[scan])]
+        assert above and not any("Exchange" in x for x in above)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql(f"DROP TABLE {name}")
