@@ -124,6 +124,13 @@ def _records(batches: Iterator[pa.RecordBatch], length: int, total: int, key: in
             yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), lines], ["shard", "slot", "record"])
 
 
+def buckets(spark: SparkSession, tasks: int) -> int:
+    """Buckets for a table written by so many tasks: not fewer than a shuffle has partitions, as
+    a join would then rather shuffle both sides than keep the table's buckets."""
+    shuffled = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return min(MAX_BUCKETS, max(tasks, int(shuffled)))
+
+
 def numbered(coded: DataFrame) -> DataFrame:
     """Per task of the token table the first sequence number of each of its rows, as an array
     in the order of the rows (a task's rows are bounded by its split of the input)."""
@@ -146,7 +153,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     coded = texts.mapInArrow(functools.partial(_encode, vocabulary=vocabulary, length=length),
                              "part int, row long, id long, hash binary, n long, tokens binary")
     # all rows of a task go to one bucket, so this write shuffles nothing and makes one file a task
-    (coded.write.bucketBy(max(1, min(MAX_BUCKETS, texts.rdd.getNumPartitions())), "part").option("path", place)
+    (coded.write.bucketBy(buckets(spark, texts.rdd.getNumPartitions()), "part").option("path", place)
      .option("compression", "zstd").format("parquet").saveAsTable(name))
     try:
         coded = spark.table(name)
