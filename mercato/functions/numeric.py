@@ -41,20 +41,3 @@ def half_up_div(num: Column, den: Column, scale: int = 2) -> Column:
 def pct(num: Column, den: Column, scale: int = 2) -> Column:
     """round(100 * num / den, scale) for integral-valued columns."""
     return half_up_div(num.cast(_INT) * F.lit(100), den, scale)
-
-
-def sql_half_up_div(num: str, den: str, scale: int = 2) -> str:
-    """The same rounding as a DuckDB SQL expression (used by the oracle)."""
-    n = f"CAST({num} AS HUGEINT)"
-    d = f"NULLIF(CAST({den} AS HUGEINT), 0)"
-    q = f"((2 * abs({n}) * {10 ** scale} + abs({d})) // (2 * abs({d})))"
-    sign = f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END)"
-    return f"(CAST({q} * {sign} AS DOUBLE) / {float(10 ** scale)})"
-
-
-def sql_pct(num: str, den: str, scale: int = 2) -> str:
-    return sql_half_up_div(f"(CAST({num} AS HUGEINT) * 100)", den, scale)
-
-
-def sql_unscaled(col: str, scale: int = 2) -> str:
-    return f"CAST({col} * {10 ** scale} AS HUGEINT)"

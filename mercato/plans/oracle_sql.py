@@ -10,16 +10,7 @@ Key lists, thresholds and the rounding rule are written out here, not taken from
 from __future__ import annotations
 
 from . import oracle_forecast
-from .oracle_binding import with_binding
-
-
-def hud(num: str, den: str, digits: int = 2) -> str:
-    """num / den to ``digits`` places in whole numbers: the quotient goes up by one when twice
-    the remainder reaches the divisor (halves away from zero).  NULL for den 0."""
-    top, low = f"(CAST({num} AS HUGEINT) * {10 ** digits})", f"CAST({den} AS HUGEINT)"
-    up = f"CAST(2 * (abs({top}) % abs({low})) >= abs({low}) AS INTEGER)"
-    whole = f"(abs({top}) // abs({low}) + {up}) * sign({top}) * sign({low})"
-    return f"(CASE WHEN {low} <> 0 THEN CAST({whole} AS DOUBLE) / {float(10 ** digits)} END)"
+from .oracle_binding import hud, with_binding
 
 
 def pct(num: str, den: str, digits: int = 2) -> str:
@@ -156,16 +147,16 @@ FROM done_ GROUP BY ym""")
 _q("late_pct_by_state", _BASE, f"""
 SELECT state, count(*) AS delivered_orders, CAST(count_if(is_late) AS BIGINT) AS late_orders,
        {pct('count_if(is_late)', 'count(*)')} AS late_pct
-FROM buyer_ GROUP BY state HAVING count(*) > 29""")
+FROM buyer_ GROUP BY state HAVING count(*) >= 30""")
 
 #: Delivered orders of known lateness with their review's score.
 _SCORED = _BASE + """,
 scored_ AS (SELECT d.is_late, r.review_score AS score FROM order_reviews r JOIN done_ d ON d.order_id = r.order_id
-            WHERE d.is_late IN (TRUE, FALSE))
+            WHERE d.is_late IS NOT NULL)
 """
 _q("late_vs_review", _SCORED, f"""
 SELECT is_late, count(*) AS reviewed_orders, {hud('sum(score)', 'count(score)', 2)} AS avg_review_score,
-       CAST(median(score) AS DOUBLE) AS median_review_score, {pct('count_if(score < 3)', 'count(*)')} AS pct_1_2_star
+       CAST(median(score) AS DOUBLE) AS median_review_score, {pct('count_if(score <= 2)', 'count(*)')} AS pct_1_2_star
 FROM scored_ GROUP BY is_late""")
 
 #: Each person's list of active months; its least is the cohort, distances to it the offsets.
@@ -230,14 +221,15 @@ SELECT CAST(count_if(nth = 2) AS BIGINT) AS orders_with_multiple_reviews
 FROM (SELECT row_number() OVER (PARTITION BY order_id) AS nth FROM stg_order_reviews)""")
 
 _q("temporal_violations", "", """
-SELECT CAST(count_if(date_diff('microsecond', order_delivered_carrier_date, order_approved_at) > 0) AS BIGINT) AS carrier_before_approved,
-       CAST(count_if(date_diff('microsecond', order_delivered_customer_date, order_delivered_carrier_date) > 0) AS BIGINT) AS customer_before_carrier,
+SELECT CAST(count_if(order_delivered_carrier_date < order_approved_at) AS BIGINT) AS carrier_before_approved,
+       CAST(count_if(order_delivered_customer_date < order_delivered_carrier_date) AS BIGINT) AS customer_before_carrier,
        count(order_delivered_customer_date) FILTER (WHERE order_status = 'canceled') AS canceled_with_delivery_date
 FROM fact_orders""")
 
 # ---------------------------------------------------------------- data quality
-#: Rules of the checks, as SURVEY states them.
-_STG = ("orders order_items order_payments order_reviews products product_category_translation sellers customers geolocation").split()
+#: The staging tables, keys, parents, limits and column types of the checks, as SURVEY states them.
+_STG = ["orders", "order_items", "order_payments", "order_reviews", "products", "product_category_translation", "sellers",
+        "customers", "geolocation"]
 _KEYS = {"orders": "order_id", "order_items": "order_id, order_item_id", "customers": "customer_id",
          "products": "product_id", "sellers": "seller_id"}
 _PARENTS = [("order_items.order_id", "orders"), ("order_items.product_id", "products"), ("order_items.seller_id", "sellers"),
@@ -253,11 +245,11 @@ _CASTS = {
     "int": ["products.product_name_lenght", "products.product_description_lenght", "products.product_photos_qty",
             "order_items.order_item_id", "order_payments.payment_sequential", "order_payments.payment_installments",
             "order_reviews.review_score"],
-    "decimal(18,4)": [f"products.product_{x}" for x in ("weight_g", "length_cm", "height_cm", "width_cm")],
+    "decimal(18,4)": ["products.product_weight_g", "products.product_length_cm", "products.product_height_cm", "products.product_width_cm"],
     "decimal(18,2)": ["order_items.price", "order_items.freight_value", "order_payments.payment_value"],
     "decimal(24,16)": ["geolocation.geolocation_lat", "geolocation.geolocation_lng"],
-    "timestamp_ntz": [*(f"orders.order_{x}" for x in ("purchase_timestamp", "approved_at", "delivered_carrier_date",
-                                                      "delivered_customer_date", "estimated_delivery_date")),
+    "timestamp_ntz": ["orders.order_purchase_timestamp", "orders.order_approved_at", "orders.order_delivered_carrier_date",
+                      "orders.order_delivered_customer_date", "orders.order_estimated_delivery_date",
                       "order_items.shipping_limit_date", "order_reviews.review_creation_date",
                       "order_reviews.review_answer_timestamp"],
 }
@@ -490,19 +482,28 @@ bounds_ AS (SELECT CAST(min(order_purchase_timestamp) AS DATE) AS s, CAST(max(or
 spine_ AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS calendar_day FROM bounds_),
 days_ AS (SELECT DISTINCT CAST(order_purchase_timestamp AS DATE) AS d FROM fact_orders)
 """, "SELECT calendar_day FROM spine_ LEFT JOIN days_ ON calendar_day = d WHERE d IS NULL")
-_q("nulls_by_status", "", """
-SELECT order_status, COUNT(*) AS orders,
-       COUNT(*) FILTER (WHERE order_approved_at IS NULL) AS null_approved_at,
-       COUNT(*) FILTER (WHERE order_delivered_carrier_date IS NULL) AS null_delivered_carrier,
-       COUNT(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS null_delivered_customer
-FROM fact_orders GROUP BY order_status""")
-_q("category_item_counts", "", """
-SELECT COALESCE(p.product_category_name_english, 'unknown') AS category, COUNT(*) AS items
-FROM fact_order_items oi JOIN dim_products p USING (product_id)
-GROUP BY 1 ORDER BY items DESC NULLS FIRST, category ASC NULLS LAST LIMIT 15""")
-_q("state_person_counts", "", """
-SELECT customer_state, COUNT(DISTINCT customer_unique_id) AS customers
-FROM dim_customers GROUP BY 1 ORDER BY customers DESC NULLS FIRST, customer_state ASC NULLS LAST LIMIT 10""")
+#: A time is missing where it is not counted.
+_q("nulls_by_status", """
+present_ AS (
+    SELECT order_status, count(*) AS orders, count(order_approved_at) AS approved,
+           count(order_delivered_carrier_date) AS carried, count(order_delivered_customer_date) AS delivered
+    FROM fact_orders GROUP BY order_status)
+""", """
+SELECT order_status, orders, orders - approved AS null_approved_at, orders - carried AS null_delivered_carrier,
+       orders - delivered AS null_delivered_customer
+FROM present_""")
+#: Lines are counted per product, products then per name; the 15 first places by count, then name.
+_q("category_item_counts", """
+sold_ AS (SELECT product_id, count(*) AS n FROM fact_order_items GROUP BY product_id),
+named_ AS (
+    SELECT ifnull(product_category_name_english, 'unknown') AS category, CAST(sum(n) AS BIGINT) AS items
+    FROM sold_ JOIN dim_products USING (product_id) GROUP BY category)
+""", "SELECT category, items FROM named_ QUALIFY row_number() OVER (ORDER BY items DESC, category) <= 15")
+#: Persons are made distinct per state first; the 10 first places by count, then state.
+_q("state_person_counts", """
+resident_ AS (SELECT DISTINCT customer_state, customer_unique_id FROM dim_customers WHERE customer_unique_id IS NOT NULL),
+people_ AS (SELECT customer_state, count(*) AS customers FROM resident_ GROUP BY customer_state)
+""", "SELECT customer_state, customers FROM people_ QUALIFY row_number() OVER (ORDER BY customers DESC, customer_state) <= 10")
 
 
 def _describe_sql(col: str) -> str:
@@ -556,7 +557,7 @@ FROM seg_ GROUP BY segment""")
 _q("late_review_describe", _SCORED, f"SELECT is_late, {_describe_sql('score')} FROM scored_ GROUP BY is_late")
 _q("review_effect_size", _SCORED, f"""
 SELECT is_late, count(*) AS n, {hud('sum(score)', 'count(score)', 3)} AS mean, round(CAST(median(score) AS DOUBLE), 3) AS median,
-       {pct('count_if(score < 3)', 'count(*)')} AS pct_1_2_star
+       {pct('count_if(score <= 2)', 'count(*)')} AS pct_1_2_star
 FROM scored_ GROUP BY is_late""")
 _U_CTES = _SCORED + """,
 c_ AS (SELECT score AS v, count(*) FILTER (WHERE is_late) AS n1,
@@ -581,7 +582,7 @@ FROM v_"""
 _q("mann_whitney_u", _U_CTES, _U_SELECT)
 
 #: The published Chebyshev fit of erfc, highest power first.
-_FIT = "0.17087277 -0.82215223 1.48851587 -1.13520398 0.27886807 -0.18628806 0.09678418 0.37409196 1.00002368 -1.26551223".split()
+_FIT = [0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223]
 _POLY = "CAST(0 AS DOUBLE)"
 for _c in _FIT:
     _POLY = f"({_POLY} * t + CAST({_c} AS DOUBLE))"
