@@ -53,7 +53,7 @@ STAGES = [
 ]
 
 #: Toxicity and sharding are iterative, so SQL can't state run()'s rows.  tests/llm test the
-#: stages' operators; the filters' whole rows are compared in test_rows_decide.
+#: stages' operators and filters, and run() against its stages on whole tables (test_pipeline_run).
 ORACLE_SQL = None
 
 
