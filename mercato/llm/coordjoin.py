@@ -14,10 +14,11 @@ below 1e-6 (tests/llm compute it); pairs above it less.  The similarity and T ar
 that belong together: 0.8 has the same bound with T = 13.
 
 Groups: equal shingle sets are one class, counted and labelled once.  Within a list, sets
-are first compared to one leader each (no list makes more rows than it has members), and
-sets found in one component are not compared again.  Only then, the exact rest: in lists
-that still hold several components, all pairs across components that collide T times and
-whose rare shingles agree as often as those of similar sets must.
+are first compared to one leader each (no list makes more rows than it has members): the one
+whose shingles most other sets have too, which of a text's near copies is the text itself, or
+the one nearest to it.  Sets found in one component are not compared again.  Only then, the
+exact rest: in lists that still hold several components, all pairs across components that
+collide T times and whose rare shingles agree as often as those of similar sets must.
 
 Defined results: a null or wordless text has an empty set (n_shingles 0) and is linked with
 nothing; a text of fewer words than a shingle has its whole word sequence as its one
@@ -134,42 +135,48 @@ class CoordinateJoin:
                              F.first("sig").alias("sig")).checkpoint())
 
     def candidates(self) -> DataFrame:
-        """(v, id, n, d1, d2, sig, prefix) of the sets with at least t shared values."""
+        """(v, least_id, n, d1, d2, sig, prefix, top) of the sets with at least t shared values; top
+        is the value that most other sets post."""
         posts = self.classes.select("v", F.explode("sig").alias("key"))
         lists = posts.groupBy("key").count().where("count > 1").checkpoint()
         ordered = (posts.join(lists, "key").groupBy("v")
                    .agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("shared"))
                    .where(F.size("shared") >= self.t))
-        prefix = ordered.select("v", F.slice(F.col("shared.key"), F.lit(1), F.size("shared") - (self.t - 1)).alias("prefix"))
+        prefix = ordered.select("v", F.slice(F.col("shared.key"), F.lit(1), F.size("shared") - (self.t - 1)).alias("prefix"),
+                                F.element_at("shared.key", -1).alias("top"))
         return self.classes.join(prefix, "v").checkpoint()
 
-    def _leaders(self, posts: DataFrame, turn: int) -> DataFrame:
-        """(a, b): each member of a list with the list's leader, where their roots differ."""
-        lead = posts.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "key", "v").alias("r"), "v", "root")).alias("l"),
+    def _leaders(self, posts: DataFrame) -> DataFrame:
+        """(a, b): each member of a list with the list's leader, where their roots differ and their
+        sizes allow the similarity."""
+        num, den = self.similar
+        lead = posts.groupBy("key").agg(F.min(F.struct("alone", "v", "root", "n")).alias("l"),
                                         F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        lead = lead.select("key", F.col("l.v").alias("lv"), F.col("l.root").alias("lroot")).checkpoint()
-        return posts.join(lead, "key").where("root <> lroot").select(
-            F.least("v", "lv").alias("a"), F.greatest("v", "lv").alias("b"))
+        lead = lead.select("key", F.col("l.v").alias("lv"), F.col("l.root").alias("lroot"), F.col("l.n").alias("ln")).checkpoint()
+        return (posts.join(lead, "key").where("root <> lroot")
+                .where(f"least(n, ln) * {den} >= greatest(n, ln) * {num}")
+                .select(F.least("v", "lv").alias("a"), F.greatest("v", "lv").alias("b")))
 
     def _rare(self, sets: DataFrame) -> DataFrame:
-        """(v, rare): of a set's n shingles, ordered by how many of ``sets`` have them, the first
-        n - ceil(s n) + 1 that others have too.  Two sets of the asked similarity s share one of
-        them; a set without any is similar to no other and has no row."""
+        """(v, rare, alone).  rare: of a set's n shingles, ordered by how many of ``sets`` have them,
+        the first n - ceil(s n) + 1 that others have too.  Two sets of the asked similarity s share
+        one of them; a set without any is similar to no other and has no row.  alone: the mean of
+        1 / count over its shingles, 1 where no other set has any."""
         num, den = self.similar
         each = sets.select("v", F.explode("values").alias("x"))
         ranked = (each.join(each.groupBy("x").count(), "x").groupBy("v")
                   .agg(F.sort_array(F.collect_list(F.struct("count", "x"))).alias("all")))
         first = F.slice("all", F.lit(1), F.size("all") - F.ceil(F.size("all") * F.lit(num) / F.lit(den)).cast("int") + 1)
-        return (ranked.select("v", F.transform(F.filter(first, lambda s: s["count"] > 1), lambda s: s["x"]).alias("rare"))
-                .where(F.size("rare") > 0))
+        alone = F.aggregate("all", F.lit(0.0), lambda total, s: total + 1 / s["count"]) / F.size("all")
+        return (ranked.select("v", F.transform(F.filter(first, lambda s: s["count"] > 1), lambda s: s["x"]).alias("rare"),
+                              alone.alias("alone")).where(F.size("rare") > 0))
 
-    def _rest(self, posts: DataFrame, cand: DataFrame, sets: DataFrame) -> DataFrame:
+    def _rest(self, posts: DataFrame, cand: DataFrame) -> DataFrame:
         """All pairs of different components in one list whose rare shingles agree in so many that
         the sets can be similar, each made at its first common prefix value."""
         several = posts.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        left = posts.join(several.select("key"), "key").checkpoint()
-        rare = self._rare(sets.join(left.select("v").distinct(), "v", "left_semi"))
-        left = left.join(cand.select("v", "n", "prefix").join(rare, "v"), "v").checkpoint()
+        left = (posts.join(several.select("key"), "key").select("key", "v", "root")
+                .join(cand.select("v", "n", "prefix", "rare"), "v").checkpoint())
         side = lambda x: left.select("key", *(F.col(c).alias(c + x) for c in ("v", "root", "n", "prefix", "rare")))
         num, den = self.similar
         need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(num) / F.lit(num + den))
@@ -202,14 +209,16 @@ class CoordinateJoin:
                 .mapInArrow(functools.partial(_sets, k=self.k, wanted=wanted), "d1 long, d2 long, values array<long>")
                 .join(cand.select("d1", "d2", "v"), ["d1", "d2"]).select("v", "values")
                 .groupBy("v").agg(F.first("values").alias("values")).checkpoint())
+        cand = cand.select("v", "n", "sig", "prefix", "top").join(self._rare(sets), "v").checkpoint()
         alone = cand.select("v", F.col("v").alias("root"))
-        # the list that most sets of a group share: one pair a set
-        found = self._confirm(self._leaders(cand.select("v", F.element_at("prefix", -1).alias("key"), F.col("v").alias("root")), 0),
+        # the lists that most sets of a group share: two pairs a set at most
+        wide = F.array_distinct(F.array("top", F.element_at("prefix", -1)))
+        found = self._confirm(self._leaders(cand.select("v", "n", "alone", F.explode(wide).alias("key"), F.col("v").alias("root"))),
                               cand, sets)
-        for turn in (1, 2):
+        for last in (False, True):
             roots = self._roots(alone, found)
-            posts = (cand.select("v", F.explode("prefix").alias("key")).join(roots, "v")).checkpoint()
-            pairs = self._leaders(posts, turn) if turn < 2 else self._rest(posts, cand, sets)
+            posts = cand.select("v", "n", "alone", F.explode("prefix").alias("key")).join(roots, "v").checkpoint()
+            pairs = self._rest(posts, cand) if last else self._leaders(posts)
             found = found.unionByName(self._confirm(pairs, cand, sets))
         return found
 

@@ -181,3 +181,24 @@ def test_pipeline_collisions_are_enough():
     t, (num, den), m = corpus_pipeline.NEAR["t"], corpus_pipeline.NEAR["similar"], coordjoin.COORDINATES
     s = num / den
     assert sum(math.comb(m, k) * s ** k * (1 - s) ** (m - k) for k in range(t)) < 1e-6
+
+
+def test_minhash_large_group_few_pairs(spark, monkeypatch):
+    """Copies of one text with up to four words changed, most of them similar to the text but not to
+    one another: a few comparisons a copy, and all links held."""
+    rng = random.Random(12)
+    w = [f"w{i}" for i in range(150)]
+    rows = [(5000, " ".join(w), "s")]
+    for i in range(240):
+        own = list(w)
+        for at in rng.sample(range(150), 1 + i % 4):
+            own[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(own), "s"))
+    made, confirm = [], coordjoin.CoordinateJoin._confirm
+    monkeypatch.setattr(coordjoin.CoordinateJoin, "_confirm",
+                        lambda self, pairs, *rest: (made.append(pairs.count()), confirm(self, pairs, *rest))[1])
+    got = {r["doc_id"]: r["component_id"] for r in coordjoin.near_duplicates(frame(spark, rows, extra=False)).collect()}
+    sets = shingle_sets(rows)
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert got == dict(zip([r[0] for r in rows], expected_components(rows, links)))
+    assert sum(made) <= 12 * len(rows), made
