@@ -5,7 +5,9 @@ one class.  Words are put in one global order, rare ones first; a class posts on
 first n - ceil(0.8 n) + 1 words, which two sets of Jaccard similarity 0.8 must share one
 of.  Postings that only one class has go; the others are joined under the length filter and
 the positional filter (what is left behind the shared word must be able to reach the needed
-overlap), and each candidate is verified on the full sets.  Nothing is estimated.
+overlap) and the bit filter (each word sets one of 128 bits of its line: two sets differ in at
+least as many words as their bits do, so the words themselves are only moved for pairs that can
+be similar), and each candidate is verified on the full sets.  Nothing is estimated.
 
 Word frequencies come from a count table of fixed size (2^TABLE counters by hash), summed in
 the cluster: equal counters and collisions only make the order less rare, and any order that
@@ -79,6 +81,14 @@ def _block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
+def _bits(words: np.ndarray) -> tuple[int, int]:
+    """128 bits of which each word sets one."""
+    out = [0, 0]
+    for place in (words >> np.uint64(57)).tolist():
+        out[place >> 6] |= 1 << (place & 63)
+    return tuple(np.array(out, np.uint64).view(np.int64).tolist())
+
+
 def _sets(lines: pa.Array, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(place, words as hashes in the global order, each once) of the lines with words."""
     found = find_words(lines, NOT_SPACE)
@@ -100,8 +110,8 @@ def _post(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]
     """A row per line with words, and one per text (line null, n its number of lines)."""
     u = TaskContext.get().partitionId() << 40
     v = u
-    names = ["u", "id", "line", "v", "c1", "c2", "n", "prefix"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+    names = ["u", "id", "line", "v", "c1", "c2", "n", "prefix", "bits1", "bits2"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
     for batch in batches:
         for at, texts in _texts(batch, 1):
             ids = batch.column(0).slice(at, len(texts)).to_pylist()
@@ -113,13 +123,13 @@ def _post(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]
                     n = len(words)
                     c1, c2 = _class(words)
                     rows.append((u + int(owner[i]), ids[owner[i]], int(number[i]), v, c1, c2, n,
-                                 signed(words[: n - (-(-NUM * n // DEN)) + 1])))
+                                 signed(words[: n - (-(-NUM * n // DEN)) + 1]), *_bits(words)))
                     v += 1
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names)
             none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(u, u + len(texts)), pa.int64()), pa.array(ids, pa.int64()), none.cast(pa.int32()), *[none.cast(pa.int64())] * 3,
-                 pa.array(lengths, pa.int32()), none.cast(pa.list_(pa.int64()))], names)
+                 pa.array(lengths, pa.int32()), none.cast(pa.list_(pa.int64())), *[none.cast(pa.int64())] * 2], names)
             u += len(texts)
 
 
@@ -150,20 +160,23 @@ def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         table[row["block"] << BLOCK: (row["block"] + 1) << BLOCK] = np.frombuffer(row["counts"], "<i4")
     counts = spark.sparkContext.broadcast(table)
     rows = written(texts.mapInArrow(functools.partial(_post, counts=counts),
-                                    "u long, id long, line int, v long, c1 long, c2 long, n int, prefix array<long>"), "lines")
+                                    "u long, id long, line int, v long, c1 long, c2 long, n int, prefix array<long>, bits1 long, bits2 long"), "lines")
     lines = rows.where("line IS NOT NULL")
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("u").alias("u"), F.col("line").alias("line"))
     classes = (lines.groupBy("c1", "c2").agg(F.min("v").alias("v"), F.min(place).alias("at"), F.first("n").alias("n"),
-                                             F.first("prefix").alias("prefix")))
+                                             F.first(F.struct("prefix", "bits1", "bits2")).alias("words"))
+               .select("c1", "c2", "v", "at", "n", "words.*"))
     classes = written(classes, "classes")
-    posts = classes.select("v", "n", F.posexplode("prefix").alias("pos", "word"))
+    posts = classes.select("v", "n", "bits1", "bits2", F.posexplode("prefix").alias("pos", "word"))
     several = posts.groupBy("word").count().where("count > 1").select("word").checkpoint()
     posts = written(posts.join(several, "word"), "posts")
-    side = lambda x: posts.select("word", *(F.col(c).alias(c + x) for c in ("v", "n", "pos")))
+    side = lambda x: posts.select("word", *(F.col(c).alias(c + x) for c in ("v", "n", "pos", "bits1", "bits2")))
+    apart = F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b"))) + F.bit_count(F.col("bits2_a").bitwiseXOR(F.col("bits2_b")))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * NUM / F.lit(NUM + DEN))
     pairs = (side("_a").join(side("_b"), "word").where("v_a < v_b")
              .where(f"least(n_a, n_b) * {DEN} >= greatest(n_a, n_b) * {NUM}")
              .where(F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= need)
+             .where(apart <= F.col("n_a") + F.col("n_b") - 2 * need)
              .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct().checkpoint())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     cand = classes.join(ends, "v").select("v", "c1", "c2", "n", "at")

@@ -202,3 +202,22 @@ def test_minhash_large_group_few_pairs(spark, monkeypatch):
     links = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
     assert got == dict(zip([r[0] for r in rows], expected_components(rows, links)))
     assert sum(made) <= 12 * len(rows), made
+
+
+def test_line_pairs_apart_go_before_their_words_move(spark, monkeypatch):
+    """Lines of a small vocabulary share words that they are posted by, but few are similar: the others
+    leave no candidates."""
+    rng = random.Random(13)
+    names = [f"name{i}" for i in range(60)]
+    near = rng.sample(names, 12)
+    rows = [(i, " ".join(rng.sample(names, 12)), "s") for i in range(80)] + [(100 + i, " ".join([*near, f"x{i}"]), "s") for i in range(3)]
+    sizes, written = {}, linejoin.written
+
+    def counted(df, name):
+        out = written(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(linejoin, "written", counted)
+    got = {r["id"]: (r["removed"], r["n_links"]) for r in linejoin.line_matches(frame(spark, rows, extra=False)).collect()}
+    assert got == {**{i: ([], 0) for i in range(80)}, 100: ([], 2), 101: ([0], 2), 102: ([0], 2)}
+    assert sizes["candidates"] <= 6, sizes
