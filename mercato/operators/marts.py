@@ -17,13 +17,12 @@ from .star import Star
 
 def vw_sales(star: Star) -> DataFrame:
     """Delivered item lines with category, state, person, order date and revenue."""
-    o = star.fact_orders.filter(is_delivered()).select(
-        "order_id", "customer_id", "order_purchase_timestamp")
+    # customers join the orders, not their lines, of which there are several an order
+    o = (star.fact_orders.filter(is_delivered()).select("order_id", "customer_id", "order_purchase_timestamp")
+         .join(star.dim_customers.select("customer_id", "customer_state", "customer_unique_id"), "customer_id"))
     return (star.fact_order_items
             .join(o, "order_id")
             .join(star.dim_products.select("product_id", "product_category_name_english"), "product_id")
-            .join(star.dim_customers.select("customer_id", "customer_state", "customer_unique_id"),
-                  "customer_id")
             .select("order_id", "order_item_id", "product_id", "seller_id",
                     "product_category_name_english", "customer_state", "customer_unique_id",
                     "order_purchase_timestamp",
