@@ -9,7 +9,9 @@ block and a head in the next one (or several, in a field longer than a block); t
 a block at most, are put together afterwards.
 
 Quotes inside quoted fields are doubled, so each record holds an even number of them.  A file
-whose quotes don't add up, or that is one block anyway, is left to Spark's own reader.
+whose quotes don't add up, or that is one block anyway, is left to Spark's own reader.  So are
+files where each line holds an even number of quotes, line by line and split into blocks: no
+line break is inside quotes there, and each line is a record.
 """
 
 from __future__ import annotations
@@ -34,14 +36,18 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def block_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """(file, start, inside, balanced): of each block of lines, whether it starts inside quotes,
-    and whether the quotes of its whole file are even in number.  One row a block."""
-    quotes = F.sum(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes")
-    blocks = _lines(spark, path).groupBy("file", "start").agg(quotes)
+    """(file, start, inside, balanced, plain): of each block of lines, whether it starts inside
+    quotes, whether the quotes of its whole file are even in number, and whether Spark's reader by
+    lines has the same records: even quotes in each line, no carriage return, no line of blanks
+    only (which that reader skips).  One row a block."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    plain = (F.col("quotes") % 2 == 0) & ~F.contains("value", F.lit("\r")) & ((F.length("value") == 0) | F.col("value").rlike("[^\\x00-\\x20]"))
+    blocks = (_lines(spark, path).withColumn("quotes", quotes).groupBy("file", "start")
+              .agg(F.sum("quotes").alias("quotes"), F.min(plain).alias("plain")))
     file = Window.partitionBy("file")
     before = F.sum("quotes").over(file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     return blocks.select("file", "start", (F.coalesce(before, F.lit(0)) % 2 == 1).alias("inside"),
-                         (F.sum("quotes").over(file) % 2 == 0).alias("balanced"))
+                         (F.sum("quotes").over(file) % 2 == 0).alias("balanced"), "plain")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,10 +113,12 @@ def read(spark: SparkSession, path: str, schema: str, options: dict[str, str]) -
     ensure_checkpoint_dir(spark)
     _fix_splits(spark)
     blocks = block_quotes(spark, path).checkpoint()
-    shape = blocks.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("balanced").alias("balanced")).agg(
-        F.max("n").alias("most"), F.min("balanced").alias("balanced")).first()
+    shape = blocks.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("balanced").alias("balanced"), F.min("plain").alias("plain")).agg(
+        F.max("n").alias("most"), F.min("balanced").alias("balanced"), F.min("plain").alias("plain")).first()
     if (shape["most"] or 0) <= 1 or not shape["balanced"]:
         return spark.read.schema(schema).options(header="true", multiLine="true", mode="PERMISSIVE", **options).csv(path)
+    if shape["plain"]:
+        return spark.read.schema(schema).options(header="true", lineSep="\n", mode="PERMISSIVE", **options).csv(path)
     text = F.regexp_replace("text", "\r$", "")
     return (records(spark, path, blocks).where(~F.col("first"))
             .select(F.from_csv(text, schema, options).alias("r")).select("r.*"))

@@ -69,3 +69,25 @@ def test_empty_and_header_only_files(small_blocks, tmp_path):
     assert csv_source.stage_csv(small_blocks, str(path), "sellers").collect() == []
     path.write_text("")
     assert csv_source.stage_csv(small_blocks, str(path), "sellers").collect() == []
+
+
+def test_lines_with_even_quotes_are_read_by_spark(small_blocks, tmp_path):
+    """Quotes but no line break in them: several blocks, no Python step, the rows of one task."""
+    names = csv_source.STAGING_COLUMNS["order_reviews"]
+    rows = [[f"r{i}", f"o{i % 7}", "", f'a "quoted", {i}', "x,y" if i % 3 else "NULL", "2020-01-01", ""] for i in range(200)]
+    path = tmp_path / "order_reviews.csv"
+
+    def put(lines):
+        with open(path, "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(names)
+            out.writerows(lines)
+        return csv_source.stage_csv(small_blocks, str(path), "order_reviews")
+    df = put(rows)
+    assert quoted.block_quotes(small_blocks, str(path)).count() > 10
+    assert "MapInArrow" not in df._jdf.queryExecution().toString()
+    assert df.rdd.getNumPartitions() > 10
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(
+        str(tuple(None if v in csv_source.NULL_TOKENS else v for v in r)) for r in rows)
+    broken = [[*r[:3], "one\ntwo", *r[4:]] if i == 150 else r for i, r in enumerate(rows)]
+    assert "MapInArrow" in put(broken)._jdf.queryExecution().toString()
