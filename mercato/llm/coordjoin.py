@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
 from .components import connected_components
-from .tables import fresh
+from .tables import fresh, tidy
 from .words import mix, pieces, shingles, signed
 
 WORDS = 5
@@ -258,6 +258,7 @@ def text_key(text: str) -> F.Column:
     return F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
 
 
+@tidy
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     t: int = MATCHES, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row (see the module's rules)."""
@@ -265,6 +266,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept"))
 
 
+@tidy
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                t: int = MATCHES, similar: tuple[int, int] = SIMILAR, repeat_ids: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all their columns.

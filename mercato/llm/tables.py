@@ -1,8 +1,10 @@
-"""Small helpers: tables in the shared folder, checked broadcasts."""
+"""Small helpers: tables in the shared folder, checked broadcasts, shuffle files that go in time."""
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from ..session import scratch_path
 
 #: A lookup is broadcast when its rows, written as JSON, take no more than this.
 BROADCAST_BYTES = 4 << 20
+#: Spark's own setting: the shuffle files of a query are removed when the query ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -38,3 +42,24 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name = "_" + name
     return name
+
+
+def tidy(step: Callable) -> Callable:
+    """A step (its first argument a frame) whose inner queries leave no shuffle files behind.
+
+    Otherwise those of every finished query stay until the driver happens to collect its garbage,
+    so that a step of many joins has all their files on disk at once.  Inside, a frame should be
+    executed once (what is used again is checkpointed or written).  The session's setting is put
+    back at the end, and a frame that is returned runs under it.
+    """
+    @functools.wraps(step)
+    def run(docs: DataFrame, *args, **kwargs):
+        conf = docs.sparkSession.conf
+        before = conf.get(TIDY, None)
+        conf.set(TIDY, "true")
+        try:
+            out = step(docs, *args, **kwargs)
+        finally:
+            conf.unset(TIDY) if before is None else conf.set(TIDY, before)
+        return out.select("*") if isinstance(out, DataFrame) else out
+    return run
