@@ -5,8 +5,8 @@ sequences are numbered by (doc_id, MD5 of the text, place in the text), which no
 input can change, and a keyed Feistel permutation, walked along its cycles until it falls into
 range, gives each number a slot in 0 .. N-1: a random order that needs no shuffle buffer, has
 no ties and is known from key and N alone.  A shard is a range of PER_SHARD slots; a task gets
-a range of whole shards, sorts their records by slot and writes them by Spark's text writer as
-records of one size (the separator is the record's last byte), so slot s is at byte
+a range of whole shards (WAVES jobs one after the other, each a range of tasks), sorts their
+records by slot and writes them by Spark's text writer as records of one size (the separator is the record's last byte), so slot s is at byte
 (s mod PER_SHARD) * stride of shard s div PER_SHARD.  A reader can start or resume at any slot
 and read on in order.
 
@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import global_cumsum
 from ..session import ensure_checkpoint_dir, remove_path, ship_package
-from .tables import folder
+from .tables import folder, tidy, written
 from .tokens import END, load, pieces_of
-from .words import mix, pieces
+from .words import mix, pieces, text_bytes
 
 LENGTH = 512
 PER_SHARD = 4096
@@ -50,6 +50,9 @@ KEY = 20240501
 ROUNDS = 6
 #: Bytes of records that a writing task gets, about.
 TASK_BYTES = 64 << 20
+#: The shards are written in so many jobs, each a range of them, so that this part of the records
+#: is in the shuffle at once; tokens, finished shards and that part are all there is on disk.
+WAVES = 6
 #: Buckets of the token table at most (Spark's own limit); beyond it a bucket holds several tasks' rows.
 MAX_BUCKETS = 100_000
 _NONE = -(1 << 63)
@@ -95,30 +98,36 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes, length: int) -
             at += count
 
 
-def _records(batches: Iterator[pa.RecordBatch], length: int, total: int, key: int, per_shard: int) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], length: int, total: int, key: int, per_shard: int,
+             low: int = 0, high: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The records of the slots low .. high-1 (all, if not given)."""
     kind = record_type(length)
+    size, high = kind.itemsize, total if high is None else high
     for batch in batches:
         # rows in groups of about 1 MB of tokens, so that a task's memory is bounded
         for row, group in pieces(batch.column(2)):
-            starts, ids = (batch.column(c).slice(row, len(group)).to_pylist() for c in (0, 1))
-            made, numbers = [], []
-            for start, doc_id, raw in zip(starts, ids, group.to_pylist()):
-                tokens = np.frombuffer(raw, "<u2")
-                count = -(-len(tokens) // length)
-                out = np.zeros(count, kind)
-                flat = np.full(count * length, END, "<u2")
-                flat[: len(tokens)] = tokens
-                out["ids"] = flat.reshape(count, length)
-                out["doc_id"] = _NONE if doc_id is None else doc_id
-                out["number"] = np.arange(count)
-                out["n"] = np.minimum(length, len(tokens) - np.arange(count) * length)
-                out["crc"] = [zlib.crc32(x.tobytes()) for x in out["ids"]]
-                made.append(out)
-                numbers.append(start + np.arange(count))
-            out = np.concatenate(made)
-            slots = permute(np.concatenate(numbers), total, key)
-            size = kind.itemsize
-            raw = np.ascontiguousarray(out).view(np.uint8).reshape(len(out), size)[:, :-1].tobytes()  # the writer adds the last byte
+            starts = batch.column(0).slice(row, len(group)).to_numpy(zero_copy_only=False)
+            ids = batch.column(1).slice(row, len(group)).fill_null(_NONE).to_numpy()
+            raw, at = text_bytes(group)
+            tokens, at = np.frombuffer(raw.tobytes(), "<u2"), at >> 1
+            counts = -(-np.diff(at) // length)
+            owner = np.repeat(np.arange(len(group)), counts)
+            number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            slots = permute(starts[owner] + number, total, key)
+            pick = np.flatnonzero((slots >= low) & (slots < high))
+            if not len(pick):
+                continue
+            owner, number, slots = owner[pick], number[pick], slots[pick]
+            out = np.zeros(len(pick), kind)
+            out["ids"] = END
+            out["doc_id"] = ids[owner]
+            out["number"] = number
+            first = at[owner] + number * length
+            out["n"] = np.minimum(length, at[owner + 1] - first)
+            for x, a, n in zip(out["ids"], first.tolist(), out["n"].tolist()):
+                x[:n] = tokens[a: a + n]
+            out["crc"] = [zlib.crc32(x) for x in out["ids"]]
+            raw = out.view(np.uint8).reshape(len(out), size)[:, :-1].tobytes()  # the writer adds the last byte
             bounds = np.arange(len(out) + 1, dtype=np.int32) * (size - 1)
             lines = pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
             yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), lines], ["shard", "slot", "record"])
@@ -140,6 +149,7 @@ def numbered(coded: DataFrame) -> DataFrame:
     return upto.groupBy("part").agg(F.sort_array(F.collect_list(first)).getField("start").alias("starts"))
 
 
+@tidy
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                  per_shard: int = PER_SHARD, key: int = KEY, vocabulary: bytes | None = None) -> int:
     """Write the shards below ``path`` (one file in each ``shard=K``); the number of sequences."""
@@ -159,15 +169,21 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         coded = spark.table(name)
         total = coded.agg(F.sum("n")).first()[0] or 0
         if total:
+            starts = written(numbered(coded), "starts")
             # the arrays are the side to build a table of, so that token rows stream past it unsorted
-            rows = coded.join(numbered(coded).hint("shuffle_hash"), "part").select(F.element_at("starts", F.col("row").cast("int")).alias("start"), "id", "tokens")
-            records = rows.mapInArrow(functools.partial(_records, length=length, total=total, key=key, per_shard=per_shard),
-                                      "shard long, slot long, record binary")
+            rows = coded.join(starts.hint("shuffle_hash"), "part").select(F.element_at("starts", F.col("row").cast("int")).alias("start"), "id", "tokens")
             shards = -(-total // per_shard)
-            each = max(1, TASK_BYTES // (per_shard * record_type(length).itemsize))  # shards a task
-            ranges = records.repartitionById(-(-shards // each), F.expr(f"shard div {each}").cast("int"))
-            (ranges.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
-             .write.partitionBy("shard").option("lineSep", "\n").text(path))
+            wave = -(-shards // WAVES)  # shards a job
+            each = max(1, TASK_BYTES // (per_shard * record_type(length).itemsize))  # shards a task, fewer where cores would idle
+            each = max(1, min(each, wave // spark.sparkContext.defaultParallelism))
+            for first in range(0, shards, wave):
+                last = min(shards, first + wave)
+                records = rows.mapInArrow(functools.partial(_records, length=length, total=total, key=key, per_shard=per_shard,
+                                                            low=first * per_shard, high=last * per_shard),
+                                          "shard long, slot long, record binary")
+                ranges = records.repartitionById(-(-(last - first) // each), F.expr(f"(shard - {first}) div {each}").cast("int"))
+                (ranges.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
+                 .write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path))
     finally:
         spark.sql(f"DROP TABLE {name}")
         remove_path(spark, place)

@@ -1,8 +1,10 @@
 """What the operators leave on disk while they run: no shuffle files of finished queries, and parts of the largest shuffles."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from mercato.llm import coordjoin, tables
+from mercato.llm import coordjoin, ordering, tables, tokens
 
 from .fixtures import corpus, frame
 
@@ -17,7 +19,8 @@ ROWS = [r for r in corpus() if r[0] is None or r[0] < 409]
 
 
 @pytest.mark.parametrize("step", [
-    lambda docs: coordjoin.near_dedup(docs, repeat_ids=True, similar=(4, 5), t=13)])
+    lambda docs: coordjoin.near_dedup(docs, repeat_ids=True, similar=(4, 5), t=13),
+    lambda docs: ordering.write_shards(docs, tables.folder(docs.sparkSession, "t"), length=64, per_shard=100)])
 def test_finished_queries_leave_no_shuffle_files(spark, step):
     docs = frame(spark, ROWS)
     docs = docs.sparkSession.createDataFrame(docs.collect(), docs.schema)  # without a shuffle of its own
@@ -29,3 +32,30 @@ def test_finished_queries_leave_no_shuffle_files(spark, step):
     assert spark.conf.get(tables.TIDY, None) == setting
     if not isinstance(out, int):
         assert out.count() == out.count() > 0  # a returned frame can be run again
+
+
+def test_records_of_a_range_of_slots():
+    length, per_shard, sizes = 8, 4, [1, 8, 20, 40, 9]
+    ids = pa.array([3, None, 5, 6, 7], pa.int64())
+    coded = [np.arange(n, dtype="<u2").tobytes() for n in sizes]
+    counts = [-(-n // length) for n in sizes]
+    starts = pa.array(np.cumsum([0, *counts[:-1]]))
+    total = sum(counts)
+    batch = pa.RecordBatch.from_arrays([starts, ids, pa.array(coded, pa.binary())], ["start", "id", "tokens"])
+
+    def rows(low=0, high=None):
+        return sorted((s, r) for b in ordering._records(iter([batch]), length, total, 1, per_shard, low, high)
+                      for s, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+    whole = rows()
+    assert [s for s, _ in whole] == list(range(total))
+    cut = [0, 4, 8, total]
+    assert sum((rows(a, b) for a, b in zip(cut, cut[1:])), []) == whole
+    assert all(a <= s < b for a, b in zip(cut, cut[1:]) for s, _ in rows(a, b))
+    kind, by_slot = ordering.record_type(length), dict(whole)
+    for text, (first, count) in enumerate(zip(starts.to_pylist(), counts)):
+        for number, slot in enumerate(ordering.permute(np.arange(first, first + count), total, 1).tolist()):
+            record = np.frombuffer(by_slot[slot] + b"\n", kind)[0]
+            want = np.frombuffer(coded[text], "<u2")[number * length: (number + 1) * length].tolist()
+            assert record["ids"].tolist() == want + [tokens.END] * (length - len(want))
+            assert (record["number"], record["n"]) == (number, len(want))
+            assert record["doc_id"] == (ordering._NONE if ids[text].as_py() is None else ids[text].as_py())
