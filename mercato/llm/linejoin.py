@@ -3,7 +3,7 @@
 A line is the set of its words (white-space separated, A-Z lowered).  Lines of equal sets are
 one class.  Words are put in one global order, rare ones first; a class posts only its
 first n - ceil(0.8 n) + 1 words, which two sets of Jaccard similarity 0.8 must share one
-of.  Postings that only one class has go; the others are joined under the length filter and
+of.  Postings are joined by word, in WAVES jobs, under the length filter and
 the positional filter (what is left behind the shared word must be able to reach the needed
 overlap) and the bit filter (each word sets one of 128 bits of its line: two sets differ in at
 least as many words as their bits do, so the words themselves are only moved for pairs that can
@@ -24,7 +24,6 @@ of one id are ordered arbitrarily among themselves.
 from __future__ import annotations
 
 import functools
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +35,18 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
-from .tables import fresh, written
-from .words import NOT_SPACE, find_words, pieces, signed
+from .tables import fresh, tidy, written
+from .words import NOT_SPACE, find_words, mix, pieces, signed
 
 #: Similarity at least 4/5.
 NUM, DEN = 4, 5
 TABLE = 21
 #: Counters (2^BLOCK) that one row brings to the driver.
 BLOCK = 16
+#: Postings are joined, and candidates verified, in so many jobs one after the other, each with the
+#: words (the first lines) of one remainder of their hash: that part of the rows is in the shuffle at once.
+WAVES = 4
+_SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
 
 
 def _lines(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
@@ -81,29 +84,48 @@ def _block(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
-def _bits(words: np.ndarray) -> tuple[int, int]:
-    """128 bits of which each word sets one."""
-    out = [0, 0]
-    for place in (words >> np.uint64(57)).tolist():
-        out[place >> 6] |= 1 << (place & 63)
-    return tuple(np.array(out, np.uint64).view(np.int64).tolist())
-
-
-def _sets(lines: pa.Array, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(place, words as hashes in the global order, each once) of the lines with words."""
-    found = find_words(lines, NOT_SPACE)
-    h = found.hashes()
-    rare = counts[(h & np.uint64((1 << TABLE) - 1)).astype(np.int64)]
-    order = np.lexsort((h, rare, found.doc))
-    h = h[order]
-    for i, (a, b) in enumerate(zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist())):
-        if b > a:
-            words = h[a:b]
-            yield i, words[np.concatenate(([True], words[1:] != words[:-1]))]
-
-
-def _class(words: np.ndarray) -> tuple[int, int]:
-    return tuple(np.frombuffer(hashlib.md5(np.sort(words).tobytes(), usedforsecurity=False).digest(), np.int64).tolist())
+class _Sets:
+    """The word sets of a piece of lines: ``place`` the lines that have words, ``words`` each set's
+    words once, as hashes in the global order, ``starts`` and ``n`` where they lie."""
+
+    def __init__(self, lines: pa.Array, counts: np.ndarray):
+        found = find_words(lines, NOT_SPACE)
+        h = found.hashes()
+        order = np.argsort(h)
+        new = np.ones(len(h), bool)
+        new[1:] = h[order[1:]] != h[order[:-1]]
+        each = h[order[new]]  # ascending
+        by_rarity = np.argsort(counts[(each & np.uint64((1 << TABLE) - 1)).astype(np.int64)], kind="stable")
+        rank = np.empty(len(each), np.int64)
+        rank[by_rarity] = np.arange(len(each))
+        at = np.empty(len(h), np.int64)
+        at[order] = rank[np.cumsum(new) - 1]
+        # (line, rank of the word) as one number: sorted and each once it is all sets of the piece
+        both = np.sort(found.doc * max(1, len(each)) + at)
+        both = both[np.concatenate(([True], both[1:] != both[:-1]))] if len(both) else both
+        line, at = np.divmod(both, max(1, len(each)))
+        self.words = each[by_rarity][at]
+        self.starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(line) else line
+        self.place = line[self.starts]
+        self.n = np.diff(np.append(self.starts, len(line)))
+
+    def _merged(self, merge: np.ufunc, values: np.ndarray) -> pa.Array:
+        return pa.array((merge.reduceat(values, self.starts) if len(values) else values).view(np.int64))
+
+    def classes(self) -> list[pa.Array]:
+        """Two sums of mixed hashes for each set, the same for equal sets."""
+        return [self._merged(np.add, mix(self.words ^ x)) for x in _SEEDS]
+
+    def bits(self) -> list[pa.Array]:
+        """128 bits, in two longs, of which each word sets one."""
+        bit = np.uint64(1) << (self.words >> np.uint64(57) & np.uint64(63))
+        high = self.words >> np.uint64(63) == 1
+        return [self._merged(np.bitwise_or, np.where(high == x, bit, np.uint64(0))) for x in (False, True)]
+
+    def first(self, k: np.ndarray) -> pa.Array:
+        """The first k words of each set."""
+        inside = np.arange(len(self.words)) - np.repeat(self.starts, self.n) < np.repeat(k, self.n)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(k)).astype(np.int32)), pa.array(signed(self.words[inside])))
 
 
 def _post(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]:
@@ -111,24 +133,22 @@ def _post(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]
     u = TaskContext.get().partitionId() << 40
     v = u
     names = ["u", "id", "line", "v", "c1", "c2", "n", "prefix", "bits1", "bits2"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
     for batch in batches:
         for at, texts in _texts(batch, 1):
-            ids = batch.column(0).slice(at, len(texts)).to_pylist()
+            ids = batch.column(0).slice(at, len(texts))
             lengths = np.zeros(len(texts), np.int64)
             for owner, number, lines in _lines(texts):
                 np.add.at(lengths, owner, 1)
-                rows = []
-                for i, words in _sets(lines, counts.value):
-                    n = len(words)
-                    c1, c2 = _class(words)
-                    rows.append((u + int(owner[i]), ids[owner[i]], int(number[i]), v, c1, c2, n,
-                                 signed(words[: n - (-(-NUM * n // DEN)) + 1]), *_bits(words)))
-                    v += 1
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names)
+                sets = _Sets(lines, counts.value)
+                n = sets.n
+                own = owner[sets.place]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u + own), ids.take(pa.array(own)), pa.array(number[sets.place].astype(np.int32)), pa.array(v + np.arange(len(n))),
+                     *sets.classes(), pa.array(n.astype(np.int32)), sets.first(n - (-(-NUM * n // DEN)) + 1), *sets.bits()], names)
+                v += len(n)
             none = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(u, u + len(texts)), pa.int64()), pa.array(ids, pa.int64()), none.cast(pa.int32()), *[none.cast(pa.int64())] * 3,
+                [pa.array(range(u, u + len(texts)), pa.int64()), ids, none.cast(pa.int32()), *[none.cast(pa.int64())] * 3,
                  pa.array(lengths, pa.int32()), none.cast(pa.list_(pa.int64())), *[none.cast(pa.int64())] * 2], names)
             u += len(texts)
 
@@ -137,15 +157,13 @@ def _full(batches: Iterator[pa.RecordBatch], counts, wanted: bytes) -> Iterator[
     for batch in batches:
         for _, texts in _texts(batch, 0):
             for _, _, lines in _lines(texts):
-                sets = [(*_class(words), signed(words)) for _, words in _sets(lines, counts.value)]
-                if not sets:
-                    continue
-                keep = bitmap.test(wanted, np.array([s[0] for s in sets], np.int64).view(np.uint64))
-                sets = [s for s, k in zip(sets, keep) if k]
-                yield pa.RecordBatch.from_arrays([pa.array([s[c] for s in sets], k) for c, k in enumerate(
-                    (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["c1", "c2", "words"])
+                sets = _Sets(lines, counts.value)
+                c1, c2 = sets.classes()
+                keep = pa.array(bitmap.test(wanted, c1.to_numpy().view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([c1, c2, sets.first(sets.n)], ["c1", "c2", "words"]).filter(keep)
 
 
+@tidy
 def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: u (the row's number), id, n_lines, removed (numbers, from 0,
     of the lines that go), n_links (other line sets similar to the row's lines, added up)."""
@@ -167,28 +185,33 @@ def line_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                              F.first(F.struct("prefix", "bits1", "bits2")).alias("words"))
                .select("c1", "c2", "v", "at", "n", "words.*"))
     classes = written(classes, "classes")
-    posts = classes.select("v", "n", "bits1", "bits2", F.posexplode("prefix").alias("pos", "word"))
-    several = posts.groupBy("word").count().where("count > 1").select("word").checkpoint()
-    posts = written(posts.join(several, "word"), "posts")
-    side = lambda x: posts.select("word", *(F.col(c).alias(c + x) for c in ("v", "n", "pos", "bits1", "bits2")))
-    apart = F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b"))) + F.bit_count(F.col("bits2_a").bitwiseXOR(F.col("bits2_b")))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * NUM / F.lit(NUM + DEN))
-    pairs = (side("_a").join(side("_b"), "word").where("v_a < v_b")
-             .where(f"least(n_a, n_b) * {DEN} >= greatest(n_a, n_b) * {NUM}")
-             .where(F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= need)
-             .where(apart <= F.col("n_a") + F.col("n_b") - 2 * need)
-             .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct().checkpoint())
+    apart = F.bit_count(F.col("bits1_a").bitwiseXOR(F.col("bits1_b"))) + F.bit_count(F.col("bits2_a").bitwiseXOR(F.col("bits2_b")))
+    posts = classes.select("v", "n", "bits1", "bits2", F.posexplode("prefix").alias("pos", "word"))
+    found = []
+    for wave in range(WAVES):
+        some = posts.where(F.pmod(F.xxhash64("word"), F.lit(WAVES)) == wave)
+        side = lambda x: some.select("word", *(F.col(c).alias(c + x) for c in ("v", "n", "pos", "bits1", "bits2")))
+        found.append(side("_a").join(side("_b"), "word").where("v_a < v_b")
+                     .where(f"least(n_a, n_b) * {DEN} >= greatest(n_a, n_b) * {NUM}")
+                     .where(F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= need)
+                     .where(apart <= F.col("n_a") + F.col("n_b") - 2 * need)
+                     .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct().checkpoint())
+    pairs = functools.reduce(DataFrame.unionByName, found).distinct().checkpoint()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     cand = classes.join(ends, "v").select("v", "c1", "c2", "n", "at")
     cand = written(cand, "candidates")
     wanted = bitmap.build(cand, "c1")
     sets = (texts.select("text").mapInArrow(functools.partial(_full, counts=counts, wanted=wanted), "c1 long, c2 long, words array<long>")
-            .groupBy("c1", "c2").agg(F.first("words").alias("words")).join(cand, ["c1", "c2"]).select("v", "words", "at"))
+            .groupBy("c1", "c2").agg(F.first("words").alias("words")).join(cand, ["c1", "c2"]).select("v", "words"))
     sets = written(sets, "sets")
-    end = lambda x: sets.select(*(F.col(c).alias(n) for c, n in (("v", x), ("words", "w_" + x), ("at", "at_" + x))))
+    end = lambda x: sets.select(*(F.col(c).alias(n) for c, n in (("v", x), ("words", "w_" + x))))
     both = F.size(F.array_intersect("w_a", "w_b"))
-    links = (pairs.join(end("a"), "a").join(end("b"), "b")
-             .where(both * DEN >= (F.size("w_a") + F.size("w_b") - both) * NUM).select("a", "b", "at_a", "at_b").checkpoint())
+    close = [pairs.where(F.pmod(F.xxhash64("a"), F.lit(WAVES)) == wave).join(end("a"), "a").join(end("b"), "b")
+             .where(both * DEN >= (F.size("w_a") + F.size("w_b") - both) * NUM).select("a", "b").checkpoint() for wave in range(WAVES)]
+    place_of = lambda x: cand.select(F.col("v").alias(x), F.col("at").alias("at_" + x))
+    links = (functools.reduce(DataFrame.unionByName, close).join(place_of("a"), "a").join(place_of("b"), "b")
+             .select("a", "b", "at_a", "at_b").checkpoint())
     linked = (links.select(F.col("a").alias("v"), F.col("at_b").alias("other"))
               .unionByName(links.select(F.col("b").alias("v"), F.col("at_a").alias("other")))
               .groupBy("v").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links")))

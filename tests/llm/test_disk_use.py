@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from mercato.llm import coordjoin, ordering, tables, tokens
+from mercato.llm import coordjoin, linejoin, ordering, tables, tokens
 
 from .fixtures import corpus, frame
 
@@ -20,6 +20,7 @@ ROWS = [r for r in corpus() if r[0] is None or r[0] < 409]
 
 @pytest.mark.parametrize("step", [
     lambda docs: coordjoin.near_dedup(docs, repeat_ids=True, similar=(4, 5), t=13),
+    linejoin.line_matches,
     lambda docs: ordering.write_shards(docs, tables.folder(docs.sparkSession, "t"), length=64, per_shard=100)])
 def test_finished_queries_leave_no_shuffle_files(spark, step):
     docs = frame(spark, ROWS)
@@ -59,3 +60,17 @@ def test_records_of_a_range_of_slots():
             assert record["ids"].tolist() == want + [tokens.END] * (length - len(want))
             assert (record["number"], record["n"]) == (number, len(want))
             assert record["doc_id"] == (ordering._NONE if ids[text].as_py() is None else ids[text].as_py())
+
+
+def test_word_sets_of_lines():
+    lines = pa.array(["b a B c a", "", "c  c", " ", "A b c", "é x9 q r s t u v w"])
+    counts = np.ones(1 << linejoin.TABLE, np.int32)
+    got = linejoin._Sets(lines, counts)
+    assert got.place.tolist() == [0, 2, 4, 5] and got.n.tolist() == [3, 1, 3, 9]
+    c1, c2 = (x.to_pylist() for x in got.classes())
+    assert c1[0] == c1[2] and c2[0] == c2[2] and len(set(c1)) == 3
+    whole, first = got.first(got.n).to_pylist(), got.first(np.array([2, 1, 2, 4])).to_pylist()
+    assert whole[0] == whole[2] and [x[:n] for x, n in zip(whole, [2, 1, 2, 4])] == first
+    bits = [a % 2**64 | b % 2**64 << 64 for a, b in zip(*(x.to_pylist() for x in got.bits()))]
+    assert bits == [sum({1 << (w % 2**64 >> 57) for w in words}) for words in whole]
+    assert linejoin._Sets(pa.array(["", None], pa.string()), counts).first(np.empty(0, np.int64)).to_pylist() == []
