@@ -221,3 +221,38 @@ def test_line_pairs_apart_go_before_their_words_move(spark, monkeypatch):
     got = {r["id"]: (r["removed"], r["n_links"]) for r in linejoin.line_matches(frame(spark, rows, extra=False)).collect()}
     assert got == {**{i: ([], 0) for i in range(80)}, 100: ([], 2), 101: ([0], 2), 102: ([0], 2)}
     assert sizes["candidates"] <= 6, sizes
+
+
+@pytest.mark.parametrize("block", [None, 40])
+def test_line_groups_make_no_row_for_each_pair(spark, monkeypatch, block):
+    """Lines of two texts with a few words changed, many similar to one another: links and removed lines are those
+    of all pairs, but no table grows with the pairs; also with lists cut into blocks."""
+    rng = random.Random(21)
+    rows = []
+    for base in ("p", "q"):
+        w = [f"{base}{i}" for i in range(40)]
+        for i in range(150):
+            own = list(w)
+            for at in rng.sample(range(40), rng.randint(0, 6)):
+                own[at] = f"{base}n{rng.randint(0, 400)}"
+            rows.append((len(rows), " ".join(own), "s"))
+    rows += [(1000 + i, " ".join(f"r{x}" for x in rng.sample(range(50), 9)), "s") for i in range(100)]
+    rng.shuffle(rows)
+    if block:
+        monkeypatch.setattr(linejoin, "BLOCK_ROWS", block)
+    docs, made = frame(spark, rows, extra=False), []
+    kind, count = type(docs), type(docs).checkpoint
+
+    def counted(self, *args):
+        out = count(self, *args)
+        made.append(out.count())
+        return out
+    written = linejoin.written
+    monkeypatch.setattr(kind, "checkpoint", counted)
+    monkeypatch.setattr(linejoin, "written", lambda df, name: (x := written(df, name), made.append(x.count()))[0])
+    got = {r["id"]: (r["removed"], r["n_links"]) for r in linejoin.line_matches(docs).collect()}
+    sets = {i: frozenset(words(text)) for i, text, _ in rows}
+    similar = {i: [j for j, t in sets.items() if 5 * len(s & t) >= 4 * len(s | t)] for i, s in sets.items()}
+    assert got == {i: ([0] if min(similar[i]) < i else [], len({sets[j] for j in similar[i]} - {s})) for i, s in sets.items()}
+    pairs = sum(n for _, n in got.values()) / 2
+    assert pairs > 5000 and block or max(made) < pairs / 2, (pairs, made)
