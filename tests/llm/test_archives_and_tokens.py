@@ -215,3 +215,12 @@ def test_numbering_moves_no_tokens(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_texts_are_encoded_without_a_search_for_special_tokens():
+    coder = tokens.Pieces(tokens.load())
+    texts = ["", " ", "a  b\n\n c ", "it's 12 o'clock", "naïve 日本語 𝒳𝒴", "<|endoftext|> no end", " lead\t\ttail \n"]
+    want = [b"".join(map(coder.ids, coder.split(text))) for text in texts]
+    only = coder.coder.encode_ordinary
+    coder.coder = type("Ordinary", (), {"encode_ordinary": staticmethod(only)})
+    assert [coder.encode(text) for text in texts] == want
