@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 from . import bitmap
 from .components import connected_components
-from .tables import fresh, tidy
+from .tables import fresh, tidy, written
 from .words import mix, pieces, shingles, signed
 
 WORDS = 5
@@ -117,7 +117,7 @@ def _collide(a: str, b: str, least: int) -> F.Column:
 
 
 class CoordinateJoin:
-    """One run over a frame of texts; the tables it keeps are checkpointed."""
+    """One run over a frame of texts; the tables it keeps are written to the shared folder."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
                  m: int = COORDINATES, t: int = MATCHES, similar: tuple[int, int] = SIMILAR, keyed: bool = False):
@@ -126,25 +126,25 @@ class CoordinateJoin:
         ship_package(self.spark)
         self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         key = [text_key("text").alias("text_key")] if keyed else []
-        self.rows = self.texts.select("*", *key).mapInArrow(
+        self.rows = written(self.texts.select("*", *key).mapInArrow(
             functools.partial(_sign, k=k, m=m),
-            "uid long, id long, n long, d1 long, d2 long, sig array<long>" + ", text_key binary" * keyed).checkpoint()
+            "uid long, id long, n long, d1 long, d2 long, sig array<long>" + ", text_key binary" * keyed), "signatures")
         #: A class for each distinct shingle set: v (its number), least id, size, signature.
-        self.classes = (self.rows.where("n > 0").groupBy("d1", "d2")
-                        .agg(F.min("uid").alias("v"), F.min("id").alias("least_id"), F.first("n").alias("n"),
-                             F.first("sig").alias("sig")).checkpoint())
+        self.classes = written(self.rows.where("n > 0").groupBy("d1", "d2")
+                               .agg(F.min("uid").alias("v"), F.min("id").alias("least_id"), F.first("n").alias("n"),
+                                    F.first("sig").alias("sig")), "set-classes")
 
     def candidates(self) -> DataFrame:
         """(v, least_id, n, d1, d2, sig, prefix, top) of the sets with at least t shared values; top
         is the value that most other sets post."""
         posts = self.classes.select("v", F.explode("sig").alias("key"))
-        lists = posts.groupBy("key").count().where("count > 1").checkpoint()
+        lists = written(posts.groupBy("key").count().where("count > 1"), "lists")
         ordered = (posts.join(lists, "key").groupBy("v")
                    .agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("shared"))
                    .where(F.size("shared") >= self.t))
         prefix = ordered.select("v", F.slice(F.col("shared.key"), F.lit(1), F.size("shared") - (self.t - 1)).alias("prefix"),
                                 F.element_at("shared.key", -1).alias("top"))
-        return self.classes.join(prefix, "v").checkpoint()
+        return written(self.classes.join(prefix, "v"), "near-candidates")
 
     def _leaders(self, posts: DataFrame) -> DataFrame:
         """(a, b): each member of a list with the list's leader, where their roots differ and their
@@ -152,7 +152,7 @@ class CoordinateJoin:
         num, den = self.similar
         lead = posts.groupBy("key").agg(F.min(F.struct("alone", "v", "root", "n")).alias("l"),
                                         F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        lead = lead.select("key", F.col("l.v").alias("lv"), F.col("l.root").alias("lroot"), F.col("l.n").alias("ln")).checkpoint()
+        lead = written(lead.select("key", F.col("l.v").alias("lv"), F.col("l.root").alias("lroot"), F.col("l.n").alias("ln")), "leaders")
         return (posts.join(lead, "key").where("root <> lroot")
                 .where(f"least(n, ln) * {den} >= greatest(n, ln) * {num}")
                 .select(F.least("v", "lv").alias("a"), F.greatest("v", "lv").alias("b")))
@@ -175,8 +175,8 @@ class CoordinateJoin:
         """All pairs of different components in one list whose rare shingles agree in so many that
         the sets can be similar, each made at its first common prefix value."""
         several = posts.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        left = (posts.join(several.select("key"), "key").select("key", "v", "root")
-                .join(cand.select("v", "n", "prefix", "rare"), "v").checkpoint())
+        left = written(posts.join(several.select("key"), "key").select("key", "v", "root")
+                       .join(cand.select("v", "n", "prefix", "rare"), "v"), "several")
         side = lambda x: left.select("key", *(F.col(c).alias(c + x) for c in ("v", "root", "n", "prefix", "rare")))
         num, den = self.similar
         need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(num) / F.lit(num + den))
@@ -192,24 +192,24 @@ class CoordinateJoin:
         """The pairs that collide t times and are similar by their full sets."""
         num, den = self.similar
         side = lambda frame, key, *cols: frame.select(F.col("v").alias(key), *(F.col(c).alias(f"{c}_{key}") for c in cols))
-        close = (pairs.distinct()
-                 .join(side(cand, "a", "n", "sig"), "a").join(side(cand, "b", "n", "sig"), "b")
-                 .where(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
-                 .where(_collide("sig_a", "sig_b", self.t))
-                 .select("a", "b", "n_a", "n_b").checkpoint())
-        return (close.join(side(sets, "a", "values"), "a").join(side(sets, "b", "values"), "b")
-                .where(_similar("n_a", "n_b", F.size(F.array_intersect("values_a", "values_b")), self.similar))
-                .select("a", "b").checkpoint())
+        close = written(pairs.distinct()
+                        .join(side(cand, "a", "n", "sig"), "a").join(side(cand, "b", "n", "sig"), "b")
+                        .where(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
+                        .where(_collide("sig_a", "sig_b", self.t))
+                        .select("a", "b", "n_a", "n_b"), "close")
+        return written(close.join(side(sets, "a", "values"), "a").join(side(sets, "b", "values"), "b")
+                       .where(_similar("n_a", "n_b", F.size(F.array_intersect("values_a", "values_b")), self.similar))
+                       .select("a", "b"), "near-links")
 
     def links(self) -> DataFrame:
         """Links (a, b) between classes that hold every component together."""
         cand = self.candidates()
         wanted = bitmap.build(cand.select(F.xxhash64("least_id").alias("h")), "h")
-        sets = (self.texts.select("id", "text", F.xxhash64("id").alias("h"))
-                .mapInArrow(functools.partial(_sets, k=self.k, wanted=wanted), "d1 long, d2 long, values array<long>")
-                .join(cand.select("d1", "d2", "v"), ["d1", "d2"]).select("v", "values")
-                .groupBy("v").agg(F.first("values").alias("values")).checkpoint())
-        cand = cand.select("v", "n", "sig", "prefix", "top").join(self._rare(sets), "v").checkpoint()
+        sets = written(self.texts.select("id", "text", F.xxhash64("id").alias("h"))
+                       .mapInArrow(functools.partial(_sets, k=self.k, wanted=wanted), "d1 long, d2 long, values array<long>")
+                       .join(cand.select("d1", "d2", "v"), ["d1", "d2"]).select("v", "values")
+                       .groupBy("v").agg(F.first("values").alias("values")), "near-sets")
+        cand = written(cand.select("v", "n", "sig", "prefix", "top").join(self._rare(sets), "v"), "near-candidates")
         alone = cand.select("v", F.col("v").alias("root"))
         # the lists that most sets of a group share: two pairs a set at most
         wide = F.array_distinct(F.array("top", F.element_at("prefix", -1)))
@@ -217,7 +217,7 @@ class CoordinateJoin:
                               cand, sets)
         for last in (False, True):
             roots = self._roots(alone, found)
-            posts = cand.select("v", "n", "alone", F.explode("prefix").alias("key")).join(roots, "v").checkpoint()
+            posts = written(cand.select("v", "n", "alone", F.explode("prefix").alias("key")).join(roots, "v"), "posts")
             pairs = self._rest(posts, cand) if last else self._leaders(posts)
             found = found.unionByName(self._confirm(pairs, cand, sets))
         return found
@@ -234,8 +234,8 @@ class CoordinateJoin:
         classes = (self.classes.select("v", "d1", "d2", "least_id").join(roots, "v", "left")
                    .select("d1", "d2", "least_id", "root"))
         groups = classes.where("root IS NOT NULL").groupBy("root").agg(F.min("least_id").alias("group_id"))
-        classes = (classes.join(groups.checkpoint(), "root", "left")
-                   .select("d1", "d2", F.coalesce("group_id", "least_id").alias("component_id")).checkpoint())
+        classes = written(classes.join(written(groups, "groups"), "root", "left")
+                          .select("d1", "d2", F.coalesce("group_id", "least_id").alias("component_id")), "near-classes")
         return (self.rows.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
                 .select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
                 .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
@@ -250,7 +250,7 @@ class CoordinateJoin:
         same = (self.rows.where("n > 0").select("id", "text_key", "d1", "d2").join(group, ["d1", "d2"])
                 .groupBy("group", "id", "text_key").agg(F.count(F.lit(1)).alias("times")))
         first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "times"))
-        return same.groupBy("group").agg(first.alias("l")).select("l.id", "l.text_key", "l.times").checkpoint()
+        return written(same.groupBy("group").agg(first.alias("l")).select("l.id", "l.text_key", "l.times"), "kept")
 
 
 def text_key(text: str) -> F.Column:

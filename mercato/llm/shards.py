@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .tables import fresh, written
+from .tables import fresh, tidy, written
 
 SHARDS = 8
 ROUNDS = 8
@@ -49,7 +49,7 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
     """rows (v, size), members (v, link) -> (v, size, shard); v unique, null links ignored."""
     state = rows.select("v", "size", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"))
     members = members.where("link IS NOT NULL").select("v", "link").distinct()
-    lists = members.groupBy("link").count().where("count > 1").select("link").checkpoint()
+    lists = written(members.groupBy("link").count().where("count > 1").select("link"), "lists")
     members = written(members.join(lists, "link"), "members")
     if members.isEmpty():
         return state
@@ -58,26 +58,30 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
     total, bound = state.agg(F.sum("size")).first()[0], moving.agg(F.sum("size")).first()[0]
     share = total / shards
     roof = max(share * (1 - FULL), bound / shards * (1 + SLACK))
-    every = rows.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
+    every = rows.sparkSession.range(0, shards, 1, 1).select(F.col("id").cast("int").alias("shard"))
     for turn in range(rounds):
-        load = (every.join(moving.groupBy("shard").agg(F.sum("size").alias("load")), "shard", "left")
+        # shards rows; these and asked (<= shards^2 x 63 rows) are worked on in one partition, without shuffles
+        load = written(moving.groupBy("shard").agg(F.sum("size").alias("load")), "load").coalesce(1)
+        load = (every.join(load, "shard", "left")
                 .select(F.col("shard").alias("to"), F.greatest(F.lit(0.0), F.lit(roof) - F.coalesce("load", F.lit(0))).alias("room"))
-                .withColumn("open", F.col("room") > share * FULL).checkpoint())
+                .withColumn("open", F.col("room") > share * FULL))
         placed = members.join(moving, "v")
         # what each link holds in each shard; a part below 1/2 orders equal counts alike for all its members
-        tally = (placed.groupBy("link", "shard").count()
-                 .select("link", F.col("shard").alias("to"), (F.col("count") + _unit("link", "shard") / 2).alias("n"))
-                 .join(F.broadcast(load.select("to", "open")), "to").select("link", "to", "n", "open").checkpoint())
+        tally = written(placed.groupBy("link", "shard").count()
+                        .select("link", F.col("shard").alias("to"), (F.col("count") + _unit("link", "shard") / 2).alias("n"))
+                        .join(F.broadcast(load.select("to", "open")), "to").select("link", "to", "n", "open"), "tally")
         score = placed.join(tally, "link").groupBy("v", "size", "shard", "to", "open").agg(F.sum("n").alias("n"))
-        wish = (score.groupBy("v", "size", "shard")
-                .agg(F.max(F.struct("n", "to")).alias("any"), F.max(F.when(F.col("open"), F.struct("n", "to"))).alias("free"),
-                     F.max(F.when(F.col("to") == F.col("shard"), F.col("n"))).alias("own"))
-                .withColumn("best", F.when(F.col("free.n") > F.col("own"), F.col("free")).otherwise(F.col("any")))
-                .where(F.col("best.n") > F.col("own"))
-                .select("v", "size", "shard", F.col("best.to").alias("to"),
-                        F.greatest(F.lit(0), F.least(F.lit(62), F.floor(F.log2(F.col("best.n") - F.col("own") + 1)))).cast("int").alias("gain"))
-                .checkpoint())
-        asked = wish.groupBy("shard", "to", "gain").agg(F.sum("size").alias("bytes")).checkpoint()  # <= shards^2 x 63 rows
+        wish = written(
+            score.groupBy("v", "size", "shard")
+            .agg(F.max(F.struct("n", "to")).alias("any"), F.max(F.when(F.col("open"), F.struct("n", "to"))).alias("free"),
+                 F.max(F.when(F.col("to") == F.col("shard"), F.col("n"))).alias("own"))
+            .withColumn("best", F.when(F.col("free.n") > F.col("own"), F.col("free")).otherwise(F.col("any")))
+            .where(F.col("best.n") > F.col("own"))
+            .select("v", "size", "shard", F.col("best.to").alias("to"),
+                    F.greatest(F.lit(0), F.least(F.lit(62), F.floor(F.log2(F.col("best.n") - F.col("own") + 1)))).cast("int").alias("gain")), "wish")
+        if wish.isEmpty():  # nor will any later round have a wish
+            break
+        asked = written(wish.groupBy("shard", "to", "gain").agg(F.sum("size").alias("bytes")), "asked").coalesce(1)
         flow = asked.groupBy("shard", "to").agg(F.sum("bytes").alias("flow"))
         back = flow.select(F.col("to").alias("shard"), F.col("shard").alias("to"), F.col("flow").alias("back"))
         inflow = flow.groupBy("to").agg(F.sum("flow").alias("inflow"))
@@ -86,7 +90,7 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
                  .join(flow, ["shard", "to"]).join(back, ["shard", "to"], "left").join(inflow, "to").join(load, "to")
                  .select("shard", "to", "gain", ((F.coalesce("back", F.lit(0)) + F.col("room") * F.col("flow") / F.col("inflow")
                                                   - (F.col("until") - F.col("bytes"))) / F.col("bytes")).alias("part"))
-                 .where("part > 0").checkpoint())
+                 .where("part > 0"))
         moved = (wish.join(F.broadcast(grant), ["shard", "to", "gain"])
                  .where(_unit("v", F.lit(turn)) < F.col("part")).select("v", "to"))
         moving = written(moving.join(moved, "v", "left")
@@ -104,8 +108,8 @@ def level(rows: DataFrame, order: list[Column], shards: int = SHARDS, parts_of:
     each partition adds up its own rows: no task sees them all."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = rows.columns
-    frozen = (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()).checkpoint())
+    frozen = written(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                     .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ranges")
     sums = frozen.groupBy("_pid").agg(F.sum("size").alias("_bytes"))  # one row a partition
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sums.select("_pid", (F.sum("_bytes").over(running) - F.col("_bytes")).alias("_before"),
@@ -119,8 +123,8 @@ def level(rows: DataFrame, order: list[Column], shards: int = SHARDS, parts_of:
         cuts = F.array(*(F.lit(sum(parts_of[:i + 1]) / sum(parts_of)) for i in range(last)), F.lit(2.0))
         place = F.col("_middle") / F.col("_total")
         shard = F.size(F.filter(cuts, lambda c: c <= place))
-    cut = (frozen.join(F.broadcast(offsets), "_pid").withColumn("_middle", middle)
-           .withColumn("shard", shard.cast("int")).drop("_middle").checkpoint())
+    cut = written(frozen.join(F.broadcast(offsets), "_pid").withColumn("_middle", middle)
+                  .withColumn("shard", shard.cast("int")).drop("_middle"), "cut")
     counts = cut.groupBy("_pid", "shard").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy("shard").orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = counts.select("_pid", "shard", (F.sum("_n").over(earlier) - F.col("_n") - F.col("_first")).alias("_shift"))
@@ -143,20 +147,22 @@ def assign(rows: DataFrame, links: DataFrame | None = None, shards: int = SHARDS
     return level(ordered, [F.col(c) for c in ("shard", "_end", "bound", "v")], shards).drop("_end", "bound")
 
 
+@tidy
 def equal_text_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot; linked: equal texts."""
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.select(
+    rows = written(docs.select(
         F.monotonically_increasing_id().alias("v"), F.col(id_col).alias("doc_id"), text_size(text_col).alias("size"),
-        F.crc32(F.encode(F.col(text_col), "UTF-8")).alias("text_crc32"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")).checkpoint()
+        F.crc32(F.encode(F.col(text_col), "UTF-8")).alias("text_crc32"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")), "shard-rows")
     return assign(rows, shards=shards).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
+@tidy
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """``docs`` with the columns shard and slot (columns of these names are replaced)."""
     kept = docs.drop("shard", "slot")
     own = fresh(docs, "row_number")
     table = written(kept.withColumn(own, F.monotonically_increasing_id()), "shard-rows")
-    rows = table.select(F.col(own).alias("v"), text_size(text_col).alias("size"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")).checkpoint()
-    places = assign(rows, shards=shards).select(F.col("v").alias(own), "shard", "slot").checkpoint()
+    rows = written(table.select(F.col(own).alias("v"), text_size(text_col).alias("size"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("link")), "shard-sizes")
+    places = written(assign(rows, shards=shards).select(F.col("v").alias(own), "shard", "slot"), "places")
     return table.join(places, own).drop(own)
