@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fixture_data import write_fixture
 from mercato.operators import forecast, marts, quality, stats
 from mercato.operators import star as star_ops
-from mercato.plans import pipeline, snapshots
+from mercato.plans import catalog, model, pipeline, snapshots
 
 
 def test_run_pipeline_publishes_and_reads_back(spark, tmp_path):
@@ -79,6 +79,24 @@ def test_views_read_the_new_snapshot(spark, tmp_path):
     assert [r["version"] for r in snapshots.publish_log(spark, out).orderBy("version").collect()] == [1, 2]
 
 
+def test_views_do_not_broadcast_tables_of_many_rows(spark, tmp_path):
+    out, db = str(tmp_path / "out"), "mercato_rows"
+    star = model.from_csv(spark, str(write_fixture(tmp_path / "raw"))).star
+    sold = sorted(map(str, marts.vw_sales(star).collect()))
+    other = spark.range(400_000).select(*[(F.concat(F.lit("x"), "id") if c == "customer_id" else F.lit(None).cast("string")).alias(c)
+                                          for c in star.dim_customers.columns])
+    star.bind("dim_customers", star.dim_customers.unionByName(other))
+    snapshot = snapshots.new_snapshot(out)
+    star_ops.publish_star(star, f"{snapshot}/star")
+    snapshots.point_to(spark, out, snapshot)
+    catalog.remake_views(spark, out, db)
+    for view in ("vw_sales", "vw_orders", "vw_customers"):
+        plan = spark.sql(f"SELECT count(*) FROM {db}.{view}")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [customer_id" in plan and "BroadcastHashJoin [customer_id" not in plan, view
+        assert view != "vw_sales" or "BroadcastHashJoin [product_id" in plan  # four products
+    assert sorted(map(str, spark.table(f"{db}.vw_sales").collect())) == sold
+
+
 def test_slices_read_only_their_months(spark, tmp_path):
     raw, out = write_fixture(tmp_path / "raw"), str(tmp_path / "out")
     star, _, _ = pipeline.run_pipeline(spark, str(raw), out)
