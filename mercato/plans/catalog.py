@@ -13,7 +13,7 @@ from . import snapshots
 
 #: Tables in which others look up rows by key.  With more rows than this their views ask for a
 #: merge join: Spark judges a broadcast by the bytes of the file, where a sorted key takes one or
-#: two a row, and the driver holds 30 to 65 a row of what is broadcast.
+#: two a row, and the driver holds 33 to 66 a row of what is broadcast.
 LOOKED_UP = ("dim_customers", "dim_products", "dim_sellers", "order_reviews")
 BROADCAST_ROWS = 1 << 18
 
